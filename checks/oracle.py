@@ -138,6 +138,7 @@ LANDED = """
     from lineitem join orders on l_orderkey = o_orderkey
         join customer on o_custkey = c_custkey join supplier on l_suppkey = s_suppkey"""
 ORACLE["land_feed"] = LANDED
+ORACLE["land_stream"] = LANDED
 # The chosen year has no file with the added column.
 ORACLE["land_selected_months"] = (
     f"select * exclude (late) from ({LANDED}) where year_month like '1998-%'"

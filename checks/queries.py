@@ -23,6 +23,7 @@ from tripmill.session import scratch_path
 from tripmill.sources import landing, reference, tables
 from tripmill.sources.files import file_manifest, footer_columns, list_files, with_source
 from tripmill.specs import PeriodFilter
+from tripmill.streaming.landing import land_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -52,6 +53,17 @@ def land_selected_months(spark, sf):
     return landed.drop("_ingestion_ts")
 
 
+@register
+def land_stream(spark, sf):
+    """The raw files landed by a stream that takes them in several batches."""
+    root, target = rawfiles.write_freight(spark, sf), scratch_path(spark, "landed")
+    land_new_files(
+        spark, root, rawfiles.FREIGHT_FILES, target, scratch_path(spark, "stream"), 40
+    ).awaitTermination()
+    landed = tables.read_feeds(spark, target)
+    return landed.drop("_ingestion_ts", "vehicle_type", "landing_batch")
+
+
 def _freight_trips(spark, sf):
     return conform(b.freight_raw(spark, sf), b.FREIGHT).drop("ingestion_ts", "source_file")
 

@@ -17,6 +17,7 @@ from tripmill.functions.ordering import by
 from tripmill.operators.conform import only_feeds
 from tripmill.operators.flows import SAMPLE_SALT, hash_sample
 from tripmill.operators.topn import top_n
+from tripmill.session import ensure_checkpoints
 from tripmill.specs import TRIP_IDENTITY
 
 TARGET = "trip_duration_sec"
@@ -146,8 +147,10 @@ def estimator_for(name: str, train: DataFrame):
 def fit(rows: DataFrame, name: str, test_fraction: float = 0.2) -> tuple[PipelineModel, DataFrame]:
     """Train on the rows not held out and predict every row. Starts jobs.
 
-    ``rows`` is read several times: pass a written table, not a long plan.
+    ``rows`` is read several times: pass a written table, not a long plan. Boosting
+    checkpoints every few rounds, so a lost executor does not replay all of them.
     """
+    ensure_checkpoints(rows.sparkSession)
     split = ml_split(ml_features(rows), test_fraction)
     train = split.filter(~F.col("is_test"))
     model = duration_pipeline(feature_columns(rows), estimator_for(name, train)).fit(train)

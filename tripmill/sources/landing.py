@@ -87,9 +87,9 @@ def land_feed(
     """The raw files of a feed, of the chosen months, as one frame in the declared types.
 
     Plain Parquet reading fails on files whose types differ and hides added
-    columns, so files are grouped by footer schema. Only file names and schemas
-    come to the driver, which needs them to declare the scans; each group is one
-    scan and one select.
+    columns, so files are grouped by footer schema (read by the executors). Only
+    file names and schemas come to the driver, which needs them to declare the
+    scans; each group is one scan and one select.
     """
     groups = physical_schemas(spark, root, periods).collect()
     if not groups:
@@ -110,7 +110,9 @@ def land_feed(
     at = ingestion_time() if at is None else at
     scans = []
     for group in groups:
-        raw = spark.read.option("recursiveFileLookup", "true").parquet(*group["paths"])
+        alike = len(groups) == 1 and periods == PeriodFilter()
+        paths = group["paths"] if not alike else [root] if isinstance(root, str) else root
+        raw = spark.read.option("recursiveFileLookup", "true").parquet(*paths)
         scans.append(to_contract(add_lineage(raw, spec.name, at), contract, extras))
     return reduce(DataFrame.unionByName, scans)
 
