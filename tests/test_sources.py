@@ -1,0 +1,298 @@
+"""Landing, files, reference data and layered tables."""
+
+import datetime as dt
+import hashlib
+import json
+from types import SimpleNamespace
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from tripmill.feeds import FHV, YELLOW
+from tripmill.operators.drift import file_columns, schema_drift, union_columns
+from tripmill.session import scratch_path, shared_folder
+from tripmill.sources.files import file_manifest, footer_columns, list_files, with_source
+from tripmill.sources.landing import land_feed, select_periods
+from tripmill.sources.reference import (
+    clean_incidents,
+    covering_range,
+    daily_rows,
+    default_areas,
+    default_calendar,
+    default_incidents,
+    fill_days,
+    read_dimension,
+    read_incidents,
+    read_weather,
+)
+from tripmill.sources.tables import read_feeds, read_if_exists, write_partitions, write_sorted
+from tripmill.specs import PeriodFilter
+from tripmill.streaming.landing import land_new_files
+
+T = dt.datetime(2025, 4, 1, 8, 30)
+
+
+def raw_yellow(folder):
+    """Three months: as declared, 64-bit ids and other case, an added and a missing column."""
+    folder.mkdir()
+    base = {
+        "tpep_pickup_datetime": pa.array([T, T], pa.timestamp("us")),
+        "tpep_dropoff_datetime": pa.array([T, None], pa.timestamp("us")),
+        "PULocationID": pa.array([1, 2], pa.int32()),
+        "DOLocationID": pa.array([3, 4], pa.int32()),
+        "fare_amount": pa.array([5.5, 6.5]),
+    }
+    wide = {
+        ("pulocationid" if k == "PULocationID" else k): (
+            v.cast(pa.int64()) if pa.types.is_int32(v.type) else v
+        )
+        for k, v in base.items()
+    }
+    grown = {k: v for k, v in base.items() if k != "fare_amount"}
+    grown["rating"] = pa.array(["good", None])
+    for month, columns in (("01", base), ("02", wide), ("03", grown)):
+        pq.write_table(pa.table(columns), folder / f"yellow_tripdata_2025-{month}.parquet")
+    return str(folder)
+
+
+def test_landing_reads_files_of_differing_schemas(spark, tmp_path):
+    landed = land_feed(spark, raw_yellow(tmp_path / "yellow"), YELLOW)
+    kinds = dict(landed.dtypes)
+    assert kinds["PULocationID"] == "int" and kinds["fare_amount"] == "double"
+    assert kinds["rating"] == "string" and kinds["tpep_pickup_datetime"] == "timestamp_ntz"
+    rows = sorted(landed.collect(), key=lambda r: (r._source_file, r.PULocationID))
+    assert [r.PULocationID for r in rows] == [1, 2] * 3
+    assert [r.fare_amount for r in rows] == [5.5, 6.5, 5.5, 6.5, None, None]
+    assert [r.year_month for r in rows] == ["2025-01"] * 2 + ["2025-02"] * 2 + ["2025-03"] * 2
+    assert {r._source_type for r in rows} == {"yellow"}
+    assert len({r._ingestion_ts for r in rows}) == 1
+    assert rows[0]._source_file == "yellow_tripdata_2025-01.parquet"
+
+
+@pytest.mark.parametrize(
+    "periods,months",
+    [
+        (PeriodFilter(month="2025-02"), ["2025-02"]),
+        (PeriodFilter(year="2025"), ["2025-01", "2025-02", "2025-03"]),
+        (PeriodFilter(first_n=2), ["2025-01", "2025-02"]),
+        (PeriodFilter(month="2025-03", year="2024", first_n=1), ["2025-03"]),
+        (PeriodFilter(year="2025", first_n=1), ["2025-01", "2025-02", "2025-03"]),
+    ],
+)
+def test_landing_chosen_months(spark, tmp_path, periods, months):
+    landed = land_feed(spark, raw_yellow(tmp_path / "yellow"), YELLOW, periods)
+    assert sorted({r.year_month for r in landed.collect()}) == months
+
+
+def test_landing_without_files_is_an_error(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        land_feed(spark, raw_yellow(tmp_path / "y"), YELLOW, PeriodFilter(month="1999-01"))
+
+
+def test_stream_lands_each_file_once(spark, tmp_path):
+    root, target, state = raw_yellow(tmp_path / "y"), str(tmp_path / "out"), str(tmp_path / "state")
+    land_new_files(spark, root, YELLOW, target, state, files_per_batch=2).awaitTermination()
+    assert read_feeds(spark, target).count() == 6
+    more = pa.table({"PULocationID": [9], "tpep_pickup_datetime": pa.array([T], pa.timestamp("us"))})
+    pq.write_table(more, f"{root}/yellow_tripdata_2025-04.parquet")
+    land_new_files(spark, root, YELLOW, target, state).awaitTermination()
+    found = read_feeds(spark, target)
+    assert found.count() == 7
+    assert found.filter("year_month = '2025-04'").first().PULocationID == 9
+
+
+def test_first_n_of_fewer_months_keeps_all(spark):
+    df = spark.createDataFrame([("2025-01",), ("2025-02",)], "year_month string")
+    assert select_periods(df, PeriodFilter(first_n=9)).count() == 2
+    assert select_periods(df, PeriodFilter()).count() == 2
+
+
+def test_drift_finds_added_retyped_and_respelled_columns(spark, tmp_path):
+    files = list_files(spark, raw_yellow(tmp_path / "yellow"), "*.parquet")
+    columns = with_source(footer_columns(files)).withColumn("feed", F.lit("yellow"))
+    rows = {r.column_name: r for r in schema_drift(columns).collect()}
+    assert rows["rating"].files_with_column == 1 and rows["rating"].drifts
+    assert rows["fare_amount"].files_with_column == 2 and rows["fare_amount"].drifts
+    assert rows["pulocationid"].types == "bigint,int" and rows["pulocationid"].drifts
+    assert rows["pulocationid"].spellings == "PULocationID,pulocationid"
+    assert not rows["tpep_pickup_datetime"].drifts
+    assert rows["tpep_pickup_datetime"].types == "timestamp_ntz"
+    per_file = {r.file: r for r in file_columns(columns).collect()}
+    assert per_file["yellow_tripdata_2025-03.parquet"].column_count == 5
+    assert per_file["yellow_tripdata_2025-01.parquet"].columns.startswith("tpep_pickup_datetime,")
+    assert union_columns(columns).first().files_analyzed == 3
+
+
+def test_manifest_hashes_files(spark, tmp_path):
+    for name in ("taxi_zone_map_bronx.jpg", "taxi_zone_map_queens.jpg"):
+        (tmp_path / name).write_bytes(name.encode() * 1_000)
+    (tmp_path / "notes.txt").write_text("no image")
+    rows = file_manifest(spark, str(tmp_path), "*.jpg", "taxi_zone_map_").collect()
+    assert sorted(r.borough for r in rows) == ["bronx", "queens"]
+    for r in rows:
+        content = (tmp_path / r.file_name).read_bytes()
+        assert r.content_hash == hashlib.md5(content).hexdigest()
+        assert r.file_size_bytes == len(content) and r.media_type == "image/jpeg"
+
+
+def test_zone_csv(spark, tmp_path):
+    path = tmp_path / "zones.csv"
+    path.write_text('LocationID,Borough,Zone,service_zone\n1,EWR,"Newark, Airport",EWR\n')
+    df = read_dimension(spark, str(path))
+    assert dict(df.dtypes)["LocationID"] == "int"
+    assert df.first().Zone == "Newark, Airport"
+
+
+def months(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "year_month string")
+
+
+@pytest.mark.parametrize(
+    "values,periods,expected",
+    [
+        (["2024-02", "2023-11"], PeriodFilter(), ("2023-11-01", "2024-02-29")),
+        (["2024-02", "2023-11"], PeriodFilter(year="2023"), ("2023-11-01", "2023-11-30")),
+        (["2024-02", "2023-11"], PeriodFilter(month="2024-02"), ("2024-02-01", "2024-02-29")),
+        (["unknown", "2024-04"], PeriodFilter(), ("2024-04-01", "2024-04-30")),
+        ([], PeriodFilter(), ("2025-04-01", "2025-05-31")),
+    ],
+)
+def test_covering_range(spark, values, periods, expected):
+    row = covering_range(months(spark, *values), periods).first()
+    assert (str(row.start_date), str(row.end_date)) == expected
+
+
+def test_default_calendar_and_filling(spark):
+    calendar = default_calendar(covering_range(months(spark, "2024-02")))
+    assert calendar.count() == 29
+    known = spark.createDataFrame(
+        [(dt.date(2024, 2, 3), 5.0, None, 1.5, 61)],
+        "date date, temp_max double, temp_min double, precipitation_sum double, weather_code int",
+    )
+    filled = {r.date: r for r in fill_days(known, calendar).collect()}
+    assert len(filled) == 29
+    assert tuple(filled[dt.date(2024, 2, 3)])[1:] == (5.0, 12.0, 1.5, 61)
+    assert tuple(filled[dt.date(2024, 2, 4)])[1:] == (22.0, 12.0, 0.0, 0)
+
+
+def payload(**extra):
+    daily = {
+        "time": ["2025-04-01", "2025-04-02"],
+        "temperature_2m_max": [11.5, None],
+        "temperature_2m_min": [3.0, 4.0],
+        "precipitation_sum": [0.0, 2.5],
+        "weathercode": [3, 61],
+    }
+    return json.dumps({"latitude": 40.7, "daily": daily | extra})
+
+
+def test_weather_payload_to_days(spark, tmp_path):
+    (tmp_path / "a.json").write_text(payload().replace('", "', '",\n"'))
+    rows = sorted(read_weather(spark, str(tmp_path)).collect())
+    assert [tuple(r) for r in rows] == [
+        (dt.date(2025, 4, 1), 11.5, 3.0, 0.0, 3),
+        (dt.date(2025, 4, 2), None, 4.0, 2.5, 61),
+    ]
+
+
+def test_weather_arrays_may_be_short_or_absent(spark):
+    text = payload(precipitation_sum=[0.5]).replace('"weathercode"', '"other"')
+    rows = daily_rows(spark.createDataFrame([(text,)], "value string")).collect()
+    assert [r.precipitation_sum for r in rows] == [0.5, None]
+    assert [r.weather_code for r in rows] == [None, None]
+
+
+def test_incidents(spark, tmp_path):
+    records = [
+        {"borough": " Queens ", "crash_date": "2025-04-01T00:00:00.000"},
+        {"borough": None, "crash_date": "yesterday", "number_of_persons_injured": "2"},
+    ]
+    path = tmp_path / "incidents.json"
+    path.write_text(json.dumps(records, indent=1))
+    rows = read_incidents(spark, str(path)).collect()
+    assert [(r.borough, r.crash_month) for r in rows] == [("QUEENS", "2025-04"), (None, None)]
+    assert rows[1].crash_ts is None and rows[1].number_of_persons_injured == "2"
+    path.write_text("\n".join(json.dumps(r) for r in records))
+    assert read_incidents(spark, str(path), lines=True).count() == 2
+
+
+def test_default_incidents(spark):
+    rows = default_incidents(default_areas(spark)).collect()
+    assert len(rows) == 5 and {r.crash_month for r in rows} == {"2025-04"}
+    assert clean_incidents(default_areas(spark).withColumn("crash_date", F.lit(""))).count() == 5
+
+
+def test_partition_overwrite_leaves_other_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame(
+        [("fhv", "2025-01", 1), ("fhv", "2025-02", 2), ("green", "2025-01", 3)],
+        "vehicle_type string, year_month string, v int",
+    )
+    write_partitions(df, path)
+    write_partitions(df.filter("v = 2").withColumn("v", F.lit(20)), path)
+    assert sorted(r.v for r in read_feeds(spark, path).collect()) == [1, 3, 20]
+    assert [r.year_month for r in read_feeds(spark, path, ["green"]).collect()] == ["2025-01"]
+    write_partitions(df.filter("v = 1"), path, whole=True)
+    assert [r.v for r in read_feeds(spark, path).collect()] == [1]
+
+
+def test_reading_one_feed_lists_only_its_directory(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame(
+        [("fhv", "2025-01", 1), ("green", "2025-01", 3)],
+        "vehicle_type string, year_month string, v int",
+    )
+    write_partitions(df, path)
+    assert all("vehicle_type=fhv" in f for f in read_feeds(spark, path, ["fhv"]).inputFiles())
+
+
+def test_absent_table_is_none_other_failures_are_raised(spark, tmp_path):
+    assert read_if_exists(spark, str(tmp_path / "nothing")) is None
+    (tmp_path / "broken.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        read_if_exists(spark, str(tmp_path / "broken.parquet")).count()
+
+
+def test_served_files_do_not_overlap_even_with_a_hot_key(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(3_000).select(
+        F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 40).cast("int").alias("k"),
+        F.col("id").alias("v"),
+    )
+    write_sorted(df.repartition(6), path, ("k",))
+    back = spark.read.parquet(path)
+    ranges = sorted(
+        (r.a, r.b)
+        for r in back.groupBy(F.col("_metadata.file_name"))
+        .agg(F.min("k").alias("a"), F.max("k").alias("b"))
+        .collect()
+    )
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+    assert back.count() == 3_000
+
+
+class Session:
+    """The parts of a session that name the shared folder."""
+
+    def __init__(self, folder, master):
+        self.conf = {} if folder is None else {"spark.checkpoint.dir": folder}
+        self.sparkContext = SimpleNamespace(master=master, applicationId=f"app-{master}")
+
+
+def test_shared_folder_is_the_one_the_session_names():
+    assert shared_folder(Session("s3://bucket/shared/", "yarn")) == "s3://bucket/shared"
+    assert scratch_path(Session("/shared", "yarn"), "x").startswith("/shared/x-")
+    with pytest.raises(RuntimeError):
+        shared_folder(Session(None, "yarn"))
+    local = shared_folder(Session(None, "local[2]"))
+    assert local == shared_folder(Session(None, "local[2]"))
+
+
+def test_fhv_location_spelling(spark, tmp_path):
+    table = pa.table({"PULocationID": pa.array([7.0, None]), "pickup_datetime": ["2025-01-02 03:04:05", ""]})
+    pq.write_table(table, tmp_path / "fhv_tripdata_2025-01.parquet")
+    rows = land_feed(spark, str(tmp_path), FHV).orderBy(F.col("PUlocationID").desc()).collect()
+    assert rows[0].PUlocationID == 7 and rows[0].pickup_datetime == dt.datetime(2025, 1, 2, 3, 4, 5)
+    assert rows[1].PUlocationID is None and rows[1].pickup_datetime is None

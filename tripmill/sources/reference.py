@@ -99,10 +99,16 @@ def daily_rows(
     schema: str = PAYLOAD_SCHEMA,
     fields: Mapping[str, str] = WEATHER_FIELDS,
 ) -> DataFrame:
-    """JSON payloads with parallel arrays per day to one row per day."""
+    """JSON payloads with parallel arrays per day to one row per day.
+
+    Days are those of the ``time`` array; a short or absent array gives nulls.
+    """
     parsed = payloads.select(F.from_json(column, schema).alias("p"))
-    arrays = [F.col("p.daily.time"), *[F.col(f"p.daily.{name}") for name in fields]]
-    return parsed.select(F.inline(F.arrays_zip(*arrays))).select(
+    arrays = [
+        F.coalesce(F.col(f"p.daily.{name}"), F.array()).alias(name) for name in ("time", *fields)
+    ]
+    zipped = parsed.select(*arrays).select(F.inline(F.arrays_zip("time", *fields)))
+    return zipped.filter(F.col("time").isNotNull()).select(
         F.to_date("time").alias("date"),
         *[F.col(name).alias(alias) for name, alias in fields.items()],
     )
