@@ -204,6 +204,7 @@ _REPORT = f"""with {FREIGHT_RAW}, {APP_RAW}, report as (
     {_counts('freight_raw', FREIGHT_VALID, FREIGHT_KEYS)} union all
     {_counts('app_raw', APP_VALID, ['vehicle_type', 'event_id'])})"""
 ORACLE["quality_report"] = f"{_REPORT} select * from report"
+ORACLE["quality_report_of_tables"] = ORACLE["quality_report"]
 ORACLE["reject_counts"] = f"""{_REPORT}
     select vehicle_type, rows_read, invalid_records, duplicates_removed from report"""
 
@@ -307,6 +308,9 @@ ORACLE["trip_rollup"] = on_silver(f"""
         {_sum('trip_duration_sec', 1)} as duration_sum, count(trip_duration_sec) as duration_n
     from silver group by all""")
 
+ORACLE["trip_side_rollup"] = on_silver(f"""
+    select vehicle_type, payment_type, shared_match_flag, {DO}, {N} from silver group by all""")
+
 
 def _keyed(kpi: str, keys: str, value: str = "cast(null as double)") -> str:
     return f"""select '{kpi}' as kpi, concat_ws('|', {keys}) as group_key, trip_count,
@@ -324,6 +328,8 @@ ORACLE["kpis_from_rollup"] = on_silver(
             _keyed("monthly_trend", "vehicle_type, year_month", "avg_fare"),
             _keyed("top_pickup", PU),
             _keyed("avg_duration", "vehicle_type", "avg_duration_sec"),
+            _keyed("top_dropoff", DO),
+            _keyed("payment_distribution", "vehicle_type, payment_type"),
         ]
     )
 )

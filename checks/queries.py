@@ -15,7 +15,7 @@ from tripmill.operators import anomalies as an
 from tripmill.operators import flows, incidents, kpis, models, quality, serving, steps
 from tripmill.operators.conform import add_time_parts, conform, only_feeds, union_feeds
 from tripmill.operators.drift import file_columns, schema_drift, union_columns
-from tripmill.operators.tally import from_rollup, rollup, summarise, tally
+from tripmill.operators.tally import from_rollup, rollup, side_rollup, summarise, tally
 from tripmill.operators.zones import add_zones
 from tripmill.plans.reuse import materialised
 from tripmill.plans.steplog import StepLog
@@ -208,6 +208,18 @@ def quality_report(spark, sf):
     )
 
 
+@register
+def quality_report_of_tables(spark, sf):
+    """The same report from the rejects and the written trips instead of counted keys."""
+    rejected = [
+        quality.rejects(conform(b.freight_raw(spark, sf), b.FREIGHT), b.FREIGHT_BOUNDS),
+        quality.rejects(conform(b.app_raw(spark, sf), b.APP), b.APP_BOUNDS),
+    ]
+    return quality.report_of(
+        union_feeds(rejected), materialised(b.silver(spark, sf), "trips")
+    )
+
+
 @register
 def serving_snapshot(spark, sf):
     path = scratch_path(spark, "serving")
@@ -336,13 +348,13 @@ def _kpi(name: str) -> Query:
     return query
 
 
-for _name in (*kpis.ROLLED, *kpis.DIRECT):
+for _name in (*kpis.ROLLED, *kpis.SIDE):
     REGISTERED[_name] = _kpi(_name)
 
 
 @register
 def shared_rate(spark, sf):
-    return kpis.shared_rate(b.silver(spark, sf), b.APP_FEEDS)
+    return kpis.shared_rate(tally(b.silver(spark, sf)), b.APP_FEEDS)
 
 
 @register
@@ -355,16 +367,23 @@ def trip_rollup(spark, sf):
     return rollup(b.silver(spark, sf))
 
 
+@register
+def trip_side_rollup(spark, sf):
+    return side_rollup(b.silver(spark, sf))
+
+
 @register
 def kpis_from_rollup(spark, sf):
-    """All rollup KPIs read from one written rollup, one row per KPI and group."""
-    base = from_rollup(materialised(rollup(b.silver(spark, sf)), "rollup"))
+    """KPIs read from the two written rollups, one row per KPI and group."""
+    trips = materialised(b.silver(spark, sf), "trips")
+    base = from_rollup(materialised(rollup(trips), "rollup"))
+    side = materialised(side_rollup(trips), "side-rollup")
     parts = []
-    for name, spec in kpis.ROLLED.items():
+    for name, spec in (kpis.ROLLED | kpis.SIDE).items():
         keys = F.concat_ws("|", *[F.col(k).cast("string") for k in spec.keys])
         mean = next(iter(spec.means), None)
         parts.append(
-            summarise(base, spec).select(
+            summarise(base if name in kpis.ROLLED else side, spec).select(
                 F.lit(name).alias("kpi"),
                 keys.alias("group_key"),
                 "trip_count",
@@ -593,12 +612,13 @@ def duration_rollup(spark, sf):
 
 @register
 def kpi_samples(spark, sf):
-    trips = b.silver(spark, sf)
+    trips = materialised(b.silver(spark, sf), "trips")
     rolled = from_rollup(materialised(rollup(trips), "rollup"))
     names = ("avg_fare_by_feed", "monthly_trend", "avg_duration")
     made = {name: summarise(rolled, kpis.ROLLED[name]) for name in names}
-    made["payment_distribution"] = kpis.kpi(trips, "payment_distribution")
-    made["shared_rate"] = kpis.shared_rate(trips, b.APP_FEEDS)
+    side = materialised(side_rollup(trips), "side-rollup")
+    made["payment_distribution"] = summarise(side, kpis.SIDE["payment_distribution"])
+    made["shared_rate"] = kpis.shared_rate(side, b.APP_FEEDS)
     return steps.kpi_samples(made, b.APP_FEEDS)
 
 

@@ -12,8 +12,8 @@ from tripmill.operators.anomalies import attach_stats, cap_anomalies, group_stat
 from tripmill.operators.conform import add_time_parts
 from tripmill.operators.flows import od_flows, top_routes_of
 from tripmill.operators.incidents import incident_trip_join
-from tripmill.operators.kpis import ROLLED, kpi, shared_rate, weather_daily
-from tripmill.operators.tally import from_rollup, rollup, summarise, tally
+from tripmill.operators.kpis import ROLLED, SIDE, kpi, shared_rate, weather_daily
+from tripmill.operators.tally import from_rollup, rollup, side_rollup, summarise, tally
 from tripmill.operators.topn import top_n
 
 
@@ -59,6 +59,13 @@ def test_rollup_gives_the_same_kpi(spark, name):
     assert direct == sorted(map(str, summarise(from_rollup(rollup(df)), ROLLED[name]).collect()))
 
 
+@pytest.mark.parametrize("name", SIDE)
+def test_side_rollup_gives_the_same_kpi(spark, name):
+    df = many(spark)
+    side = summarise(side_rollup(df), SIDE[name])
+    assert sorted(map(str, kpi(df, name).collect())) == sorted(map(str, side.collect()))
+
+
 @pytest.mark.parametrize("name,mean", [("avg_fare_by_feed", "fare_amount"), ("avg_distance", "trip_distance")])
 def test_means_skip_nulls(spark, name, mean):
     df = many(spark)
@@ -82,9 +89,10 @@ def test_shared_rate_counts_only_matched_flags(spark):
     df = enriched(
         spark, *[trip(vehicle_type="fhvhv", shared_match_flag=f) for f in ("Y", "N", None, "y")]
     )
-    row = shared_rate(df, ("fhvhv",)).first()
-    assert (row.total_trips, row.shared_trips, row.shared_rate) == (4, 1, 0.25)
-    assert shared_rate(df, ("yellow",)).count() == 0
+    for counted in (tally(df), side_rollup(df)):
+        row = shared_rate(counted, ("fhvhv",)).first()
+        assert (row.total_trips, row.shared_trips, row.shared_rate) == (4, 1, 0.25)
+        assert shared_rate(counted, ("yellow",)).count() == 0
 
 
 def test_days_without_weather_drop_out(spark):

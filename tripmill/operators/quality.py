@@ -52,12 +52,40 @@ def keep_latest(
 
 def profile(trips: DataFrame) -> DataFrame:
     """Rows, rows without a pickup time and their rate, per feed before filtering."""
+    return trips.groupBy("vehicle_type").agg(*_profile_columns())
+
+
+def _profile_columns() -> list[Column]:
     missing = F.count_if(F.col("pickup_ts").isNull())
     n = F.count(F.lit(1))
-    return trips.groupBy("vehicle_type").agg(
+    return [
         n.alias("rows_read"),
         missing.alias("null_pickup"),
         rounded(missing / F.greatest(n, F.lit(1)), 4).alias("null_rate"),
+    ]
+
+
+def rejects(trips: DataFrame, bounds: QualityBounds) -> DataFrame:
+    """The profile and the rejected rows per feed; no key is exchanged for it."""
+    invalid = F.count_if(~quality_predicate(bounds))
+    return trips.groupBy("vehicle_type").agg(*_profile_columns(), invalid.alias("invalid_records"))
+
+
+def report_of(rejected: DataFrame, kept: DataFrame) -> DataFrame:
+    """Quality report from the rejects of the input and the trips that were written.
+
+    What was neither rejected nor written was a duplicate, so a written table
+    saves counting keys. Both sides are one row per feed.
+    """
+    written = kept.groupBy("vehicle_type").agg(F.count(F.lit(1)).alias("rows_kept"))
+    rows_kept = F.coalesce("rows_kept", F.lit(0))
+    return rejected.join(written, "vehicle_type", "left").select(
+        "vehicle_type",
+        "rows_read",
+        "null_rate",
+        "invalid_records",
+        (F.col("rows_read") - F.col("invalid_records") - rows_kept).alias("duplicates_removed"),
+        rows_kept.alias("rows_kept"),
     )
 
 

@@ -31,6 +31,17 @@ ROLLUP_KEYS: tuple[str, ...] = (
     "pickup_hour",
 )
 
+# What the remaining KPIs group by. Apart from the first, because the keys of both
+# together would make nearly one group per trip.
+SIDE_KEYS: tuple[str, ...] = (
+    "vehicle_type",
+    "payment_type",
+    "shared_match_flag",
+    "do_location_id",
+    "do_borough",
+    "do_zone_name",
+)
+
 TALLY_COLUMNS: tuple[str, ...] = (
     "trip_count",
     *[f"{m}_{part}" for m in MEASURES for part in ("sum", "n")],
@@ -55,6 +66,11 @@ def rollup(trips: DataFrame) -> DataFrame:
     )
 
 
+def side_rollup(trips: DataFrame) -> DataFrame:
+    """Trips counted per dropoff zone, payment type and share flag."""
+    return group_total(tally(trips), SIDE_KEYS, "trip_count")
+
+
 def from_rollup(rolled: DataFrame) -> DataFrame:
     """A rollup read back, with the day of week restored."""
     return rolled.withColumn("pickup_dow", F.dayofweek("trip_date"))

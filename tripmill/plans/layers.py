@@ -16,10 +16,10 @@ from tripmill.operators.flows import hash_sample, od_flows, top_routes, zone_hea
 from tripmill.operators.incidents import incident_trip_join
 from tripmill.operators.kpis import all_kpis
 from tripmill.operators.models import fit_and_score, ml_input
-from tripmill.operators.quality import apply_quality, keep_latest, quality_counts
+from tripmill.operators.quality import apply_quality, keep_latest, rejects, report_of
 from tripmill.operators.serving import KPI_KEYS, LAKE_KEYS, capped
 from tripmill.operators.steps import kpi_samples, lake_samples, top_samples
-from tripmill.operators.tally import rollup
+from tripmill.operators.tally import rollup, side_rollup
 from tripmill.operators.zones import add_zones
 from tripmill.plans.reuse import persisted
 from tripmill.plans.steplog import StepLog
@@ -137,9 +137,9 @@ class Pipeline:
                 step.extra["skipped"] = "no input files"
                 return
             label = F.col(spec.feed_column) if spec.feed_column else F.lit(spec.name)
-            write_partitions(
-                landed.withColumn("vehicle_type", label), self.path("bronze", "trips")
-            )
+            # Raw files lie by month already: land them without an exchange.
+            landed = landed.withColumn("vehicle_type", label)
+            write_partitions(landed, self.path("bronze", "trips"), gather=False)
             step.rows_written = read_feeds(
                 self.spark, self.path("bronze", "trips"), spec.feeds
             ).count()
@@ -155,13 +155,6 @@ class Pipeline:
             conformed.append((spec, conform(read_feeds(self.spark, bronze, spec.feeds), spec)))
         if not conformed:
             return
-        report = union_feeds([quality_counts(df, bounds, s.identity) for s, df in conformed])
-        for row in self.write(report, "silver", "quality_report").toLocalIterator():
-            with self.log.track("silver", f"quality_{row['vehicle_type']}") as step:
-                step.rows_read, step.rows_written = row["rows_read"], row["rows_kept"]
-                step.null_rate = row["null_rate"]
-                step.invalid_records = row["invalid_records"]
-                step.duplicates_removed = row["duplicates_removed"]
         with self.log.track("silver", "trips") as step:
             kept = [
                 keep_latest(apply_quality(df, bounds), spec.identity, drop=spec.carry)
@@ -170,6 +163,14 @@ class Pipeline:
             trips = add_zones(union_feeds(kept), self.read("bronze", "zones"))
             write_partitions(add_time_parts(trips), self.path("silver", "trips"), whole=True)
             step.rows_written = self.rows("silver", "trips")
+        rejected = union_feeds([rejects(df, bounds) for _, df in conformed])
+        report = report_of(rejected, self.read("silver", "trips"))
+        for row in self.write(report, "silver", "quality_report").toLocalIterator():
+            with self.log.track("silver", f"quality_{row['vehicle_type']}") as step:
+                step.rows_read, step.rows_written = row["rows_read"], row["rows_kept"]
+                step.null_rate = row["null_rate"]
+                step.invalid_records = row["invalid_records"]
+                step.duplicates_removed = row["duplicates_removed"]
 
     # ---- gold ---------------------------------------------------------------
 
@@ -177,7 +178,8 @@ class Pipeline:
         trips = self.read("silver", "trips")
         rolled = self.write(rollup(trips), "gold", "trip_rollup")
         shared = (self.options.shared_rate_feed,)
-        tables = all_kpis(rolled, trips, self.read("bronze", "weather"), shared)
+        side = self.write(side_rollup(trips), "gold", "side_rollup")
+        tables = all_kpis(rolled, side, self.read("bronze", "weather"), shared)
         written = {name: self.write(df, "gold", f"kpi_{name}") for name, df in tables.items()}
         for name, df in written.items():
             write_sorted(df, self.path("serving", f"kpi_{name}"), KPI_KEYS[name])
@@ -207,7 +209,7 @@ class Pipeline:
     def flows_and_anomalies(self, sample: DataFrame) -> None:
         lake = self.options.lake
         busy = hash_sample(sample, lake.flow_fraction)
-        flows = self.write(od_flows(busy), "lake", "od_flows", compact=True)
+        flows = self.write(od_flows(busy), "lake", "od_flows")
         self.write(zone_heatmap(busy), "lake", "zone_heatmap")
         self.write(top_routes(flows, lake.top_routes), "lake", "top_routes")
         looked_at = hash_sample(sample, lake.anomaly_fraction)

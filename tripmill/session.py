@@ -16,6 +16,8 @@ CLUSTER_CONF: dict[str, str] = {
     # Upper bound; adaptive execution merges small partitions down from here.
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # A landing task holds few months: write them side by side instead of sorting first.
+    "spark.sql.maxConcurrentOutputFileWriters": "32",
     "spark.sql.parquet.compression.codec": "zstd",
 }
 

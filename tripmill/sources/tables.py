@@ -13,17 +13,23 @@ TRIP_PARTITIONS: tuple[str, ...] = ("vehicle_type", "year_month")
 
 
 def write_partitions(
-    df: DataFrame, path: str, keys: Sequence[str] = TRIP_PARTITIONS, whole: bool = False
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str] = TRIP_PARTITIONS,
+    whole: bool = False,
+    gather: bool = True,
 ) -> None:
     """Replace exactly the partitions present in ``df``, or the ``whole`` table.
 
-    ``REBALANCE`` gathers a partition's rows for few large files, and splits a
-    partition past the advisory size, so a month holding a third of all trips is
-    still written by many tasks.
+    ``gather`` brings a partition's rows together for few large files: one
+    exchange, in which adaptive execution splits a partition past the advisory
+    size, so a month holding a third of all trips is still written by many
+    tasks. Without it each task writes what it holds, which costs no exchange and
+    is right where the input files already lie by partition.
     """
+    rows = df.hint("rebalance", *keys) if gather else df
     (
-        df.hint("rebalance", *keys)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(*keys)
         .parquet(path)

@@ -37,7 +37,7 @@ def land_new_files(
         landed = land_feed(batch.sparkSession, paths, spec).withColumns(
             {"vehicle_type": label, "landing_batch": F.lit(number)}
         )
-        write_partitions(landed, target, (*TRIP_PARTITIONS, "landing_batch"))
+        write_partitions(landed, target, (*TRIP_PARTITIONS, "landing_batch"), gather=False)
 
     return (
         spark.readStream.format("binaryFile")
