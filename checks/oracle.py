@@ -240,7 +240,7 @@ ORACLE["time_parts"] = """
     select event_id, ts, cast(hour(ts) as integer) as pickup_hour,
         cast(dayofweek(ts) + 1 as integer) as pickup_dow, cast(ts as date) as trip_date
     from events"""
-ORACLE["union_of_feeds"] = f"""with {FREIGHT_RAW}, {APP_RAW}
+ORACLE["union_feeds"] = f"""with {FREIGHT_RAW}, {APP_RAW}
     select vehicle_type as feed, pickup_ts as o_orderdate,
         cast(pu_location_id as bigint) as from_zone, cast(do_location_id as bigint) as to_zone,
         trip_distance as l_quantity, fare_amount as l_extendedprice, total_amount as charge,
@@ -365,6 +365,10 @@ ROUTES = f"""select vehicle_type, pu_zone_name, pu_borough, do_zone_name, do_bor
     from ({OD}) order by trip_count desc, vehicle_type, {PU}, {DO}, pickup_hour limit 50"""
 ORACLE["top_routes"] = on_silver(ROUTES)
 
+ORACLE["serving_sorted"] = on_silver(
+    f"select count(*) as row_count, cast(0 as bigint) as overlapping_files from ({HEAT})"
+)
+
 STATS = """select vehicle_type, avg(fare_amount) as mean_fare, stddev_samp(fare_amount) as std_fare,
     avg(trip_distance) as mean_distance, stddev_samp(trip_distance) as std_distance
     from silver group by 1"""
@@ -454,8 +458,51 @@ ORACLE["incident_trip_join"] = f"""with {SILVER}, {INCIDENTS.replace(ZONES + ','
     select borough, crash_month, collision_count, taxi_trip_count
     from by_area join by_trip using (borough, crash_month)"""
 
+# What each layout of the raw files is known to hold, next to the months it covers.
+_LAYOUT = """months as (
+        select distinct strftime(o_orderdate, '%Y-%m') as month, case
+            when o_orderdate < timestamp '1997-01-01' then 'declared'
+            when o_orderdate < timestamp '1999-01-01' then 'wide' else 'grown' end as layout
+        from orders where o_orderkey in (select l_orderkey from lineitem)),
+    declared(position, name, type) as (values (0, 'feed', 'string'),
+        (1, 'o_orderdate', 'timestamp_ntz'), (2, 'l_shipdate', 'timestamp_ntz'),
+        (3, 'from_zone', 'int'), (4, 'to_zone', 'int'), (5, 'l_quantity', 'double'),
+        (6, 'l_extendedprice', 'double'), (7, 'charge', 'double'), (8, 'l_orderkey', 'bigint'),
+        (9, 'l_linenumber', 'int')),
+    layouts as (
+        select 'declared' as layout, position, name, type from declared
+        union all select 'wide', case name when 'from_zone' then 20 when 'l_linenumber' then 21
+                when 'o_orderdate' then 22 else position end,
+            case name when 'o_orderdate' then 'O_OrderDate' else name end,
+            case when name in ('from_zone', 'l_linenumber') then 'bigint' else type end
+        from declared
+        union all select 'grown', position, name, type from declared where name <> 'charge'
+        union all select 'grown', 30, 'late', 'boolean'),
+    columns as (select 'freight' as feed, 'source=freight_' || month as file, layouts.*
+        from months join layouts using (layout))"""
+ORACLE["schema_files"] = f"""with {_LAYOUT}
+    select feed, file, string_agg(name, ',' order by position) as columns,
+        count(*) as column_count from columns group by feed, file"""
+ORACLE["schema_union"] = f"""with {_LAYOUT}
+    select feed, string_agg(distinct name, ',' order by name) as union_columns,
+        count(distinct file) as files_analyzed from columns group by feed"""
+ORACLE["schema_drift"] = f"""with {_LAYOUT}, per_column as (
+        select feed, lower(name) as column_name, count(distinct file) as files_with_column,
+            string_agg(distinct type, ',' order by type) as types,
+            string_agg(distinct name, ',' order by name) as spellings
+        from columns group by feed, lower(name))
+    select *, files_with_column <> files_analyzed or contains(types, ',')
+            or contains(spellings, ',') as drifts
+    from (select *, (select count(distinct file) from columns) as files_analyzed
+        from per_column)"""
+
 # ---- run metrics ----------------------------------------------------------
 
+ORACLE["run_metrics"] = """
+    select 'silver' as layer, 'count_lineitem' as operation, 'success' as status,
+        count(*) as rows_read from lineitem
+    union all select 'silver', 'missing_column', 'error', 0"""
+
 STEP_COLUMNS = (
     "layer, operation, status, rows_read, rows_written, duration_ms, null_rate, "
     "duplicates_removed, invalid_records, timestamp, sequence"

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import bindings as b
 from checks import rawfiles
-from tripmill.functions.numbers import mean_of, rounded
+from tripmill.functions.numbers import mean_of
 from tripmill.functions.periods import month_of, period_of
 from tripmill.operators import anomalies as an
 from tripmill.operators import flows, incidents, kpis, models, quality, serving, steps
@@ -30,7 +30,8 @@ REGISTERED: dict[str, Query] = {}
 
 
 def register(query: Query) -> Query:
-    REGISTERED[query.__name__] = query
+    """Register under the function's name, without the underscore that avoids a clash."""
+    REGISTERED[query.__name__.rstrip("_")] = query
     return query
 
 
@@ -131,7 +132,7 @@ def csv_dimension(spark, sf):
 
 
 @register
-def file_manifest_of_tables(spark, sf):
+def file_manifest_(spark, sf):
     return file_manifest(spark, sf, "*.parquet", media_type="application/vnd.apache.parquet")
 
 
@@ -236,19 +237,23 @@ def serving_capped(spark, sf):
 
 @register
 def serving_sorted(spark, sf):
-    """Key range of each file of a served table: ranges meet at most at one value."""
+    """Key ranges of the files of a served table may meet at one value but not overlap."""
     path = scratch_path(spark, "sorted")
     trips = b.silver(spark, sf)
     tables.write_sorted(flows.zone_heatmap(trips), path, ("pu_location_id", "pickup_hour"))
-    return (
+    files = (
         spark.read.parquet(path)
         .groupBy(F.col("_metadata.file_name").alias("file_name"))
         .agg(
-            F.min("pu_location_id").alias("first_zone"),
-            F.max("pu_location_id").alias("last_zone"),
-            F.count(F.lit(1)).alias("row_count"),
+            F.min("pu_location_id").alias("low"),
+            F.max("pu_location_id").alias("high"),
+            F.count(F.lit(1)).alias("n"),
         )
     )
+    before = F.lag("high").over(Window.orderBy("low", "high"))  # one row per file
+    return files.withColumn("_overlaps", F.col("low") < before).agg(
+        F.sum("n").alias("row_count"), F.count_if("_overlaps").alias("overlapping_files")
+    )
 
 
 # ---- conform, filter, deduplicate, enrich ---------------------------------
@@ -319,7 +324,7 @@ def time_parts(spark, sf):
 
 
 @register
-def union_of_feeds(spark, sf):
+def union_feeds_(spark, sf):
     """Feeds with different columns by name."""
     freight = b.freight_raw(spark, sf).drop("_ingestion_ts", "l_shipdate", "l_linenumber")
     app = b.app_raw(spark, sf).drop("_ingestion_ts", "ended")
@@ -550,7 +555,7 @@ def _footers(spark, sf):
 
 
 @register
-def schema_drift_of_feed(spark, sf):
+def schema_drift_(spark, sf):
     return schema_drift(_footers(spark, sf))
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +34,7 @@ from tripmill.sources.reference import (
     read_weather,
 )
 from tripmill.sources.tables import (
+    if_found,
     read_feeds,
     read_if_exists,
     write_compact,
@@ -113,46 +113,48 @@ class Pipeline:
         for spec in self.options.feeds:
             if spec.name in sources.feeds:
                 self.land(spec)
-        landed = read_feeds(spark, self.path("bronze", "trips"))
-        days = covering_range(landed, self.options.periods)
-        weather = read_weather(spark, sources.weather) if sources.weather else None
-        self.write(
-            default_calendar(days) if weather is None else weather, "bronze", "weather"
-        )
-        incidents = (
-            read_incidents(spark, sources.incidents)
-            if sources.incidents
-            else default_incidents(default_areas(spark))
-        )
+        weather = incidents = None
+        if sources.weather:
+            weather = if_found(lambda: read_weather(spark, sources.weather))
+        if weather is None:
+            landed = read_feeds(spark, self.path("bronze", "trips"))
+            weather = default_calendar(covering_range(landed, self.options.periods))
+        self.write(weather, "bronze", "weather")
+        if sources.incidents:
+            incidents = if_found(lambda: read_incidents(spark, sources.incidents))
+        if incidents is None:
+            incidents = default_incidents(default_areas(spark))
         self.write(incidents, "bronze", "incidents")
 
     def land(self, spec: FeedSpec) -> None:
         with self.log.track("bronze", f"land_{spec.name}", feed=spec.name) as step:
             root = self.sources.feeds[spec.name]
-            try:
-                landed = land_feed(self.spark, root, spec, self.options.periods)
-            except (FileNotFoundError, AnalysisException) as error:
-                if isinstance(error, AnalysisException) and error.getCondition() != "PATH_NOT_FOUND":
-                    raise
+            landed = if_found(lambda: land_feed(self.spark, root, spec, self.options.periods))
+            if landed is None:
                 step.extra["skipped"] = "no input files"
                 return
             label = F.col(spec.feed_column) if spec.feed_column else F.lit(spec.name)
             # Raw files lie by month already: land them without an exchange.
             landed = landed.withColumn("vehicle_type", label)
             write_partitions(landed, self.path("bronze", "trips"), gather=False)
-            step.rows_written = read_feeds(
-                self.spark, self.path("bronze", "trips"), spec.feeds
-            ).count()
+            step.rows_written = self.landed(spec).count()
+
+    def landed(self, spec: FeedSpec) -> DataFrame | None:
+        """Landed rows of the feeds of a spec that have any, or None."""
+        path = self.path("bronze", "trips")
+        there = [
+            feed
+            for feed in spec.feeds
+            if read_if_exists(self.spark, f"{path}/vehicle_type={feed}") is not None
+        ]
+        return read_feeds(self.spark, path, there) if there else None
 
     # ---- silver -------------------------------------------------------------
 
     def silver(self) -> None:
-        bounds, bronze = self.options.bounds, self.path("bronze", "trips")
-        conformed = []
-        for spec in self.options.feeds:
-            if read_if_exists(self.spark, f"{bronze}/vehicle_type={spec.feeds[0]}") is None:
-                continue
-            conformed.append((spec, conform(read_feeds(self.spark, bronze, spec.feeds), spec)))
+        bounds = self.options.bounds
+        found = [(spec, self.landed(spec)) for spec in self.options.feeds]
+        conformed = [(spec, conform(raw, spec)) for spec, raw in found if raw is not None]
         if not conformed:
             return
         with self.log.track("silver", "trips") as step:

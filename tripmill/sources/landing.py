@@ -93,7 +93,7 @@ def land_feed(
     """
     groups = physical_schemas(spark, root, periods).collect()
     if not groups:
-        raise FileNotFoundError(f"no Parquet files below {root}")
+        raise FileNotFoundError(f"no Parquet files of the chosen months below {root}")
     contract = StructType.fromDDL(spec.contract) if spec.contract else StructType()
     declared = {f.name.lower() for f in contract.fields}
 

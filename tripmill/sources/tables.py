@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -73,11 +73,18 @@ def read_feeds(
     return spark.read.option("basePath", path).option("mergeSchema", several).parquet(*paths)
 
 
-def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """The table, or None where nothing was written yet. Other failures are raised."""
+def if_found(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` declares, or None where there is no such path. Other failures are raised."""
     try:
-        return spark.read.format(fmt).load(path)
+        return read()
+    except FileNotFoundError:
+        return None
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
+
+
+def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or None where nothing was written yet."""
+    return if_found(lambda: spark.read.parquet(path))
