@@ -338,11 +338,11 @@ ORACLE["serving_snapshot"] = ORACLE["trips_by_zone_hour"]
 # ---- lake -----------------------------------------------------------------
 
 KEY_TEXT = (
-    "vehicle_type, cast(pickup_ts as varchar), cast(dropoff_ts as varchar), pu_location_id, "
-    f"do_location_id, {fx('fare_amount')}"
+    "vehicle_type, epoch_us(pickup_ts) // 1000000, epoch_us(dropoff_ts) // 1000000, "
+    f"pu_location_id, do_location_id, {fx('fare_amount')}"
 )
-SAMPLE_HASH = f"substr(md5(concat_ws('|', 'sample', {KEY_TEXT})), 1, 8)"
-SPLIT_HASH = f"substr(md5(concat_ws('|', 'split', {KEY_TEXT})), 1, 8)"
+SAMPLE_HASH = f"substr(md5(concat_ws('|', {KEY_TEXT})), 1, 8)"
+SPLIT_HASH = f"substr(md5(concat_ws('|', {KEY_TEXT})), 9, 8)"
 
 
 def _below(fraction: float) -> str:

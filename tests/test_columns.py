@@ -1,13 +1,15 @@
 """Column functions."""
 
+import calendar
+import datetime as dt
 import hashlib
 
 import pytest
 from pyspark.sql import functions as F
 
-from tripmill.functions.hashing import below_fraction, key_hash
+from tripmill.functions.hashing import SAMPLE, SPLIT, below_fraction, key_hash
 from tripmill.functions.numbers import fixed_point, mean_of, rounded
-from tripmill.functions.periods import first_day, period_of, source_name
+from tripmill.functions.periods import first_day, month_of, period_of, source_name
 
 
 def one(spark, column):
@@ -39,6 +41,15 @@ def test_first_day_of_no_period_is_null(spark):
     assert one(spark, first_day(F.lit("2024-13"))) is None
 
 
+def test_month_does_not_depend_on_the_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Beirut")  # skipped midnights
+    try:
+        midnight = F.lit("2024-03-31 00:30:00").cast("timestamp_ntz")
+        assert one(spark, month_of(midnight)) == "2024-03"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_fixed_point(spark):
     assert one(spark, fixed_point(F.lit(12.34567))) == 123457
     assert one(spark, fixed_point(F.lit(-1.0))) == -10000
@@ -64,14 +75,20 @@ def test_means_do_not_depend_on_row_order(spark):
 
 
 def test_key_hash_is_md5_of_the_key(spark):
-    df = spark.createDataFrame([("a", 7, 1.5)], "k string, n int, v double")
-    expected = hashlib.md5(b"salt|a|7|15000").hexdigest()[:8]
-    assert df.select(key_hash(df, ["k", "n", "v"], "salt").alias("h")).first()["h"] == expected
+    time = dt.datetime(2025, 4, 1, 8, 30, 7, 250_000)
+    df = spark.createDataFrame(
+        [("a", 7, 1.5, time, None)], "k string, n int, v double, t timestamp_ntz, u timestamp_ntz"
+    )
+    seconds = calendar.timegm(time.timetuple())
+    digest = hashlib.md5(f"a|7|15000|{seconds}".encode()).hexdigest()
+    keys = ["k", "n", "v", "t", "u"]
+    row = df.select(*[key_hash(df, keys, part).alias(f"h{part}") for part in (SAMPLE, SPLIT)])
+    assert tuple(row.first()) == (digest[:8], digest[8:16])
 
 
 def test_sample_share_nesting_and_stability(spark):
     ids = spark.range(20_000).withColumn("k", F.col("id").cast("string"))
-    hashed = ids.withColumn("h", key_hash(ids, ["k"], "sample"))
+    hashed = ids.withColumn("h", key_hash(ids, ["k"], SAMPLE))
 
     def chosen(df, share):
         return {r["id"] for r in df.filter(below_fraction(F.col("h"), share)).collect()}

@@ -25,11 +25,10 @@ def source_name(path: Column) -> Column:
 
 
 def month_of(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM")
+    """``yyyy-MM`` of a time, whatever the session zone."""
+    return F.substring(F.to_date(ts).cast("string"), 1, 7)
 
 
 def first_day(period: Column) -> Column:
     """First day of a ``yyyy-MM`` period; null where the text is no period."""
-    return F.try_to_timestamp(
-        F.concat(period, F.lit("-01")), F.lit("yyyy-MM-dd")
-    ).cast("date")
+    return F.concat(period, F.lit("-01")).try_cast("date")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.functions.hashing import below_fraction, key_hash
+from tripmill.functions.hashing import SAMPLE, below_fraction, key_hash
 from tripmill.functions.ordering import by
 from tripmill.operators.tally import Summary, summarise, tally
 from tripmill.operators.topn import top_n
@@ -31,8 +31,6 @@ ROUTE_COLUMNS = (
     "avg_distance",
 )
 
-SAMPLE_SALT = "sample"
-
 
 def hash_sample(
     trips: DataFrame, fraction: float, keys: Sequence[str] = TRIP_IDENTITY
@@ -40,7 +38,7 @@ def hash_sample(
     """The share of trips whose key hash is small. Smaller shares are subsets of larger ones."""
     if fraction >= 1.0:
         return trips
-    return trips.filter(below_fraction(key_hash(trips, keys, SAMPLE_SALT), fraction))
+    return trips.filter(below_fraction(key_hash(trips, keys, SAMPLE), fraction))
 
 
 def _flows(trips: DataFrame) -> DataFrame:

@@ -11,11 +11,11 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmill.functions.hashing import below_fraction, key_hash
+from tripmill.functions.hashing import SAMPLE, SPLIT, below_fraction, key_hash
 from tripmill.functions.numbers import rounded
 from tripmill.functions.ordering import by
 from tripmill.operators.conform import only_feeds
-from tripmill.operators.flows import SAMPLE_SALT, hash_sample
+from tripmill.operators.flows import hash_sample
 from tripmill.operators.topn import top_n
 from tripmill.session import ensure_checkpoints
 from tripmill.specs import TRIP_IDENTITY
@@ -24,7 +24,6 @@ TARGET = "trip_duration_sec"
 NUMERIC = ("pickup_hour", "pickup_dow", "pu_location_id", "trip_distance")
 CATEGORY = "vehicle_type"
 SPLIT_KEY = "split_hash"
-SPLIT_SALT = "split"
 
 # Model names and parameters.
 MODEL_NAMES = ("LinearRegression", "Ridge", "RandomForest", "GradientBoosting")
@@ -52,8 +51,8 @@ def ml_input(
     columns = (CATEGORY, *NUMERIC, TARGET, SPLIT_KEY)
     rows = sampled.withColumns(
         {
-            "_hash": key_hash(sampled, keys, SAMPLE_SALT),
-            SPLIT_KEY: key_hash(sampled, keys, SPLIT_SALT),
+            "_hash": key_hash(sampled, keys, SAMPLE),
+            SPLIT_KEY: key_hash(sampled, keys, SPLIT),
         }
     ).select("_hash", *columns)
     if cap is not None:
