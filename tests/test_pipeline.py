@@ -158,9 +158,16 @@ def test_layers_restart_alone(run):
     assert run.read("gold", "kpi_top_pickup").collect() == before
 
 
+def test_presets():
+    sample, light = RunOptions.sample(FEEDS), RunOptions.light(FEEDS)
+    assert (sample.periods.first_n, sample.lake.anomaly_fraction) == (2, 1.0)
+    assert sample.lake.flow_fraction == 0.05
+    assert (light.periods.first_n, light.lake.feeds) == (1, ("green",))
+
+
 def test_light_run_of_one_month_and_feed(run, spark, tmp_path):
     options = RunOptions(
-        feeds=FEEDS, periods=PeriodFilter(month="2025-05"), lake=LakeOptions.light("fhvhv")
+        feeds=FEEDS, periods=PeriodFilter(month="2025-05"), lake=LakeOptions.light()
     )
     sources = RawSources(
         {k: v for k, v in run.sources.feeds.items() if k != "fhv"}, run.sources.zones
@@ -171,6 +178,6 @@ def test_light_run_of_one_month_and_feed(run, spark, tmp_path):
     }
     assert small.read("lake", "model_rows").count() == 119
     feeds = {r.vehicle_type for r in small.read("lake", "od_flows").collect()}
-    assert feeds == {"fhvhv"}
+    assert feeds == {"green"}
     assert small.read("bronze", "incidents").count() == 5  # no source: the default records
     assert small.read("bronze", "weather").count() == 31

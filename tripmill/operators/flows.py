@@ -9,12 +9,10 @@ from pyspark.sql import functions as F
 
 from tripmill.functions.hashing import SAMPLE, below_fraction, key_hash
 from tripmill.functions.ordering import by
-from tripmill.operators.tally import Summary, summarise, tally
+from tripmill.operators.tally import DO, PU, Summary, summarise, tally
 from tripmill.operators.topn import top_n
 from tripmill.specs import TRIP_IDENTITY
 
-PU = ("pu_location_id", "pu_borough", "pu_zone_name")
-DO = ("do_location_id", "do_borough", "do_zone_name")
 AVERAGES = {"avg_fare": "fare", "avg_distance": "distance"}
 
 OD_KEYS = ("vehicle_type", *PU, *DO, "pickup_hour")

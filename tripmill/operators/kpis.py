@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.operators.tally import Summary, from_rollup, group_total, summarise, tally
-
-PU = ("pu_location_id", "pu_borough", "pu_zone_name")
-DO = ("do_location_id", "do_borough", "do_zone_name")
+from tripmill.operators.tally import DO, PU, Summary, from_rollup, group_total, summarise, tally
 
 # Readable from the rollup: their keys are pickup-side and time columns.
 ROLLED: dict[str, Summary] = {

@@ -20,14 +20,15 @@ MEASURES: dict[str, tuple[str, int]] = {
     "duration": ("trip_duration_sec", 0),
 }
 
+PU: tuple[str, ...] = ("pu_location_id", "pu_borough", "pu_zone_name")
+DO: tuple[str, ...] = ("do_location_id", "do_borough", "do_zone_name")
+
 # Everything the pickup-side KPIs group by. Day of week follows from the date.
 ROLLUP_KEYS: tuple[str, ...] = (
     "vehicle_type",
     "year_month",
     "trip_date",
-    "pu_location_id",
-    "pu_borough",
-    "pu_zone_name",
+    *PU,
     "pickup_hour",
 )
 
@@ -37,9 +38,7 @@ SIDE_KEYS: tuple[str, ...] = (
     "vehicle_type",
     "payment_type",
     "shared_match_flag",
-    "do_location_id",
-    "do_borough",
-    "do_zone_name",
+    *DO,
 )
 
 TALLY_COLUMNS: tuple[str, ...] = (
@@ -81,7 +80,8 @@ class Summary:
     """Group keys, means to take, and how the result is ordered or cut.
 
     ``present`` names a measure that must be known: rows without it are neither
-    counted nor kept as groups. A leading minus in ``order`` means descending.
+    counted nor kept as groups; ``known`` does the same for a key. A leading minus
+    in ``order`` means descending.
     """
 
     keys: tuple[str, ...]
@@ -91,9 +91,6 @@ class Summary:
     top: int | None = None
     known: str | None = None
 
-    def of(self, tallied: DataFrame) -> DataFrame:
-        return summarise(tallied, self)
-
 
 def summarise(tallied: DataFrame, spec: Summary) -> DataFrame:
     """Group a tally or a rollup; both give the same digits."""

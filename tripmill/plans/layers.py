@@ -191,7 +191,8 @@ class Pipeline:
 
     def lake(self) -> None:
         lake = self.options.lake
-        trips = only_feeds(self.read("silver", "trips"), lake.feeds)
+        silver = self.read("silver", "trips")
+        trips = only_feeds(silver, lake.feeds)
         share = max(lake.flow_fraction, lake.anomaly_fraction)
         if share < 1.0:
             # One pass over silver: the smaller samples are subsets of this one.
@@ -199,7 +200,7 @@ class Pipeline:
                 self.flows_and_anomalies(sample)
         else:
             self.flows_and_anomalies(trips)
-        self.duration_model(trips)
+        self.duration_model(silver)
         rolled = only_feeds(self.read("gold", "trip_rollup"), lake.feeds)
         incidents = read_if_exists(self.spark, self.path("bronze", "incidents"))
         if incidents is not None:
@@ -221,9 +222,9 @@ class Pipeline:
 
     def duration_model(self, trips: DataFrame) -> None:
         lake = self.options.lake
-        rows = self.write(
-            ml_input(trips, lake.model_fraction, lake.max_model_rows), "lake", "model_rows"
-        )
+        feeds = lake.model_feeds or lake.feeds
+        chosen = ml_input(trips, lake.model_fraction, lake.max_model_rows, feeds)
+        rows = self.write(chosen, "lake", "model_rows")
         with self.log.track("lake", "duration_model") as step:
             step.rows_read = rows.count()
             if step.rows_read < lake.min_model_rows:

@@ -99,17 +99,22 @@ class LakeOptions:
     min_model_rows: int = 100
     top_routes: int = 50
     feeds: tuple[str, ...] | None = None
+    model_feeds: tuple[str, ...] | None = None
 
     @staticmethod
     def sample() -> "LakeOptions":
-        """A run over few months: anomalies look at every trip."""
+        """For few months: anomalies look at every trip."""
         return LakeOptions(anomaly_fraction=1.0)
 
     @staticmethod
-    def light(feed: str = "green") -> "LakeOptions":
-        """A run on one feed with nothing sampled."""
+    def light(feed: str = "green", model_feed: str = "fhvhv") -> "LakeOptions":
+        """One feed with nothing sampled, and the one with durations for the model."""
         return LakeOptions(
-            flow_fraction=1.0, anomaly_fraction=1.0, model_fraction=1.0, feeds=(feed,)
+            flow_fraction=1.0,
+            anomaly_fraction=1.0,
+            model_fraction=1.0,
+            feeds=(feed,),
+            model_feeds=(model_feed,),
         )
 
 
@@ -122,3 +127,13 @@ class RunOptions:
     periods: PeriodFilter = PeriodFilter()
     lake: LakeOptions = field(default_factory=LakeOptions)
     shared_rate_feed: str = "fhvhv"
+
+    @staticmethod
+    def sample(feeds: tuple[FeedSpec, ...], months: int = 2) -> "RunOptions":
+        """The first months of each feed."""
+        return RunOptions(feeds, periods=PeriodFilter(first_n=months), lake=LakeOptions.sample())
+
+    @staticmethod
+    def light(feeds: tuple[FeedSpec, ...]) -> "RunOptions":
+        """The first month of each feed and one feed in the lake analytics."""
+        return RunOptions(feeds, periods=PeriodFilter(first_n=1), lake=LakeOptions.light())
