@@ -85,6 +85,12 @@ def test_mean_of_a_group_without_values_is_null(spark):
     assert row.avg_fare is None and row.trip_count == 1
 
 
+def test_nan_is_an_unknown_value(spark):
+    df = enriched(spark, trip(trip_distance=2.0), trip(trip_distance=float("nan")))
+    row = kpi(df, "avg_distance").first()
+    assert (row.avg_distance, row.trip_count) == (2.0, 1)
+
+
 def test_shared_rate_counts_only_matched_flags(spark):
     df = enriched(
         spark, *[trip(vehicle_type="fhvhv", shared_match_flag=f) for f in ("Y", "N", None, "y")]

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripmill.feeds import FEEDS
+from tripmill.operators import models
 from tripmill.plans.layers import Pipeline, RawSources
 from tripmill.specs import LakeOptions, PeriodFilter, RunOptions
 
@@ -58,6 +59,14 @@ def raw_table(feed, month, rng, n=120):
     return pa.concat_tables([table, table.slice(5, 10)])  # ten trips delivered twice
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_rounds():
+    """The production model with fewer rounds: the run is what is tested here."""
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(models, "ROUNDS", 10)
+        yield
+
+
 @pytest.fixture(scope="module")
 def run(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("pipeline")
@@ -128,7 +137,7 @@ def test_lake_tables(run):
     drift = {(r.feed, r.column_name): r for r in run.read("lake", "schema_drift").collect()}
     assert drift[("green", "pulocationid")].types == "bigint,int"
     report = run.read("lake", "duration_model").first()
-    assert report.model == "GradientBoosting" and report.r2_score > 0.8
+    assert report.model == "GradientBoosting" and report.r2_score > 0.6
 
 
 def test_serving(run):

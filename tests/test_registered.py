@@ -21,6 +21,31 @@ def test_every_oracle_belongs_to_a_query():
     assert ORACLE.keys() <= REGISTERED.keys()
 
 
+# Everything joined by exchange, and every partition past a few kilobytes split as skewed.
+LARGE_INPUT = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+@pytest.mark.parametrize(
+    "name", ["top_routes", "zscores_any_feed", "anomalies_capped", "incident_trip_join"]
+)
+def test_query_planned_as_for_a_large_input(spark, db, sf, name):
+    for key, value in LARGE_INPUT.items():
+        spark.conf.set(key, value)
+    try:
+        assert difference(spark, db, sf, name) is None
+    finally:
+        for key in LARGE_INPUT:
+            spark.conf.unset(key)
+
+
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 

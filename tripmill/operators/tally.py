@@ -48,13 +48,13 @@ TALLY_COLUMNS: tuple[str, ...] = (
 
 
 def tally(trips: DataFrame) -> DataFrame:
-    """Each trip as a tally of one. Measures the caller does not use are pruned away."""
+    """Each trip as a tally of one; NaN counts as unknown. Unused measures are pruned away."""
     columns: dict[str, Column] = {"trip_count": F.lit(1).cast("bigint")}
     for measure, (column, digits) in MEASURES.items():
         value = F.col(column)
         units = value.cast("bigint") if digits == 0 else fixed_point(value, digits)
         columns[f"{measure}_sum"] = units
-        columns[f"{measure}_n"] = F.when(value.isNull(), 0).otherwise(1).cast("bigint")
+        columns[f"{measure}_n"] = F.when(units.isNull(), 0).otherwise(1).cast("bigint")
     return trips.withColumns(columns)
 
 
