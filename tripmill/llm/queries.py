@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import decontaminate, sharding
+from tripmill.llm import bpe, decontaminate, sharding
 from tripmill.llm.common import table
 from tripmill.session import scratch_path
 
@@ -20,6 +21,23 @@ def register(query: Query) -> Query:
     return query
 
 
+RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+@register
+def op1_byte_bpe(spark, sf):
+    """Every text as token ids and back."""
+    codec = bpe.Codec(spark, RANK_FILE, public_tokenizers.PATTERN)
+    encoded = table(spark, sf, "documents").select("doc_id", codec.encode(F.col("text")).alias("ids"))
+    decoded = encoded.select("doc_id", "ids", codec.decode(F.col("ids")).alias("decoded"))
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @register
 def op8_decontaminate(spark, sf):
     """Words of benchmark windows in every document."""
