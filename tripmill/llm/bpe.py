@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from tripmill.llm.common import ship
+
 _NONE = np.int32(2**31 - 1)
 #: Bytes of text whose pre-tokens are gathered before they are encoded together.
 BLOCK_BYTES = 32 << 20
@@ -280,12 +282,14 @@ class Codec:
     """
 
     def __init__(self, spark: SparkSession, rank_file: str, pattern: str) -> None:
+        ship(spark)
         self.content = spark.sparkContext.broadcast(Path(rank_file).read_bytes())
         self.pattern = pattern
 
     def encode(self, text: Column) -> Column:
         """array<int> of the text's ids, each match of the pattern encoded by itself."""
-        return F.arrow_udf(self._encoder(), "array<int>")(text)
+        # So declared, Spark never evaluates it once for each expression that uses the ids.
+        return F.arrow_udf(self._encoder(), "array<int>").asNondeterministic()(text)
 
     def decode(self, ids: Column) -> Column:
         """The bytes that the ids stand for."""
