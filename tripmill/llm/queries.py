@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, decontaminate, sharding
+from tripmill.llm import bpe, decontaminate, sharding, simhash
 from tripmill.llm.common import table
 from tripmill.session import scratch_path
 
@@ -38,6 +38,15 @@ def op1_byte_bpe(spark, sf):
     )
 
 
+@register
+def op5_simhash(spark, sf):
+    """The component of every document under links of at most four fingerprint bits."""
+    found = simhash.near_duplicates(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
 @register
 def op8_decontaminate(spark, sf):
     """Words of benchmark windows in every document."""
