@@ -12,7 +12,7 @@ a million bytes costs what a million bytes of short ones do.
 from __future__ import annotations
 
 import base64
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 from pathlib import Path
 
@@ -26,7 +26,7 @@ from tripmill.llm.common import ship
 
 _NONE = np.int32(2**31 - 1)
 #: Bytes of text whose pre-tokens are gathered before they are encoded together.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 
 
 class RankQueue:
@@ -263,22 +263,25 @@ def encode_texts(vocab: Vocabulary, split: regex.Pattern, texts: Sequence[str]):
     return ids[place], bounds
 
 
-def _blocks(texts: list[str]):
-    begin, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text)
+def _blocks(column: pa.Array) -> Iterator[list[str]]:
+    """The texts, null as empty, in lists of about ``BLOCK_BYTES``."""
+    block, size = [], 0
+    for value in column:
+        block.append(value.as_py() or "")
+        size += len(block[-1])
         if size >= BLOCK_BYTES:
-            yield texts[begin : i + 1]
-            begin, size = i + 1, 0
-    if begin < len(texts):
-        yield texts[begin:]
+            yield block
+            block, size = [], 0
+    if block:
+        yield block
 
 
 class Codec:
     """Encoding and decoding as column functions under one rank file and split pattern.
 
     Null encodes as the empty text, to no ids; null ids decode to no bytes. The rank file
-    (about a megabyte, fixed) is broadcast once.
+    (about a megabyte, fixed) is broadcast once. Each function is declared not
+    deterministic, so Spark never evaluates it once for every use of its result.
     """
 
     def __init__(self, spark: SparkSession, rank_file: str, pattern: str) -> None:
@@ -288,36 +291,48 @@ class Codec:
 
     def encode(self, text: Column) -> Column:
         """array<int> of the text's ids, each match of the pattern encoded by itself."""
-        # So declared, Spark never evaluates it once for each expression that uses the ids.
-        return F.arrow_udf(self._encoder(), "array<int>").asNondeterministic()(text)
+        encoder = _encoder(self.content, self.pattern)
+        return F.arrow_udf(lambda column: encoder(column)[0], "array<int>").asNondeterministic()(text)
 
     def decode(self, ids: Column) -> Column:
         """The bytes that the ids stand for."""
-        return F.arrow_udf(self._decoder(), "binary")(ids)
-
-    def _encoder(self) -> Callable[[pa.Array], pa.Array]:
-        content, pattern = self.content, self.pattern
-
-        def encode(column: pa.Array) -> pa.Array:
-            vocab, split = vocabulary(content.value), regex.compile(pattern)
-            ids, bounds = [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
-            texts = [text or "" for text in column.to_pylist()]
-            for block in _blocks(texts):
-                part, ends = encode_texts(vocab, split, block)
-                ids.append(part)
-                bounds.append(ends[1:] + bounds[-1][-1])
-            return pa.ListArray.from_arrays(
-                pa.array(np.concatenate(bounds).astype(np.int32)), pa.array(np.concatenate(ids))
-            )
-
-        return encode
-
-    def _decoder(self) -> Callable[[pa.Array], pa.Array]:
         content = self.content
 
         def decode(column: pa.Array) -> pa.Array:
-            bytes_of = vocabulary(content.value).bytes_of
-            rows = (row.as_py() if row.is_valid else [] for row in column)
-            return pa.array([b"".join(map(bytes_of.__getitem__, row)) for row in rows], pa.binary())
+            return _decode(vocabulary(content.value), column)
 
-        return decode
+        return F.arrow_udf(decode, "binary").asNondeterministic()(ids)
+
+    def round_trip(self, text: Column) -> Column:
+        """struct<ids, decoded>: both directions in one pass over the text."""
+        encoder = _encoder(self.content, self.pattern)
+
+        def both(column: pa.Array) -> pa.Array:
+            ids, vocab = encoder(column)
+            return pa.StructArray.from_arrays([ids, _decode(vocab, ids)], ["ids", "decoded"])
+
+        kind = "struct<ids:array<int>,decoded:binary>"
+        return F.arrow_udf(both, kind).asNondeterministic()(text)
+
+
+def _encoder(content, pattern: str) -> Callable[[pa.Array], tuple[pa.Array, Vocabulary]]:
+    def encode(column: pa.Array) -> tuple[pa.Array, Vocabulary]:
+        vocab, split = vocabulary(content.value), regex.compile(pattern)
+        ids, bounds = [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
+        for block in _blocks(column):
+            part, ends = encode_texts(vocab, split, block)
+            ids.append(part)
+            bounds.append(ends[1:] + bounds[-1][-1])
+        offsets = pa.array(np.concatenate(bounds).astype(np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids))), vocab
+
+    return encode
+
+
+def _decode(vocab: Vocabulary, column: pa.Array) -> pa.Array:
+    def rows() -> Iterator[bytes]:
+        for row in column:
+            ids = row.as_py() if row.is_valid else []
+            yield b"".join(map(vocab.bytes_of.__getitem__, ids))
+
+    return pa.array(rows(), pa.binary())
