@@ -1,14 +1,15 @@
 """SimHash near-duplicates through an embedding of fingerprints into bit counts.
 
-A 64-bit fingerprint is cut into 32 segments of two bits; their bit counts (0 to 2) are
-its place in a 32-dimensional grid. Fingerprints that differ in few bits lie at a
-Manhattan distance of at most as many. So a range join on the grid finds every pair,
-and the few it finds are compared bit by bit.
-
-A distance of at most 4 over both halves of the grid is at most 2 in the first half or
-at most 1 in the second. A fingerprint visits all cells within 1 of its own in either
-half: two within 2 of each other in the first half meet in a cell between them, two
-within 1 in the second half meet where one of them is at home.
+Each half of a 64-bit fingerprint is cut into segments of two bits, and once more into
+segments shifted by one bit. The bit counts of the segments (0 to 2) are the half's place
+in two grids. A changed bit moves a place by one in each grid, so halves that differ in
+few bits lie at a Manhattan distance of at most as many in either. A range join on the
+grids finds every pair, and the few it finds are compared bit by bit.
+
+A distance of at most 4 over both halves is at most 2 in the first half or at most 1 in
+the second. A fingerprint visits its own cell and the cells one bit away: two within 2
+of each other in the first half meet in a cell between them, two within 1 in the second
+half meet where one of them is at home.
 """
 
 from __future__ import annotations
@@ -35,8 +36,7 @@ _FEW = 8
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _PLACE = np.uint64(1) << np.arange(63, -1, -1, dtype=np.uint64)
 _SEGMENT_BITS = 0x5555_5555
-#: Marks the cells of the second half.
-_SECOND = 1 << 40
+_HALF = 0xFFFF_FFFF
 
 
 def shingle_hashes(text: str, size: int = SHINGLE, seed: int = SEED) -> np.ndarray:
@@ -79,35 +79,31 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", of("text").alias("fp"))
 
 
-def half_embedding(bits: Column) -> Column:
-    """The 16 bit counts of 32 bits, two bits each, packed into one long."""
+def counts(bits: Column) -> Column:
+    """The bit counts of the 16 segments of 32 bits, two bits each, packed into one long."""
     mask = F.lit(_SEGMENT_BITS)
-    return bits.bitwiseAND(mask) + F.shiftrightunsigned(bits, 1).bitwiseAND(mask)
+    return bits.bitwiseAND(mask) + F.shiftright(bits, 1).bitwiseAND(mask)
 
 
-def visits(fps: DataFrame) -> DataFrame:
-    """(cell, home, fp): the home cell in each half of the grid, and all cells beside it."""
-    halves = F.array(
-        half_embedding(F.col("fp").bitwiseAND(F.lit(0xFFFF_FFFF))),
-        half_embedding(F.shiftrightunsigned("fp", 32)).bitwiseOR(F.lit(_SECOND)),
-    )
+def cell(bits: Column, half: Column) -> Column:
+    """The cell of 32 bits in both grids of a half, as one hash."""
+    turned = F.shiftright(bits, 1) + F.shiftleft(bits.bitwiseAND(F.lit(1)), 31)
+    return F.xxhash64(half, counts(bits), counts(turned))
 
-    def around(cell: Column) -> Column:
-        def beside(s: Column) -> Column:
-            step = F.call_function("shiftleft", F.lit(1).cast("long"), 2 * s)
-            count = F.call_function("shiftright", cell, 2 * s).bitwiseAND(F.lit(3))
-            return F.array(F.when(count < 2, cell + step), F.when(count > 0, cell - step))
-
-        near = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(15)), beside))
-        return F.concat(
-            F.array(F.struct(cell.alias("cell"), F.lit(True).alias("home"))),
-            F.transform(
-                F.array_compact(near), lambda c: F.struct(c.alias("cell"), F.lit(False).alias("home"))
-            ),
-        )
 
-    placed = fps.select("fp", F.explode(halves).alias("own"))
-    return placed.select("fp", F.explode(around(F.col("own")))).select("col.*", "fp")
+def visits(fps: DataFrame) -> DataFrame:
+    """(half, cell, home, fp): the own cell in each half of the grids, and all cells one bit away."""
+    halves = F.array(F.col("fp").bitwiseAND(F.lit(_HALF)), F.shiftrightunsigned("fp", 32))
+    flips = F.array(*(F.lit(f).cast("long") for f in [0, *(1 << i for i in range(32))]))
+    placed = fps.select("fp", F.posexplode(halves).alias("half", "bits")).select(
+        "fp", "half", "bits", F.explode(flips).alias("flip")
+    )
+    return placed.select(
+        "half",
+        cell(F.col("bits").bitwiseXOR(F.col("flip")), F.col("half")).alias("cell"),
+        (F.col("flip") == 0).alias("home"),
+        "fp",
+    )
 
 
 def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -177,17 +173,18 @@ def linked(fps: DataFrame) -> DataFrame:
     for each set of linked fingerprints and not the pairs.
     """
     ship(fps.sparkSession)
-    cell = W.partitionBy("cell")
+    members = W.partitionBy("cell")
     met = (
         visits(fps)
         .select(
             "cell",
             "fp",
-            F.count("*").over(cell).alias("n"),
-            F.count_if(F.col("home")).over(cell).alias("homes"),
+            F.col("half"),
+            F.count("*").over(members).alias("n"),
+            F.count_if(F.col("home")).over(members).alias("homes"),
         )
         # In the second half only a cell where someone is at home can link.
-        .filter((F.col("n") > 1) & ((F.col("cell") < _SECOND) | (F.col("homes") > 0)))
+        .filter((F.col("n") > 1) & ((F.col("half") == 0) | (F.col("homes") > 0)))
     )
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
