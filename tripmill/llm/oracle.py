@@ -39,5 +39,23 @@ rated as (
 """
 
 ORACLE: dict[str, str] = {
+    "op2_voronoi_top_k": """
+with v as (
+  select vec_id as id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+  from embeddings
+  where vec_id is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+c as (
+  select id, v as vector, generate_subscripts(v, 1) as i, unnest(v) as x from v),
+s as (
+  select q.id as query_id, d.id as vec_id, sum(q.x * d.x)::bigint as score
+  from c q join c d on q.i = d.i and len(q.vector) = len(d.vector)
+  where q.id % 50 = 0 and q.id <> d.id
+  group by q.id, d.id),
+r as (
+  select query_id, vec_id, score,
+    row_number() over (partition by query_id order by score desc, vec_id)::int as rank
+  from s)
+select query_id, rank, vec_id, score from r where rank <= 5""",
     "op8_decontaminate": f"with {DECONTAMINATE.format(docs='documents')} select * from rated",
 }

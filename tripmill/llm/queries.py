@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, decontaminate, sharding, simhash
+from tripmill.llm import bpe, decontaminate, language, lines, sharding, simhash, topk, toxicity
 from tripmill.llm.common import table
 from tripmill.session import scratch_path
 
@@ -28,16 +28,42 @@ RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 def op1_byte_bpe(spark, sf):
     """Every text as token ids and back."""
     codec = bpe.Codec(spark, RANK_FILE, public_tokenizers.PATTERN)
-    encoded = table(spark, sf, "documents").select("doc_id", codec.encode(F.col("text")).alias("ids"))
-    decoded = encoded.select("doc_id", "ids", codec.decode(F.col("ids")).alias("decoded"))
-    return decoded.select(
+    coded = table(spark, sf, "documents").select("doc_id", codec.round_trip(F.col("text")).alias("c"))
+    return coded.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.size("c.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("c.ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("c.decoded", 256).alias("decoded_sha256"),
     )
 
 
+@register
+def op2_voronoi_top_k(spark, sf):
+    """The five rows of highest inner product for every fiftieth vector."""
+    return topk.top_k(table(spark, sf, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+@register
+def op3_output_codes(spark, sf):
+    """The language of every document."""
+    docs = table(spark, sf, "documents")
+    predicted = language.predict(docs, language.fit(docs))
+    return predicted.select(
+        "doc_id",
+        language.held_out(F.col("doc_id")).alias("held_out"),
+        "lang_pred",
+        F.col("lang_score").alias("score"),
+        F.col("lang_ambiguous").alias("ambiguous"),
+    )
+
+
+@register
+def op4_template_tree(spark, sf):
+    """Every document without the lines of recurring templates."""
+    kept = lines.report(table(spark, sf, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @register
 def op5_simhash(spark, sf):
     """The component of every document under links of at most four fingerprint bits."""
@@ -47,6 +73,20 @@ def op5_simhash(spark, sf):
     )
 
 
+@register
+def op7_toxic_segments(spark, sf):
+    """The toxicity of every document."""
+    docs = table(spark, sf, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf, "labels")))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+        F.size("passages").alias("n_passages"),
+    )
+
+
 @register
 def op8_decontaminate(spark, sf):
     """Words of benchmark windows in every document."""
