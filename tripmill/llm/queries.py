@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, decontaminate, language, lines, sharding, simhash, topk, toxicity
+from tripmill.llm import bpe, decontaminate, language, lines, sharding, simhash, suffixes, topk, toxicity
 from tripmill.llm.common import table
 from tripmill.session import scratch_path
 
@@ -102,6 +102,20 @@ def op8_decontaminate(spark, sf):
     )
 
 
+@register
+def op9_suffix_arrays(spark, sf):
+    """Every document without bytes that repeat an earlier string of 100 bytes."""
+    found = suffixes.without_repeats(table(spark, sf, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @register
 def op10_virtual_slots(spark, sf):
     """All documents in eight shards of near equal bytes."""
