@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, decontaminate, language, lines, sharding, simhash, suffixes, topk, toxicity
+from tripmill.llm import bpe, decontaminate, language, lines, sharding, simhash, suffixes, topk, toxicity, warc
 from tripmill.llm.common import table
 from tripmill.session import scratch_path
 
@@ -73,6 +73,25 @@ def op5_simhash(spark, sf):
     )
 
 
+@register
+def op6_warc_derivatives(spark, sf):
+    """Metadata and plain-text records of every page."""
+    responses = warc.responses_of_pages(table(spark, sf, "pages"), date="2026-01-01T00:00:00Z")
+    records = warc.with_bytes(warc.derive(responses))
+    return records.select(
+        "page_id",
+        "type",
+        "record_id",
+        "refers_to",
+        "target_uri",
+        "content_type",
+        "content_length",
+        "block_digest",
+        "payload_digest",
+        F.sha2("record_bytes", 256).alias("record_sha256"),
+    )
+
+
 @register
 def op7_toxic_segments(spark, sf):
     """The toxicity of every document."""
