@@ -26,7 +26,6 @@ from tripmill.llm.common import ship
 
 #: Labelled rows of either label that are read to fit; half for log-odds, half for the curve.
 FIT_ROWS = 6_000
-PRIOR_MASS = 1_000.0
 MIN_Z = 3.0
 MIN_LOG_ODDS = 1.5
 #: Cost of a word that says nothing.
@@ -121,12 +120,13 @@ class ToxicityModel:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(toxic, before, word) of the rows (toxic, text), once for each pair of words in a batch."""
+    """(toxic, around, word) of the rows (toxic, text), once a batch; around are both neighbours."""
     for batch in batches:
         seen: set[tuple[int, str, str]] = set()
         for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             found = words(text or "")
-            seen.update((toxic, a, b) for a, b in zip(["", *found], found, strict=False))
+            around = zip(["", *found], [*found[1:], ""], found, strict=False)
+            seen.update((toxic, f"{a} {b}", word) for a, b, word in around)
         rows = list(seen)
         yield pa.RecordBatch.from_arrays(
             [
@@ -134,17 +134,18 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([r[1] for r in rows], pa.string()),
                 pa.array([r[2] for r in rows], pa.string()),
             ],
-            ["toxic", "before", "word"],
+            ["toxic", "around", "word"],
         )
 
 
 def lexicon(rows: DataFrame) -> dict[str, tuple[float, float]]:
     """Features of significantly raised odds in the rows (toxic, text).
 
-    A word counts once for each word before it, so copies of one text add nothing. The
-    prior spreads ``PRIOR_MASS`` over the features by their share of all rows.
+    A word counts once for each pair of neighbours, so copies of one text add nothing. The
+    prior weighs as much as the toxic rows and is spread over the features by their share
+    of all rows: to be raised, a feature must outdo what chance would give the toxic rows.
     """
-    contexts = rows.mapInArrow(_contexts, "toxic int, before string, word string").distinct()
+    contexts = rows.mapInArrow(_contexts, "toxic int, around string, word string").distinct()
     by_word = contexts.groupBy("word").agg(
         F.count_if(F.col("toxic") == 1).alias("a"), F.count_if(F.col("toxic") == 0).alias("b")
     )
@@ -157,9 +158,10 @@ def lexicon(rows: DataFrame) -> dict[str, tuple[float, float]]:
     n = by_word.agg(F.sum("a"), F.sum("b")).first()
     if not n[0] or not n[1]:
         return {}
-    prior = F.col("share") * PRIOR_MASS
+    mass = float(n[0])
+    prior = F.col("share") * mass
     a, b = F.col("a") + prior, F.col("b") + prior
-    log_odds = F.log(a / (n[0] + PRIOR_MASS - a)) - F.log(b / (n[1] + PRIOR_MASS - b))
+    log_odds = F.log(a / (n[0] + mass - a)) - F.log(b / (n[1] + mass - b))
     scored = counts.withColumn("share", (F.col("a") + F.col("b")) / (n[0] + n[1])).select(
         "feature", log_odds.alias("odds"), (log_odds / F.sqrt(1 / a + 1 / b)).alias("z")
     )

@@ -75,7 +75,7 @@ def links(page: str, base: str | None) -> list[str]:
 
 def _one_line(value: str) -> str:
     """A value that cannot end its header line."""
-    return re.sub(r"[\r\n]+", " ", value).strip()
+    return " ".join(value.splitlines()).strip()
 
 
 def metadata(response: dict, page: str, payload_digest: str) -> bytes:
