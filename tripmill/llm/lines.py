@@ -30,21 +30,24 @@ CONSTANT = 0.8
 #: Documents, each with surroundings of its own, that make a template recur.
 RECURS = 5
 FIELD = "<*>"
-_FIELD = regex.compile(r"\S*\p{N}\S*")
+_NUMBER = regex.compile(r"\p{N}")
 
 
 def masked(line: str) -> str:
     """The line with single spaces, and tokens with a digit as fields."""
-    return " ".join(_FIELD.sub(FIELD, line).split())
+    tokens = line.split()
+    if _NUMBER.search(line):
+        tokens = [FIELD if _NUMBER.search(t) else t for t in tokens]
+    return " ".join(tokens)
 
 
 def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
-def leaf_of(tokens: list[str]) -> int:
-    """The leaf that number and leading tokens lead to."""
-    return _hash(f"{len(tokens)} {' '.join(tokens[:LEAD])}")
+def leaf_of(form: str) -> int:
+    """The leaf that number and leading tokens of a masked line lead to."""
+    return _hash(f"{form.count(' ')} {' '.join(form.split(' ', LEAD)[:LEAD])}")
 
 
 def text_lines(text: str) -> list[tuple[int, str]]:
@@ -59,14 +62,14 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every line of the rows (doc_id, text_hash, text) as hashes."""
     for batch in batches:
         columns: list[list] = [[], [], [], [], [], []]
-        for doc, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            found = text_lines(text)
+        for doc, key, text in zip(*batch.columns, strict=True):
+            doc, key, found = doc.as_py(), key.as_py(), text_lines(text.as_py())
             hashes = [_hash(m) for _, m in found]
             around = [0, *hashes, 0]
             columns[0].extend([doc] * len(found))
             columns[1].extend([key] * len(found))
             columns[2].extend(i for i, _ in found)
-            columns[3].extend(leaf_of(m.split(" ")) for _, m in found)
+            columns[3].extend(leaf_of(m) for _, m in found)
             columns[4].extend(hashes)
             columns[5].extend(
                 _hash(f"{a} {b}") for a, b in zip(around[:-2], around[2:], strict=True)
@@ -81,11 +84,10 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(leaf, hash, form) of the lines of the rows (text), each once in a batch."""
     for batch in batches:
-        seen = {m for text in batch.column(0).to_pylist() for _, m in text_lines(text)}
-        forms = sorted(seen)
+        forms = list({m for text in batch.column(0) for _, m in text_lines(text.as_py())})
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([leaf_of(m.split(" ")) for m in forms], pa.int64()),
+                pa.array([leaf_of(m) for m in forms], pa.int64()),
                 pa.array([_hash(m) for m in forms], pa.int64()),
                 pa.array(forms, pa.string()),
             ],
