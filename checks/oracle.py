@@ -9,9 +9,14 @@ def fx(value: str, scale: int = 10_000) -> str:
     return f"cast(floor({value} * {scale}.0 + 0.5) as bigint)"
 
 
-def mean(value: str, scale: int = 10_000) -> str:
-    units = f"cast({value} as bigint)" if scale == 1 else fx(value, scale)
-    return f"cast(sum({units}) as double) / cast(nullif(count({value}), 0) * {scale} as double)"
+def shown(value: str, digits: int) -> str:
+    """``value`` rounded once; the factor keeps exact halves from falling either way."""
+    return f"round({value} * 1.000000000001::double, {digits})"
+
+
+def mean(value: str) -> str:
+    """The plain mean, rounded once: the last digits of a sum depend on its order."""
+    return shown(f"avg({value})", 6)
 
 
 def rnd(value: str, digits: int) -> str:
@@ -236,6 +241,13 @@ ORACLE["enrich_zones"] = f"""with {ZONES}, {FREIGHT_RAW}
         d."Borough" as do_borough, d."Zone" as do_zone_name
     from freight_raw left join zones p on pu_location_id = p."LocationID"
         left join zones d on do_location_id = d."LocationID" """
+ORACLE["enrich_zones_repeated"] = ORACLE["enrich_zones"]
+_LABELLED = f"""labelled as (
+    select * replace (case vehicle_type when 'freight_R' then 'freight' else vehicle_type end
+        as vehicle_type) from freight_raw),
+    landed as (select * from labelled union all select * from labelled where l_linenumber = 1)"""
+ORACLE["silver_all_labels"] = f"""with {FREIGHT_RAW}, {_LABELLED}
+    {_counts('landed', FREIGHT_VALID, FREIGHT_KEYS)}"""
 ORACLE["time_parts"] = """
     select event_id, ts, cast(hour(ts) as integer) as pickup_hour,
         cast(dayofweek(ts) + 1 as integer) as pickup_dow, cast(ts as date) as trip_date
@@ -261,7 +273,7 @@ ORACLE["feed_subset"] = on_silver(
 PU = "pu_location_id, pu_borough, pu_zone_name"
 DO = "do_location_id, do_borough, do_zone_name"
 FARE, TOTAL, DISTANCE = mean("fare_amount"), mean("total_amount"), mean("trip_distance")
-DURATION = mean("trip_duration_sec", 1)
+DURATION = mean("trip_duration_sec")
 N = "count(*) as trip_count"
 
 KPIS = {
@@ -296,8 +308,8 @@ ORACLE["weather_daily"] = f"""with {SILVER}, {WEATHER}
     from silver join weather on trip_date = date group by 1, 2, 3, 4, 5"""
 
 
-def _sum(value: str, scale: int = 10_000) -> str:
-    return f"cast(sum({fx(value, scale) if scale > 1 else value}) as bigint)"
+def _sum(value: str, whole: bool = False) -> str:
+    return f"cast(sum({value}) as bigint)" if whole else shown(f"sum({value})", 4)
 
 
 ORACLE["trip_rollup"] = on_silver(f"""
@@ -305,7 +317,7 @@ ORACLE["trip_rollup"] = on_silver(f"""
         {_sum('fare_amount')} as fare_sum, count(fare_amount) as fare_n,
         {_sum('total_amount')} as total_sum, count(total_amount) as total_n,
         {_sum('trip_distance')} as distance_sum, count(trip_distance) as distance_n,
-        {_sum('trip_duration_sec', 1)} as duration_sum, count(trip_duration_sec) as duration_n
+        {_sum('trip_duration_sec', True)} as duration_sum, count(trip_duration_sec) as duration_n
     from silver group by all""")
 
 ORACLE["trip_side_rollup"] = on_silver(f"""
@@ -335,6 +347,50 @@ ORACLE["kpis_from_rollup"] = on_silver(
 )
 ORACLE["serving_snapshot"] = ORACLE["trips_by_zone_hour"]
 
+_DAYS = f"""select date, temp_max, temp_min, precipitation_sum, weather_code, {N}
+    from silver join weather on trip_date = date group by 1, 2, 3, 4, 5"""
+
+
+def _numbers(kpi: str, keys: str, *measures: str) -> str:
+    """Every number of a KPI as a row of its own."""
+    return " union all ".join(
+        f"""select '{kpi}' as kpi, concat_ws('|', {keys}) as group_key, '{m}' as measure,
+            cast({m} as double) as value from ({_DAYS if kpi == 'weather_daily' else KPIS[kpi]})"""
+        for m in measures
+    )
+
+
+ORACLE["all_kpis"] = f"with {SILVER}, {WEATHER} " + " union all ".join(
+    [
+        _numbers("trips_by_zone_hour", f"{PU}, pickup_hour", "trip_count"),
+        _numbers("trips_by_zone_day", f"{PU}, pickup_dow", "trip_count"),
+        _numbers("avg_fare_by_feed", "vehicle_type", "trip_count", "avg_fare", "avg_total"),
+        _numbers("avg_fare_by_hour", "vehicle_type, pickup_hour", "trip_count", "avg_fare"),
+        _numbers(
+            "avg_distance", "vehicle_type, pu_location_id, pu_zone_name", "trip_count", "avg_distance"
+        ),
+        _numbers("monthly_trend", "vehicle_type, year_month", "trip_count", "avg_fare"),
+        _numbers("top_pickup", PU, "trip_count"),
+        _numbers("avg_duration", "vehicle_type", "trip_count", "avg_duration_sec"),
+        _numbers("top_dropoff", DO, "trip_count"),
+        _numbers("payment_distribution", "vehicle_type, payment_type", "trip_count"),
+        _numbers("shared_rate", "vehicle_type", "total_trips", "shared_trips", "shared_rate"),
+        _numbers(
+            "weather_daily",
+            "date",
+            "trip_count",
+            "temp_max",
+            "temp_min",
+            "precipitation_sum",
+            "weather_code",
+        ),
+    ]
+)
+ORACLE["file_manifest"] = """
+    select 'map_' || n_nationkey as file, strlen(n_name || ' ' || n_regionkey) + 1 as file_size_bytes,
+        md5(n_name || ' ' || n_regionkey || chr(10)) as content_hash, 'text/plain' as media_type
+    from nation"""
+
 # ---- lake -----------------------------------------------------------------
 
 KEY_TEXT = (
@@ -372,9 +428,9 @@ ORACLE["serving_sorted"] = on_silver(
 STATS = """select vehicle_type, avg(fare_amount) as mean_fare, stddev_samp(fare_amount) as std_fare,
     avg(trip_distance) as mean_distance, stddev_samp(trip_distance) as std_distance
     from silver group by 1"""
-ORACLE["feed_stats"] = on_silver(f"""select vehicle_type, round(mean_fare, 4) as mean_fare,
-    round(std_fare, 4) as std_fare, round(mean_distance, 4) as mean_distance,
-    round(std_distance, 4) as std_distance from ({STATS})""")
+ORACLE["feed_stats"] = on_silver(f"""select vehicle_type, {shown('mean_fare', 4)} as mean_fare,
+    {shown('std_fare', 4)} as std_fare, {shown('mean_distance', 4)} as mean_distance,
+    {shown('std_distance', 4)} as std_distance from ({STATS})""")
 SCORED = f"""scored as (
     select silver.*,
         case when std_fare > 0 then abs((fare_amount - mean_fare) / std_fare) else 0.0 end
@@ -384,7 +440,7 @@ SCORED = f"""scored as (
     from silver left join ({STATS}) s on silver.vehicle_type = s.vehicle_type)"""
 ORACLE["zscores"] = f"""with {SILVER}, {SCORED}
     select vehicle_type, pickup_ts, pu_location_id, do_location_id, fare_amount, trip_distance,
-        round(fare_z, 4) as fare_zscore, round(distance_z, 4) as distance_zscore from scored"""
+        {shown('fare_z', 4)} as fare_zscore, {shown('distance_z', 4)} as distance_zscore from scored"""
 ORACLE["zscores_any_feed"] = ORACLE["zscores"]
 
 
@@ -398,8 +454,8 @@ def _tagged(threshold: float) -> str:
                 case when pu_location_id = do_location_id then 'same_zone' end) as anomaly_reason,
             source_file
         from scored where fare_z > {threshold} or distance_z > {threshold}),
-    anomalies as (select * exclude (fare_z, distance_z), round(fare_z, 4) as fare_zscore,
-        round(distance_z, 4) as distance_zscore, fare_z, distance_z from tagged)"""
+    anomalies as (select * exclude (fare_z, distance_z), {shown('fare_z', 4)} as fare_zscore,
+        {shown('distance_z', 4)} as distance_zscore, fare_z, distance_z from tagged)"""
 
 
 _OUT = "select * exclude (fare_z, distance_z) from anomalies"
@@ -431,7 +487,8 @@ ORACLE["ml_split"] = f"""with {SILVER}, {MODEL_ROWS}
     select {MODEL_COLUMNS}, split_hash < '{_below(0.2)}' as is_test from model_rows"""
 REPORT = f"""{MODEL_ROWS},
     split as (select *, split_hash < '{_below(0.2)}' as is_test from model_rows),
-    means as (select vehicle_type, pickup_hour, {DURATION} as prediction
+    means as (select vehicle_type, pickup_hour,
+            cast(sum(trip_duration_sec) as double) / count(trip_duration_sec) as prediction
         from split where not is_test group by 1, 2),
     predicted as (select split.*, prediction from split left join means
         on split.vehicle_type = means.vehicle_type and split.pickup_hour = means.pickup_hour),
@@ -605,11 +662,17 @@ ORACLE["ranked_samples"] = on_silver(
         ]
     )
 )
-ORACLE["lake_samples"] = f"""{_tagged(3.0)}, {REPORT}
+# The twelve KPI tables but that of the shared rides, each counted if it has a row.
+_filled = " + ".join(
+    f"(select (count(*) > 0)::int from ({sql}))"
+    for sql in [*(v for k, v in KPIS.items() if k != "shared_rate"), _DAYS]
+)
+ORACLE["lake_samples"] = f"""{_tagged(3.0)}, {REPORT}, {WEATHER}
     select 'lake_anomaly_trips_total' as name, '' as labels, cast(count(*) as double) as value
         from tagged
-    union all select 'serving_kpi_tables', '', 12.0::double
-    union all select 'serving_lake_tables', '', 4.0::double
+    union all select 'serving_kpi_tables', '', cast({_filled} as double)
+    union all select 'serving_lake_tables', '', cast(
+        (select count(*) > 0 from tagged)::int + (select count(*) > 0 from silver)::int as double)
     union all select 'lake_ml_mae_seconds', '', {rnd('mae_seconds', 2)} from report
     union all select 'lake_ml_r2_score', '', {rnd('r2_score', 4)} from report"""
 
@@ -622,6 +685,12 @@ TABLES = {
     "dim_part": "part",
     "dim_nation": "nation",
     "dim_region": "region",
+    "text_documents": "documents",
+    "text_pages": "pages",
+    "text_benchmark": "benchmark",
+    "text_labels": "labels",
+    "text_conversations": "conversations",
+    "vector_embeddings": "embeddings",
 }
 ORACLE["table_inventory"] = (
     "with counts as ("
@@ -632,3 +701,22 @@ ORACLE["table_inventory"] = (
     + """) select prefix, table_name, cast(sum(n) as bigint) as row_count, count(*) as tables
     from counts group by rollup (prefix, table_name)"""
 )
+
+ORACLE["serving_reports"] = f"""with {SILVER}, {REPORT}, {_LAYOUT}, per_column as (
+        select feed, lower(name) as column_name, count(distinct file) as files_with_column,
+            (select count(distinct file) from columns) as files_analyzed
+        from columns group by feed, lower(name))
+    """ + " union all ".join(
+    [
+        *(
+            f"""select 'duration_model' as report, 'means' as group_key, '{m}' as measure,
+                cast({m} as double) as value from report"""
+            for m in ("mae_seconds", "r2_score", "train_rows", "test_rows")
+        ),
+        *(
+            f"""select 'schema_drift', feed || '|' || column_name, '{m}', cast({m} as double)
+                from per_column"""
+            for m in ("files_with_column", "files_analyzed")
+        ),
+    ]
+)

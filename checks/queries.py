@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import bindings as b
@@ -13,7 +14,13 @@ from tripmill.functions.numbers import mean_of
 from tripmill.functions.periods import month_of, period_of
 from tripmill.operators import anomalies as an
 from tripmill.operators import flows, incidents, kpis, models, quality, serving, steps
-from tripmill.operators.conform import add_time_parts, conform, only_feeds, union_feeds
+from tripmill.operators.conform import (
+    add_time_parts,
+    conform,
+    feed_label,
+    only_feeds,
+    union_feeds,
+)
 from tripmill.operators.drift import file_columns, schema_drift, union_columns
 from tripmill.operators.tally import from_rollup, rollup, side_rollup, summarise, tally
 from tripmill.operators.zones import add_zones
@@ -133,7 +140,20 @@ def csv_dimension(spark, sf):
 
 @register
 def file_manifest_(spark, sf):
-    return file_manifest(spark, sf, "*.parquet", media_type="application/vnd.apache.parquet")
+    """Manifest of one text file per nation, written by the query."""
+    root = scratch_path(spark, "names")
+    names = b.table(spark, sf, "nation").select(
+        F.concat(F.lit("map_"), F.col("n_nationkey").cast("string")).alias("file"),
+        F.concat_ws(" ", "n_name", F.col("n_regionkey").cast("string")).alias("value"),
+    )
+    names.repartition("file").write.partitionBy("file").text(root)
+    found = file_manifest(spark, root, "*.txt", media_type="text/plain")
+    return found.select(
+        F.regexp_extract("file_path", r"file=([^/]+)/", 1).alias("file"),
+        "file_size_bytes",
+        "content_hash",
+        "media_type",
+    )
 
 
 @register
@@ -232,7 +252,29 @@ def serving_snapshot(spark, sf):
 @register
 def serving_capped(spark, sf):
     table = flows.zone_heatmap(b.silver(spark, sf))
-    return serving.capped(table, serving.LAKE_KEYS["zone_heatmap"])
+    return _means(serving.capped(table, serving.LAKE_KEYS["zone_heatmap"], serving.SERVED_ROWS))
+
+
+@register
+def serving_reports(spark, sf):
+    """The model report and the drift report as dashboards read them, one row per number."""
+    trips = materialised(b.silver(spark, sf), "trips")
+    rows = models.ml_input(trips, fraction=1.0, cap=None)
+    report = models.regression_metrics(_mean_predictor(rows)).withColumn("model", F.lit("means"))
+    served = []
+    for name, table in (("duration_model", report), ("schema_drift", schema_drift(_footers(spark, sf)))):
+        path = scratch_path(spark, name)
+        tables.write_sorted(serving.capped(table, serving.LAKE_KEYS[name]), path, serving.LAKE_KEYS[name])
+        written = spark.read.parquet(path)
+        keys = serving.LAKE_KEYS[name]
+        numbers = [c for c, kind in written.dtypes if c not in keys and kind in ("double", "bigint")]
+        wide = written.select(
+            F.lit(name).alias("report"),
+            F.concat_ws("|", *keys).alias("group_key"),
+            *[F.col(c).cast("double").alias(c) for c in numbers],
+        )
+        served.append(wide.unpivot(["report", "group_key"], numbers, "measure", "value"))
+    return union_feeds(served)
 
 
 @register
@@ -311,6 +353,37 @@ def dedup_redelivered(spark, sf):
     return quality.keep_latest(union_feeds([first, second]))
 
 
+@register
+def silver_all_labels(spark, sf):
+    """Rows landed, rejected, repeated and kept per feed, with one label declared, one not
+    and one missing: every landed row is in one of the three."""
+    raw = b.freight_raw(spark, sf).withColumn(
+        "feed", F.when(F.col("feed") != "freight_R", F.col("feed"))
+    )
+    again = raw.filter(F.col("l_linenumber") == 1)
+    spec = replace(b.FREIGHT, labels=("freight_A",))
+    path = f"{scratch_path(spark, 'labels')}/spec={spec.name}"
+    landed = raw.unionAll(again).withColumn("vehicle_type", feed_label(F.col("feed"), spec))
+    tables.write_partitions(landed, path, gather=False)
+    conformed = conform(tables.read_feeds(spark, path), spec)
+    kept = quality.keep_latest(
+        quality.apply_quality(conformed, b.FREIGHT_BOUNDS), spec.identity, drop=spec.carry
+    )
+    return quality.report_of(quality.rejects(conformed, b.FREIGHT_BOUNDS), kept)
+
+
+@register
+def enrich_zones_repeated(spark, sf):
+    """Zones listed twice, once under another name and once without a number."""
+    places = b.zones(spark, sf)
+    twice = places.unionAll(
+        places.withColumns({"Borough": F.concat(F.lit("ZZ "), "Borough"), "Zone": F.upper("Zone")})
+    ).unionAll(places.withColumn("LocationID", F.lit(None).cast("int")))
+    return add_zones(conform(b.freight_raw(spark, sf), b.FREIGHT), twice).drop(
+        "ingestion_ts", "source_file"
+    )
+
+
 @register
 def enrich_zones(spark, sf):
     return add_zones(conform(b.freight_raw(spark, sf), b.FREIGHT), b.zones(spark, sf)).drop(
@@ -348,11 +421,25 @@ def reject_counts(spark, sf):
 
 def _kpi(name: str) -> Query:
     def query(spark, sf):
-        return kpis.kpi(b.silver(spark, sf), name)
+        return _means(kpis.kpi(b.silver(spark, sf), name))
 
     return query
 
 
+def _means(df: DataFrame) -> DataFrame:
+    """Means compared to six digits: another engine adds doubles in another order."""
+    return _rounded(df, [c for c in df.columns if c.startswith("avg_") or c == "mean"], 6)
+
+
+def _rounded(df: DataFrame, columns, digits: int) -> DataFrame:
+    return df.withColumns({c: shown(c, digits) for c in columns})
+
+
+def shown(column: str, digits: int) -> Column:
+    """A double rounded once; the factor keeps exact halves from falling either way."""
+    return F.round(F.col(column).cast("double") * 1.000000000001, digits)
+
+
 for _name in (*kpis.ROLLED, *kpis.SIDE):
     REGISTERED[_name] = _kpi(_name)
 
@@ -369,7 +456,38 @@ def weather_daily(spark, sf):
 
 @register
 def trip_rollup(spark, sf):
-    return rollup(b.silver(spark, sf))
+    rolled = rollup(b.silver(spark, sf))
+    sums = ("fare_sum", "total_sum", "distance_sum")
+    return _rounded(rolled, sums, 4)
+
+
+@register
+def all_kpis(spark, sf):
+    """What gold runs: the whole catalogue from the two rollups, one row per number."""
+    trips = materialised(b.silver(spark, sf), "trips")
+    rolled = materialised(rollup(trips), "rollup")
+    side = materialised(side_rollup(trips), "side-rollup")
+    parts = []
+    for name, table in kpis.all_kpis(rolled, side, b.weather(spark, sf), b.APP_FEEDS).items():
+        numbers = [c for c in table.columns if c in KPI_NUMBERS]
+        keys = [F.col(c).cast("string") for c in table.columns if c not in KPI_NUMBERS]
+        wide = table.select(
+            F.lit(name).alias("kpi"),
+            F.concat_ws("|", *keys).alias("group_key"),
+            *[
+                (shown(c, 6) if c.startswith("avg_") else F.col(c).cast("double")).alias(c)
+                for c in numbers
+            ],
+        )
+        parts.append(wide.unpivot(["kpi", "group_key"], numbers, "measure", "value"))
+    return union_feeds(parts)
+
+
+KPI_NUMBERS = (
+    "trip_count", "avg_fare", "avg_total", "avg_distance", "avg_duration_sec",
+    "total_trips", "shared_trips", "shared_rate",
+    "temp_max", "temp_min", "precipitation_sum", "weather_code",
+)
 
 
 @register
@@ -395,7 +513,7 @@ def kpis_from_rollup(spark, sf):
                 (F.col(mean) if mean else F.lit(None).cast("double")).alias("mean"),
             )
         )
-    return union_feeds(parts)
+    return _means(union_feeds(parts))
 
 
 # ---- lake -----------------------------------------------------------------
@@ -408,22 +526,17 @@ def hash_sample(spark, sf):
 
 @register
 def od_flows(spark, sf):
-    return flows.od_flows(b.silver(spark, sf))
+    return _means(flows.od_flows(b.silver(spark, sf)))
 
 
 @register
 def zone_heatmap(spark, sf):
-    return flows.zone_heatmap(b.silver(spark, sf))
+    return _means(flows.zone_heatmap(b.silver(spark, sf)))
 
 
 @register
 def top_routes(spark, sf):
-    return flows.top_routes_of(b.silver(spark, sf))
-
-
-def _rounded(df: DataFrame, columns, digits: int) -> DataFrame:
-    """Sums of squares differ in their last digits from engine to engine."""
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    return _means(flows.top_routes_of(b.silver(spark, sf)))
 
 
 @register
@@ -441,8 +554,8 @@ def _scored(spark, sf, feeds):
         "do_location_id",
         "fare_amount",
         "trip_distance",
-        F.round("fare_zscore", 4).alias("fare_zscore"),
-        F.round("distance_zscore", 4).alias("distance_zscore"),
+        shown("fare_zscore", 4).alias("fare_zscore"),
+        shown("distance_zscore", 4).alias("distance_zscore"),
     )
 
 
@@ -519,7 +632,7 @@ def _mean_predictor(rows: DataFrame) -> DataFrame:
     known = split.filter(~F.col("is_test"))
     duration = F.col("trip_duration_sec")
     means = known.groupBy("vehicle_type", "pickup_hour").agg(
-        mean_of(F.sum(duration.cast("bigint")), F.count(duration), 0).alias("prediction")
+        mean_of(F.sum(duration.cast("bigint")), F.count(duration)).alias("prediction")
     )
     return split.join(means, ["vehicle_type", "pickup_hour"], "left")
 
@@ -642,7 +755,13 @@ def lake_samples(spark, sf):
         _mean_predictor(models.ml_input(trips, fraction=1.0, cap=None))
     )
     tagged = an.tag_anomalies(trips, feeds=b.ALL_FEEDS)
-    return steps.lake_samples(tagged, report, {"kpi": len(serving.KPI_KEYS), "lake": 4})
+    rolled = materialised(rollup(trips), "rollup")
+    side = materialised(side_rollup(trips), "side-rollup")
+    # No feed of this name: the table of shared rides is empty and does not count.
+    made = kpis.all_kpis(rolled, side, b.weather(spark, sf), ("none",))
+    return steps.lake_samples(
+        tagged, report, {"kpi": list(made.values()), "lake": [tagged, made["top_pickup"]]}
+    )
 
 
 TABLE_NAMES = {
@@ -654,6 +773,12 @@ TABLE_NAMES = {
     "dim_part": "part",
     "dim_nation": "nation",
     "dim_region": "region",
+    "text_documents": "documents",
+    "text_pages": "pages",
+    "text_benchmark": "benchmark",
+    "text_labels": "labels",
+    "text_conversations": "conversations",
+    "vector_embeddings": "embeddings",
 }
 
 

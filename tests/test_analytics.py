@@ -14,7 +14,7 @@ from tripmill.operators.flows import od_flows, top_routes_of
 from tripmill.operators.incidents import incident_trip_join
 from tripmill.operators.kpis import ROLLED, SIDE, kpi, shared_rate, weather_daily
 from tripmill.operators.tally import from_rollup, rollup, side_rollup, summarise, tally
-from tripmill.operators.topn import top_n
+from tripmill.operators.topn import cut_off, top_n
 
 
 def enriched(spark, *rows):
@@ -155,13 +155,36 @@ def test_listed_feeds_leave_others_out(spark):
     assert tag_anomalies(df, feeds=("green", "yellow")).count() == 1
 
 
-def test_salted_join_equals_the_broadcast(spark):
+def test_a_long_list_of_feeds_leaves_out_the_same_rows(spark):
     df = many(spark).repartition(9)
     stats = group_stats(df)
-    feeds = ("yellow", "fhv", "fhvhv")
-    salted, small = attach_stats(df, stats), attach_stats(df, stats, feeds)
-    columns = small.columns
-    assert sorted(map(str, salted.select(*columns).collect())) == sorted(map(str, small.collect()))
+    short = attach_stats(df, stats, ("yellow", "fhv"))
+    long = attach_stats(df, stats, ("yellow", "fhv", *[f"feed{i}" for i in range(10_000)]))
+    assert sorted(map(str, short.collect())) == sorted(map(str, long.collect()))
+    assert {r.vehicle_type for r in short.select("vehicle_type").distinct().collect()} == {
+        "yellow",
+        "fhv",
+    }
+    every = attach_stats(df, stats, ("yellow", "fhv", "fhvhv"))
+    assert attach_stats(df, stats).count() == every.count() == df.count()
+
+
+def test_corrupt_amounts_stop_nothing(spark):
+    """Unbounded columns: two huge totals, infinity and an unreadable one beside good ones."""
+    totals = [1e18, 1e18, float("inf"), float("nan"), 1e300, 12.00004, 13.00004]
+    df = enriched(spark, *[trip(total_amount=t, trip_distance=t) for t in totals])
+    row = kpi(df, "avg_fare_by_feed").first()
+    assert row.avg_total == pytest.approx(5e17) and row.trip_count == 7
+    rolled = summarise(from_rollup(rollup(df)), ROLLED["avg_distance"]).first()
+    assert rolled.avg_distance == pytest.approx(5e17) and rolled.trip_count == 4
+    assert od_flows(df).first().trip_count == 7
+    assert group_stats(df).first().mean_distance == pytest.approx(12.50004)
+
+
+def test_means_keep_small_fractions(spark):
+    df = enriched(spark, trip(fare_amount=1.00004, trip_distance=0.00004), trip(fare_amount=1.00004, trip_distance=0.00004))
+    assert kpi(df, "avg_fare_by_feed").first().avg_fare == pytest.approx(1.00004, abs=1e-12)
+    assert kpi(df, "avg_distance").first().avg_distance == pytest.approx(0.00004, abs=1e-12)
 
 
 def test_cap_keeps_the_most_extreme(spark):
@@ -169,14 +192,24 @@ def test_cap_keeps_the_most_extreme(spark):
     flagged = tag_anomalies(enriched(spark, *spread_fares(400), *fares), feeds=("yellow",))
     assert flagged.count() == 4
     assert {r.fare_amount for r in cap_anomalies(flagged, 2).collect()} == {302.0, 303.0}
+    assert cap_anomalies(flagged).count() == 4 == cap_anomalies(flagged, 100).count()
 
 
 @pytest.mark.parametrize("n", [5, 1_500, 20_000])
-def test_top_n_in_two_steps(spark, n):
+def test_top_n_by_buckets(spark, n):
     rows = spark.range(12_000).select(F.pmod(F.xxhash64("id"), F.lit(500)).alias("v"), "id")
-    found = top_n(rows.repartition(16), by("-v", "id"), n, fan=8).collect()
+    found = top_n(rows.repartition(16), by("-v", "id"), n, bucket=-F.floor(F.col("v") / 7)).collect()
     everything = sorted(((r.v, r.id) for r in rows.collect()), key=lambda r: (-r[0], r[1]))
     assert [(r.v, r.id) for r in found] == everything[:n]
+    assert top_n(rows.limit(0), by("-v", "id"), n, bucket=F.col("v")).collect() == []
+
+
+def test_a_large_top_n_sorts_only_what_can_be_among_it(spark):
+    rows = spark.range(1_000_000).select(F.pmod(F.xxhash64("id"), F.lit(100_000)).alias("v"), "id")
+    kept = cut_off(rows, 5_000, F.floor(F.col("v") / 100))
+    assert 5_000 <= kept.count() < 8_000
+    plan = top_n(rows, by("v", "id"), 5_000, F.floor(F.col("v") / 100))._jdf.queryExecution()
+    assert "rangepartitioning" not in plan.executedPlan().toString()
 
 
 def test_incidents_meet_trips_by_upper_case_area(spark):

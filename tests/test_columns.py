@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripmill.functions.hashing import SAMPLE, SPLIT, below_fraction, key_hash
-from tripmill.functions.numbers import fixed_point, mean_of, rounded
+from tripmill.functions.numbers import deviation_of, exact, fixed_point, mean_of, rounded
 from tripmill.functions.periods import first_day, month_of, period_of, source_name
 
 
@@ -64,14 +64,30 @@ def test_mean_of_nothing_is_null(spark):
 
 def test_means_do_not_depend_on_row_order(spark):
     rows = spark.range(50_000).select((F.col("id") * 0.07 + 1e6).alias("v"))
-    mean = mean_of(F.sum(fixed_point(F.col("v"))), F.count("v")).alias("m")
+    mean = mean_of(F.sum(exact(F.col("v"))), F.count("v")).alias("m")
     found = {
         rows.repartition(n).orderBy(order).agg(mean).first()["m"]
         for n in (1, 7)
         for order in ("v", F.desc("v"))
     }
     assert len(found) == 1
-    assert abs(found.pop() - (1e6 + 0.07 * 49_999 / 2)) < 1e-3
+    assert abs(found.pop() - (1e6 + 0.07 * 49_999 / 2)) < 1e-6
+
+
+@pytest.mark.parametrize("value", [float("inf"), float("-inf"), float("nan"), 1e25, None])
+def test_what_no_decimal_holds_is_unknown(spark, value):
+    assert one(spark, exact(F.lit(value).cast("double"))) is None
+
+
+def test_deviation_from_exact_sums(spark):
+    rows = spark.range(1_000).select((F.col("id") * 0.37 + 0.00001).alias("v"))
+    x = exact(F.col("v"), "decimal(18,6)")
+    found, plain = rows.agg(
+        deviation_of(F.sum(x), F.sum(x * x), F.count(x)), F.stddev_samp("v")
+    ).first()
+    assert abs(found - plain) < 1e-6
+    single = rows.limit(1).agg(deviation_of(F.sum(x), F.sum(x * x), F.count(x))).first()[0]
+    assert single is None
 
 
 def test_key_hash_is_md5_of_the_key(spark):

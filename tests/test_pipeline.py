@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import random
+from dataclasses import replace
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tripmill.feeds import FEEDS
 from tripmill.operators import models
 from tripmill.plans.layers import Pipeline, RawSources
-from tripmill.specs import LakeOptions, PeriodFilter, RunOptions
+from tripmill.specs import FeedSpec, LakeOptions, PeriodFilter, RunOptions
 
 MONTHS = ("2025-04", "2025-05")
 
@@ -90,10 +91,7 @@ def run(spark, tmp_path_factory):
     incidents.write_text(
         json.dumps([{"borough": "queens", "crash_date": "2025-04-03T00:00:00.000"}] * 3)
     )
-    options = RunOptions(
-        feeds=FEEDS,
-        lake=LakeOptions(flow_fraction=0.9, anomaly_fraction=0.8, model_fraction=1.0),
-    )
+    options = RunOptions(feeds=FEEDS)
     sources = RawSources(roots, str(zones), incidents=str(incidents), images=str(images))
     return Pipeline(spark, str(base / "lake"), sources, options).run()
 
@@ -124,8 +122,7 @@ def test_gold_agrees_with_silver(run):
 
 def test_lake_tables(run):
     flows = run.read("lake", "od_flows")
-    sampled = flows.agg(F.sum("trip_count")).first()[0]
-    assert 0.8 * 952 < sampled < 952
+    assert flows.agg(F.sum("trip_count")).first()[0] == 952  # nothing is sampled unasked
     assert run.read("lake", "top_routes").count() == 50
     outliers = run.read("lake", "anomaly_trips")
     assert outliers.count() > 0
@@ -142,12 +139,21 @@ def test_lake_tables(run):
 
 def test_serving(run):
     assert run.read("serving", "lake_top_routes").count() == 50
-    assert run.read("serving", "lake_zone_heatmap").count() <= 500
+    heat = run.read("lake", "zone_heatmap").count()
+    assert run.read("serving", "lake_zone_heatmap").count() == heat
+    assert run.read("serving", "lake_duration_model").count() == 1
+    assert run.read("serving", "lake_schema_drift").count() > 0
     names = {r.name for r in run.read("serving", "kpi_samples").collect()}
     assert {"taxi_avg_fare", "taxi_shared_ride_rate", "taxi_payment_trips"} <= names
     samples = run.read("serving", "lake_samples").collect()
     assert {r.name: r.value for r in samples}["serving_kpi_tables"] == 12
+    assert {r.name: r.value for r in samples}["serving_lake_tables"] == 6
     assert sum(r.name == "lake_top_route" for r in samples) == 15
+    gauges = run.read("serving", "step_samples").filter("value > 0 and layer = 'silver'")
+    assert "pipeline_duplicates_removed" in {r.name for r in gauges.collect()}
+    inventory = {r.table_name: r.row_count for r in run.read("serving", "table_inventory").collect()}
+    assert inventory["silver_trips"] == 952
+    assert run.read("serving", "step_durations").filter("layer is null").count() == 1
 
 
 def test_step_records(run, spark):
@@ -159,6 +165,76 @@ def test_step_records(run, spark):
     assert rows[("silver", "trips")].rows_written == 952
     assert rows[("bronze", "land_yellow")].rows_written == 260
     assert rows[("bronze", "images")].rows_written == 1
+    assert rows[("bronze", "weather")].extra["default"] == "True"
+    assert rows[("bronze", "incidents")].extra["default"] == "False"
+    assert rows[("lake", "od_flows")].extra["fraction"] == "1.0"
+    assert rows[("silver", "trips")].rows_read == 4 * 260
+    assert steps.filter("rows_read = 0 and rows_written > 0").count() == 0
+
+
+def test_bronze_tables_say_where_they_are_from(run):
+    for name, default in (("zones", False), ("images", False), ("weather", True), ("incidents", False)):
+        table = run.read("bronze", name)
+        assert {"_ingestion_ts", "_source_file"} <= set(table.columns)
+        assert {r[0] for r in table.select("_is_default").collect()} == {default}
+
+
+def test_every_landed_row_is_kept_rejected_or_repeated(run):
+    for r in run.read("silver", "quality_report").collect():
+        assert r.rows_read == r.rows_kept + r.invalid_records + r.duplicates_removed
+
+
+def labelled(folder):
+    """One landing of several feeds: a declared label, another one and none."""
+    folder.mkdir(parents=True)
+    start = dt.datetime(2025, 4, 1)
+    n = 90
+    table = pa.table(
+        {
+            "kind": ["day", "night", None] * (n // 3),
+            "begun": pa.array([start + dt.timedelta(minutes=i) for i in range(n)], pa.timestamp("us")),
+            "ended": pa.array([start + dt.timedelta(minutes=i + 9) for i in range(n)], pa.timestamp("us")),
+            "a": pa.array([1 + i % 5 for i in range(n)], pa.int32()),
+            "b": pa.array([400 if i == 0 else 2 for i in range(n)], pa.int32()),
+        }
+    )
+    pq.write_table(pa.concat_tables([table, table.slice(3, 3)]), folder / "shared_2025-04.parquet")
+    return str(folder)
+
+
+def test_no_label_is_lost_and_repeated_zones_multiply_nothing(spark, tmp_path):
+    spec = FeedSpec("shared", "begun", "ended", "a", "b", feed_column="kind", labels=("day",))
+    zones = tmp_path / "zones.csv"
+    lines = [f"{i},Area,Zone {i}{x},x" for i in range(1, 7) for x in "ab"]
+    zones.write_text("LocationID,Borough,Zone,service_zone\n" + "\n".join(lines) + "\n")
+    sources = RawSources({"shared": labelled(tmp_path / "raw")}, str(zones))
+    run = Pipeline(spark, str(tmp_path / "lake"), sources, RunOptions((spec,))).run(["bronze", "silver"])
+    report = {r.vehicle_type: r for r in run.read("silver", "quality_report").collect()}
+    assert set(report) == {"day", "night", "shared"}
+    for r in report.values():
+        assert r.rows_read == r.rows_kept + r.invalid_records + r.duplicates_removed == 31
+        assert r.duplicates_removed == 1
+    assert report["day"].invalid_records == 1
+    assert run.read("silver", "trips").count() == 89
+    assert run.read("silver", "trips").filter("pu_zone_name not like '%a'").count() == 0
+    steps = {s.operation: s for s in run.log.steps}
+    assert steps["trips"].extra["zones_repeated"] == "6"
+
+
+def test_a_run_without_any_feed(spark, tmp_path, run):
+    sources = RawSources({}, run.sources.zones)
+    empty = Pipeline(spark, str(tmp_path / "lake"), sources, run.options).run(["bronze", "silver"])
+    weather = empty.read("bronze", "weather")
+    assert weather.count() == 61 and weather.filter("not _is_default").count() == 0
+
+
+def test_a_skipped_model_leaves_no_report_to_serve(spark, run, tmp_path):
+    options = replace(run.options, lake=LakeOptions(min_model_rows=10**6))
+    again = Pipeline(spark, run.base, run.sources, options)
+    again.lake()
+    names = {r.name for r in again.read("serving", "lake_samples").collect()}
+    assert not any(n.startswith("lake_ml_") for n in names)
+    run.run(["lake"])
 
 
 def test_layers_restart_alone(run):
@@ -170,7 +246,10 @@ def test_layers_restart_alone(run):
 def test_presets():
     sample, light = RunOptions.sample(FEEDS), RunOptions.light(FEEDS)
     assert (sample.periods.first_n, sample.lake.anomaly_fraction) == (2, 1.0)
-    assert sample.lake.flow_fraction == 0.05
+    assert (sample.lake.flow_fraction, sample.lake.served_rows) == (0.05, 500)
+    full = RunOptions(FEEDS).lake
+    assert {full.flow_fraction, full.anomaly_fraction, full.model_fraction} == {1.0}
+    assert full.max_anomalies is None and full.served_rows is None
     assert (light.periods.first_n, light.lake.feeds) == (1, ("green",))
 
 

@@ -13,7 +13,13 @@ from pyspark.sql import functions as F
 from tripmill.feeds import FHV, YELLOW
 from tripmill.operators.drift import file_columns, schema_drift, union_columns
 from tripmill.session import scratch_path, shared_folder
-from tripmill.sources.files import file_manifest, footer_columns, list_files, with_source
+from tripmill.sources.files import (
+    arrow_uri,
+    file_manifest,
+    footer_columns,
+    list_files,
+    with_source,
+)
 from tripmill.sources.landing import land_feed, select_periods
 from tripmill.sources.reference import (
     clean_incidents,
@@ -218,6 +224,35 @@ def test_incidents(spark, tmp_path):
     assert read_incidents(spark, str(path), lines=True).count() == 2
 
 
+def test_incidents_keep_every_field(spark, tmp_path):
+    path = tmp_path / "incidents.json"
+    path.write_text(json.dumps([{"borough": "x", "crash_date": "2025-04-01", "latitude": 40.5}]))
+    row = read_incidents(spark, str(path)).first()
+    assert row.latitude == "40.5" and row.number_of_persons_injured is None
+
+
+def test_a_foreign_file_is_ignored_with_and_without_a_period(spark, tmp_path):
+    root = raw_yellow(tmp_path / "yellow")
+    (tmp_path / "yellow" / "notes.txt").write_text("not Parquet")
+    for name in ("02", "03"):
+        (tmp_path / "yellow" / f"yellow_tripdata_2025-{name}.parquet").unlink()
+    assert land_feed(spark, root, YELLOW).count() == 2
+    assert land_feed(spark, root, YELLOW, PeriodFilter(month="2025-01")).count() == 2
+
+
+@pytest.mark.parametrize(
+    ("path", "uri"),
+    [
+        ("s3a://bucket/a/b.parquet", "s3://bucket/a/b.parquet"),
+        ("gs://bucket/a", "gs://bucket/a"),
+        ("hdfs://host:8020/a", "hdfs://host:8020/a"),
+        ("/a/b", "/a/b"),
+    ],
+)
+def test_store_names_that_arrow_knows(path, uri):
+    assert arrow_uri(path) == uri
+
+
 def test_default_incidents(spark):
     rows = default_incidents(default_areas(spark)).collect()
     assert len(rows) == 5 and {r.crash_month for r in rows} == {"2025-04"}

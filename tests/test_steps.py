@@ -97,10 +97,13 @@ def test_ranks(spark):
     ]
 
 
-def test_every_anomaly_is_counted(spark):
-    values = {r.name: r.value for r in lake_samples(spark.range(701), None, {"kpi": 12, "lake": 4}).collect()}
+def test_every_anomaly_and_every_filled_table_is_counted(spark):
+    tables = {"kpi": [spark.range(n) for n in (3, 0, 1)], "lake": []}
+    samples = lake_samples(spark.range(701), None, tables).collect()
+    values = {r.name: r.value for r in samples}
     assert values["lake_anomaly_trips_total"] == 701
-    assert values["serving_kpi_tables"] == 12 and "lake_ml_mae_seconds" not in values
+    assert (values["serving_kpi_tables"], values["serving_lake_tables"]) == (2, 0)
+    assert "lake_ml_mae_seconds" not in values
 
 
 def test_inventory_totals_per_prefix(spark):

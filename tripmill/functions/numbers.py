@@ -1,10 +1,10 @@
-"""Fixed-point arithmetic on columns.
+"""Arithmetic on columns that does not depend on the order of rows.
 
-Adding doubles gives last digits that depend on the order in which tasks
-finish. Money, distance and duration are therefore added as whole numbers of
-``10**-digits`` units (BIGINT, which also keeps the aggregation buffers in the
-generated code) and divided once at the end: every run, every retry and every
-pre-aggregated table gives the same bits.
+Adding doubles gives last digits that depend on the order in which tasks finish.
+Money and distance are therefore added as wide decimals, which hold every amount
+with eight decimals, and divided once at the end: every run, every retry and every
+pre-aggregated table gives the same bits. What no decimal holds (infinity, NaN,
+amounts past ``EXACT_TYPE``) counts as unknown and stops nothing.
 """
 
 from __future__ import annotations
@@ -13,6 +13,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DIGITS = 4
+#: A single amount; sums of it are DECIMAL(38, 8), so 10^10 rows of the largest still fit.
+EXACT_TYPE = "decimal(28,8)"
+#: A single amount whose square is summed too.
+SQUARED_TYPE = "decimal(18,6)"
+
+
+def exact(value: Column, kind: str = EXACT_TYPE) -> Column:
+    """``value`` as a decimal; null where it does not fit."""
+    return value.try_cast(kind)
 
 
 def fixed_point(value: Column, digits: int = DIGITS) -> Column:
@@ -26,6 +35,13 @@ def rounded(value: Column, digits: int) -> Column:
     return fixed_point(value, digits) / F.lit(float(10**digits))
 
 
-def mean_of(total: Column, n: Column, digits: int = DIGITS) -> Column:
-    """Mean from a fixed-point total and its number of values; null for none."""
-    return F.try_divide(total, n * F.lit(10**digits))
+def mean_of(total: Column, n: Column) -> Column:
+    """Mean from an exact total and its number of values, as a double; null for none."""
+    return F.try_divide(total.cast("double"), n.cast("double"))
+
+
+def deviation_of(total: Column, squares: Column, n: Column) -> Column:
+    """Sample standard deviation from exact sums of values and squares; null below two values."""
+    values, count = total.cast("double"), n.cast("double")
+    spread = squares.cast("double") - values * F.try_divide(values, count)
+    return F.when(n > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (count - 1)))

@@ -21,6 +21,11 @@ def columns_by_role(df: DataFrame) -> dict[str, str]:
     return found
 
 
+def feed_label(column: Column, spec: FeedSpec) -> Column:
+    """The feed a row belongs to: its label, or the name of the spec if it has none."""
+    return F.coalesce(column, F.lit(spec.name))
+
+
 def conform(raw: DataFrame, spec: FeedSpec, derive_duration: bool = False) -> DataFrame:
     """One select that maps the raw columns of a feed to the trip columns.
 
@@ -55,7 +60,7 @@ def conform(raw: DataFrame, spec: FeedSpec, derive_duration: bool = False) -> Da
         duration = F.coalesce(duration, elapsed)
 
     values = {
-        "vehicle_type": typed(spec.feed_column, "string") if spec.feed_column else F.lit(spec.name),
+        "vehicle_type": feed_label(typed(spec.feed_column, "string"), spec),
         "pickup_ts": pickup,
         "dropoff_ts": dropoff,
         "pu_location_id": typed(spec.pickup_zone, "int"),

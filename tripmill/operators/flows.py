@@ -18,6 +18,7 @@ AVERAGES = {"avg_fare": "fare", "avg_distance": "distance"}
 OD_KEYS = ("vehicle_type", *PU, *DO, "pickup_hour")
 HEAT_KEYS = ("vehicle_type", *PU, "pickup_hour")
 
+# The columns of a top route.
 ROUTE_COLUMNS = (
     "vehicle_type",
     "pu_zone_name",

@@ -37,14 +37,15 @@ MAX_BINS = 256
 
 def ml_input(
     trips: DataFrame,
-    fraction: float = 0.001,
+    fraction: float = 1.0,
     cap: int | None = 10_000,
     feeds: Sequence[str] | None = None,
     keys: Sequence[str] = TRIP_IDENTITY,
 ) -> DataFrame:
-    """Trips with a positive duration: a hash sample, cut to the ``cap`` smallest hashes.
+    """Trips with a positive duration, cut to the ``cap`` smallest hashes.
 
-    Carries a second, independent hash of the key for the split.
+    ``cap`` bounds the rows a model is fitted to. Carries a second, independent hash of
+    the key for the split.
     """
     known = only_feeds(trips, feeds).filter(F.col(TARGET) > 0)
     sampled = hash_sample(known, fraction, keys)
@@ -56,7 +57,8 @@ def ml_input(
         }
     ).select("_hash", *columns)
     if cap is not None:
-        rows = top_n(rows, by("_hash", *columns), cap)
+        leading = F.conv(F.substring("_hash", 1, 4), 16, 10).cast("bigint")
+        rows = top_n(rows, by("_hash", *columns), cap, bucket=leading)
     return rows.drop("_hash")
 
 
@@ -120,7 +122,7 @@ def estimator_for(name: str, train: DataFrame):
         size = train.agg(
             F.count(F.lit(1)).alias("n"), F.stddev_pop(TARGET).alias("deviation")
         ).first()
-        return ridge(RIDGE_ALPHA, size["n"], size["deviation"])
+        return ridge(RIDGE_ALPHA, max(size["n"], 1), size["deviation"] or 0.0)
     if name == "RandomForest":
         return RandomForestRegressor(
             labelCol=TARGET,

@@ -1,4 +1,4 @@
-"""What dashboards read: full KPI snapshots and capped lake tables."""
+"""What dashboards read: snapshots by lookup key, capped where the caller asks."""
 
 from __future__ import annotations
 
@@ -29,10 +29,13 @@ LAKE_KEYS: dict[str, tuple[str, ...]] = {
     "zone_heatmap": ("pu_location_id", "pickup_hour"),
     "anomaly_trips": ("vehicle_type", "anomaly_reason"),
     "incident_correlation": ("borough", "crash_month"),
+    "duration_model": ("model",),
+    "schema_drift": ("feed", "column_name"),
 }
+#: The cap that dashboards use.
 SERVED_ROWS = 500
 
 
-def capped(df: DataFrame, order: Sequence[str], n: int = SERVED_ROWS) -> DataFrame:
-    """The first ``n`` rows by lookup key, ties broken by all other columns."""
-    return top_n(df, total_order(df, order), n)
+def capped(df: DataFrame, order: Sequence[str], n: int | None = None) -> DataFrame:
+    """The first ``n`` rows by lookup key, ties broken by all other columns; None keeps all."""
+    return df if n is None else top_n(df, total_order(df, order), n)

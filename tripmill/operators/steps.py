@@ -73,6 +73,9 @@ def gauge(
     )
 
 
+# The gauge names and labels of the functions below.
+
+
 def step_samples(steps: DataFrame) -> DataFrame:
     """Six gauges per step record."""
     labels = label_text({c: F.col(c) for c in ("layer", "operation", "status")})
@@ -148,13 +151,16 @@ def top_samples(
 
 
 def lake_samples(
-    anomalies: DataFrame, report: DataFrame | None, table_counts: Mapping[str, int]
+    anomalies: DataFrame, report: DataFrame | None, tables: Mapping[str, Sequence[DataFrame]]
 ) -> DataFrame:
-    """All anomalies counted, model quality, and the number of served tables per kind."""
+    """All anomalies counted, model quality, and the tables per kind that hold any row."""
     count = anomalies.agg(F.count(F.lit(1)).alias("n"))
     parts = [gauge(count, "lake_anomaly_trips_total", {}, "n")]
-    for kind, n in table_counts.items():
-        parts.append(gauge(count.select(F.lit(n).alias("n")), f"serving_{kind}_tables", {}, "n"))
+    for kind, members in tables.items():
+        filled = [df.limit(1).select(F.lit(1).alias("n")) for df in members]
+        none = count.select("n").limit(0)
+        n = reduce(DataFrame.unionAll, filled, none).agg(F.count("n").alias("n"))
+        parts.append(gauge(n, f"serving_{kind}_tables", {}, "n"))
     if report is not None:
         parts.append(gauge(report, "lake_ml_mae_seconds", {}, "mae_seconds", 2))
         parts.append(gauge(report, "lake_ml_r2_score", {}, "r2_score", 4))

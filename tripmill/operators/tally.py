@@ -8,16 +8,16 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.functions.numbers import DIGITS, fixed_point, mean_of
+from tripmill.functions.numbers import exact, mean_of
 from tripmill.functions.ordering import by
 from tripmill.operators.topn import top_n
 
-# Measure name -> trip column and decimals kept in its fixed-point total.
-MEASURES: dict[str, tuple[str, int]] = {
-    "fare": ("fare_amount", DIGITS),
-    "total": ("total_amount", DIGITS),
-    "distance": ("trip_distance", DIGITS),
-    "duration": ("trip_duration_sec", 0),
+# Measure name -> trip column.
+MEASURES: dict[str, str] = {
+    "fare": "fare_amount",
+    "total": "total_amount",
+    "distance": "trip_distance",
+    "duration": "trip_duration_sec",
 }
 
 PU: tuple[str, ...] = ("pu_location_id", "pu_borough", "pu_zone_name")
@@ -48,11 +48,16 @@ TALLY_COLUMNS: tuple[str, ...] = (
 
 
 def tally(trips: DataFrame) -> DataFrame:
-    """Each trip as a tally of one; NaN counts as unknown. Unused measures are pruned away."""
+    """Each trip as a tally of one. Unused measures are pruned away.
+
+    Fractions are summed as exact decimals, whole numbers as BIGINT. A value that does not
+    fit counts as unknown: it is in ``trip_count`` but not in its measure's ``n``.
+    """
     columns: dict[str, Column] = {"trip_count": F.lit(1).cast("bigint")}
-    for measure, (column, digits) in MEASURES.items():
-        value = F.col(column)
-        units = value.cast("bigint") if digits == 0 else fixed_point(value, digits)
+    types = dict(trips.dtypes)
+    for measure, column in MEASURES.items():
+        fraction = types[column] in ("double", "float")
+        units = exact(F.col(column)) if fraction else F.col(column).cast("bigint")
         columns[f"{measure}_sum"] = units
         columns[f"{measure}_n"] = F.when(units.isNull(), 0).otherwise(1).cast("bigint")
     return trips.withColumns(columns)
@@ -61,7 +66,7 @@ def tally(trips: DataFrame) -> DataFrame:
 def rollup(trips: DataFrame) -> DataFrame:
     """Trips added up to the grain every pickup-side KPI can be read from."""
     return tally(trips).groupBy(*ROLLUP_KEYS).agg(
-        *[F.sum(name).alias(name) for name in TALLY_COLUMNS]
+        *[F.try_sum(name).alias(name) for name in TALLY_COLUMNS]
     )
 
 
@@ -100,7 +105,7 @@ def summarise(tallied: DataFrame, spec: Summary) -> DataFrame:
     if spec.present:
         tallied = tallied.filter(F.col(counted) > 0)
     means = [
-        mean_of(F.sum(f"{m}_sum"), F.sum(f"{m}_n"), MEASURES[m][1]).alias(name)
+        mean_of(F.try_sum(f"{m}_sum"), F.sum(f"{m}_n")).alias(name)
         for name, m in spec.means.items()
     ]
     grouped = tallied.groupBy(*spec.keys).agg(F.sum(counted).alias("trip_count"), *means)

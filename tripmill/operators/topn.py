@@ -7,28 +7,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to here each task hands over so few rows that one task can merge them all.
-SMALL_N = 1_000
 
+def cut_off(df: DataFrame, n: int, bucket: Column) -> DataFrame:
+    """The rows up to the bucket that holds the n-th row: at least n, if there are as many.
 
-def spread(fan: int) -> Column:
-    """A group number below ``fan`` by input partition: a retried task repeats it."""
-    return F.pmod(F.spark_partition_id(), F.lit(fan))
+    Rows are counted per bucket (combined before the exchange), the last bucket needed is
+    found among the buckets, and the rows beyond it are filtered out where they are read.
+    """
+    counts = df.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+    seen = F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")  # one row per bucket
+    last = counts.select("_bucket", seen.alias("_before")).filter(F.col("_before") < n)
+    return df.filter(bucket <= last.agg(F.max("_bucket")).scalar())
 
 
-def top_n(df: DataFrame, order: Sequence[Column], n: int, fan: int = 64) -> DataFrame:
+def top_n(df: DataFrame, order: Sequence[Column], n: int, bucket: Column | None = None) -> DataFrame:
     """The first ``n`` rows. ``order`` must leave no ties.
 
-    A large ``n`` is cut in two steps: the first n of each of ``fan`` groups,
-    then the first n of those, so the last task sees at most ``fan * n`` rows
-    however many partitions and rows the input has.
+    Every task hands over up to ``n`` rows, so a large ``n`` needs a ``bucket``: a coarse
+    number that never falls along the order, with a bounded number of values and never
+    null. Then only rows that can be among the first are sorted. ``df`` is read twice.
     """
-    if n > SMALL_N:
-        rank = Window.partitionBy("_group").orderBy(*order)
-        df = (
-            df.withColumn("_group", spread(fan))
-            .withColumn("_rank", F.row_number().over(rank))
-            .filter(F.col("_rank") <= n)
-            .drop("_group", "_rank")
-        )
+    if bucket is not None:
+        df = cut_off(df, n, bucket)
     return df.orderBy(*order).limit(n)

@@ -9,18 +9,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.operators.anomalies import cap_anomalies, tag_anomalies
-from tripmill.operators.conform import add_time_parts, conform, only_feeds, union_feeds
-from tripmill.operators.drift import schema_drift
+from tripmill.operators.conform import (
+    add_time_parts,
+    conform,
+    feed_label,
+    only_feeds,
+    union_feeds,
+)
+from tripmill.operators.drift import file_columns, schema_drift, union_columns
 from tripmill.operators.flows import hash_sample, od_flows, top_routes, zone_heatmap
 from tripmill.operators.incidents import incident_trip_join
 from tripmill.operators.kpis import all_kpis
 from tripmill.operators.models import fit_and_score, ml_input
 from tripmill.operators.quality import apply_quality, keep_latest, rejects, report_of
 from tripmill.operators.serving import KPI_KEYS, LAKE_KEYS, capped
-from tripmill.operators.steps import kpi_samples, lake_samples, top_samples
+from tripmill.operators.steps import (
+    duration_rollup,
+    kpi_samples,
+    lake_samples,
+    latest_steps,
+    step_samples,
+    table_inventory,
+    top_samples,
+)
 from tripmill.operators.tally import rollup, side_rollup
-from tripmill.operators.zones import add_zones
-from tripmill.plans.reuse import persisted
+from tripmill.operators.zones import add_zones, unique_zones
+from tripmill.plans.reuse import persisted, written
 from tripmill.plans.steplog import StepLog
 from tripmill.sources.files import file_manifest, footer_columns, list_files, with_source
 from tripmill.sources.landing import land_feed
@@ -32,6 +46,7 @@ from tripmill.sources.reference import (
     read_dimension,
     read_incidents,
     read_weather,
+    with_origin,
 )
 from tripmill.sources.tables import (
     if_found,
@@ -56,6 +71,7 @@ class RawSources:
     weather: str | None = None
     incidents: str | None = None
     images: str | None = None
+    incident_lines: bool = False
 
 
 @dataclass
@@ -67,6 +83,8 @@ class Pipeline:
     sources: RawSources
     options: RunOptions
     log: StepLog = field(init=False)
+    # The report of this run's model; an earlier one is not served as current.
+    model_report: DataFrame | None = field(init=False, default=None)
 
     def __post_init__(self) -> None:
         self.log = StepLog(self.spark, self.path("metrics", "steps"))
@@ -81,11 +99,23 @@ class Pipeline:
         """Rows of a written table; Spark answers this from the file footers."""
         return self.read(layer, name).count()
 
-    def write(self, df: DataFrame, layer: str, name: str, compact: bool = False) -> DataFrame:
-        """Write a table under a step record and hand back the table as written."""
-        with self.log.track(layer, name) as step:
+    def write(
+        self,
+        df: DataFrame,
+        layer: str,
+        name: str,
+        compact: bool = False,
+        read: int | None = None,
+        **extra: object,
+    ) -> DataFrame:
+        """Write a table under a step record and hand back the table as written.
+
+        ``read`` are the rows it was made from; without, each row was read to be written.
+        """
+        with self.log.track(layer, name, **extra) as step:
             (write_compact if compact else write_table)(df, self.path(layer, name))
             step.rows_written = self.rows(layer, name)
+            step.rows_read = step.rows_written if read is None else read
         return self.read(layer, name)
 
     def run(self, layers: Iterable[str] = LAYERS) -> "Pipeline":
@@ -96,35 +126,58 @@ class Pipeline:
                 steps[layer]()
         finally:
             self.log.save()
+            self.serve_steps()
         return self
 
-    def feeds(self) -> tuple[str, ...]:
-        return tuple(label for spec in self.options.feeds for label in spec.feeds)
+    def serve_steps(self) -> None:
+        """Gauges of the latest steps, durations, and the rows of every table there is."""
+        steps = read_if_exists(self.spark, self.log.path)
+        if steps is None:
+            return
+        write_table(step_samples(latest_steps(steps)), self.path("serving", "step_samples"))
+        write_table(duration_rollup(steps), self.path("serving", "step_durations"))
+        names = {s.operation for s in self.log.steps if s.layer in LAYERS}
+        tables = {
+            f"{layer}_{name}": table
+            for layer in LAYERS
+            for name in sorted(names | {"trips"})
+            if (table := read_if_exists(self.spark, self.path(layer, name))) is not None
+        }
+        if tables:
+            write_table(table_inventory(tables), self.path("serving", "table_inventory"))
 
     # ---- bronze -------------------------------------------------------------
 
     def bronze(self) -> None:
         spark, sources = self.spark, self.sources
-        self.write(read_dimension(spark, sources.zones), "bronze", "zones")
+        zones = with_origin(read_dimension(spark, sources.zones), sources.zones)
+        self.write(zones, "bronze", "zones")
         if sources.images:
             prefix = "taxi_zone_map_"  # fixed value: image names carry it before the borough
             manifest = file_manifest(spark, sources.images, "*.jpg", prefix)
-            self.write(manifest, "bronze", "images")
+            self.write(with_origin(manifest, sources.images), "bronze", "images")
         for spec in self.options.feeds:
             if spec.name in sources.feeds:
                 self.land(spec)
         weather = incidents = None
         if sources.weather:
             weather = if_found(lambda: read_weather(spark, sources.weather))
-        if weather is None:
-            landed = read_feeds(spark, self.path("bronze", "trips"))
+        absent = weather is None
+        if absent:
+            landed = if_found(lambda: read_feeds(spark, self.path("bronze", "trips")))
+            if landed is None:  # no trips either: the range of the default days
+                landed = spark.createDataFrame([], "year_month string")
             weather = default_calendar(covering_range(landed, self.options.periods))
-        self.write(weather, "bronze", "weather")
+        origin = "default" if absent else sources.weather
+        self.write(with_origin(weather, origin, absent), "bronze", "weather", default=absent)
         if sources.incidents:
-            incidents = if_found(lambda: read_incidents(spark, sources.incidents))
-        if incidents is None:
+            lines = sources.incident_lines
+            incidents = if_found(lambda: read_incidents(spark, sources.incidents, lines=lines))
+        absent = incidents is None
+        if absent:
             incidents = default_incidents(default_areas(spark))
-        self.write(incidents, "bronze", "incidents")
+        origin = "default" if absent else sources.incidents
+        self.write(with_origin(incidents, origin, absent), "bronze", "incidents", default=absent)
 
     def land(self, spec: FeedSpec) -> None:
         with self.log.track("bronze", f"land_{spec.name}", feed=spec.name) as step:
@@ -133,21 +186,21 @@ class Pipeline:
             if landed is None:
                 step.extra["skipped"] = "no input files"
                 return
-            label = F.col(spec.feed_column) if spec.feed_column else F.lit(spec.name)
+            own = F.col(spec.feed_column) if spec.feed_column else F.lit(None)
             # Raw files lie by month already: land them without an exchange.
-            landed = landed.withColumn("vehicle_type", label)
-            write_partitions(landed, self.path("bronze", "trips"), gather=False)
+            landed = landed.withColumn("vehicle_type", feed_label(own.cast("string"), spec))
+            write_partitions(landed, self.landing_path(spec), gather=False)
             step.rows_written = self.landed(spec).count()
+            step.rows_read = step.rows_written  # landing keeps every row
+
+    def landing_path(self, spec: FeedSpec) -> str:
+        """Every spec lands in a partition of its own, so whatever labels its rows carry,
+        none is lost to a list of names."""
+        return self.path("bronze", f"trips/spec={spec.name}")
 
     def landed(self, spec: FeedSpec) -> DataFrame | None:
-        """Landed rows of the feeds of a spec that have any, or None."""
-        path = self.path("bronze", "trips")
-        there = [
-            feed
-            for feed in spec.feeds
-            if read_if_exists(self.spark, f"{path}/vehicle_type={feed}") is not None
-        ]
-        return read_feeds(self.spark, path, there) if there else None
+        """All landed rows of a spec, or None."""
+        return if_found(lambda: read_feeds(self.spark, self.landing_path(spec)))
 
     # ---- silver -------------------------------------------------------------
 
@@ -157,14 +210,17 @@ class Pipeline:
         conformed = [(spec, conform(raw, spec)) for spec, raw in found if raw is not None]
         if not conformed:
             return
+        zones = self.read("bronze", "zones")
         with self.log.track("silver", "trips") as step:
+            step.extra["zones_repeated"] = str(zones.count() - unique_zones(zones).count())
             kept = [
                 keep_latest(apply_quality(df, bounds), spec.identity, drop=spec.carry)
                 for spec, df in conformed
             ]
-            trips = add_zones(union_feeds(kept), self.read("bronze", "zones"))
+            trips = add_zones(union_feeds(kept), zones)
             write_partitions(add_time_parts(trips), self.path("silver", "trips"), whole=True)
             step.rows_written = self.rows("silver", "trips")
+            step.rows_read = sum(raw.count() for _, raw in found if raw is not None)
         rejected = union_feeds([rejects(df, bounds) for _, df in conformed])
         report = report_of(rejected, self.read("silver", "trips"))
         for row in self.write(report, "silver", "quality_report").toLocalIterator():
@@ -178,11 +234,15 @@ class Pipeline:
 
     def gold(self) -> None:
         trips = self.read("silver", "trips")
-        rolled = self.write(rollup(trips), "gold", "trip_rollup")
+        n = self.rows("silver", "trips")
+        rolled = self.write(rollup(trips), "gold", "trip_rollup", read=n)
         shared = (self.options.shared_rate_feed,)
-        side = self.write(side_rollup(trips), "gold", "side_rollup")
+        side = self.write(side_rollup(trips), "gold", "side_rollup", read=n)
         tables = all_kpis(rolled, side, self.read("bronze", "weather"), shared)
-        written = {name: self.write(df, "gold", f"kpi_{name}") for name, df in tables.items()}
+        groups = self.rows("gold", "trip_rollup")
+        written = {
+            name: self.write(df, "gold", f"kpi_{name}", read=groups) for name, df in tables.items()
+        }
         for name, df in written.items():
             write_sorted(df, self.path("serving", f"kpi_{name}"), KPI_KEYS[name])
         self.write(kpi_samples(written, shared), "serving", "kpi_samples")
@@ -210,15 +270,18 @@ class Pipeline:
         self.serve_lake()
 
     def flows_and_anomalies(self, sample: DataFrame) -> None:
-        lake = self.options.lake
-        busy = hash_sample(sample, lake.flow_fraction)
-        flows = self.write(od_flows(busy), "lake", "od_flows")
-        self.write(zone_heatmap(busy), "lake", "zone_heatmap")
-        self.write(top_routes(flows, lake.top_routes), "lake", "top_routes")
-        looked_at = hash_sample(sample, lake.anomaly_fraction)
-        tagged = tag_anomalies(looked_at, lake.threshold, feeds=lake.feeds or self.feeds())
-        anomalies = cap_anomalies(tagged, lake.max_anomalies)
-        self.write(anomalies, "lake", "anomaly_trips", compact=True)
+        lake, n = self.options.lake, self.rows("silver", "trips")
+        busy, share = hash_sample(sample, lake.flow_fraction), lake.flow_fraction
+        flows = self.write(od_flows(busy), "lake", "od_flows", read=n, fraction=share)
+        self.write(zone_heatmap(busy), "lake", "zone_heatmap", read=n, fraction=share)
+        self.write(top_routes(flows, lake.top_routes), "lake", "top_routes", fraction=share)
+        looked_at, share = hash_sample(sample, lake.anomaly_fraction), lake.anomaly_fraction
+        tagged = tag_anomalies(looked_at, lake.threshold, feeds=lake.feeds)
+        with written(tagged, "anomalies") as found:  # a cap reads them twice
+            anomalies = cap_anomalies(found, lake.max_anomalies)
+            cap = "none" if lake.max_anomalies is None else lake.max_anomalies
+            extra = {"fraction": share, "cap": cap}
+            self.write(anomalies, "lake", "anomaly_trips", compact=True, read=n, **extra)
 
     def duration_model(self, trips: DataFrame) -> None:
         lake = self.options.lake
@@ -233,6 +296,7 @@ class Pipeline:
             report = fit_and_score(rows, "GradientBoosting")
             write_table(report, self.path("lake", "duration_model"))
             step.rows_written = 1
+            self.model_report = self.read("lake", "duration_model")
 
     def drift(self) -> None:
         listed = [
@@ -242,19 +306,26 @@ class Pipeline:
             for feed, root in self.sources.feeds.items()
         ]
         if listed:
-            self.write(schema_drift(union_feeds(listed)), "lake", "schema_drift")
+            columns = union_feeds(listed)
+            self.write(schema_drift(columns), "lake", "schema_drift")
+            self.write(file_columns(columns), "lake", "schema_files")
+            self.write(union_columns(columns), "lake", "schema_union")
 
     def serve_lake(self) -> None:
-        served = {}
+        served, rows = [], self.options.lake.served_rows
         for name, keys in LAKE_KEYS.items():
             table = read_if_exists(self.spark, self.path("lake", name))
+            if name == "duration_model":
+                table = self.model_report
             if table is not None:
-                served[name] = capped(table, keys)
-                write_sorted(served[name], self.path("serving", f"lake_{name}"), keys)
+                path = self.path("serving", f"lake_{name}")
+                write_sorted(capped(table, keys, rows), path, keys)
+                served.append(self.spark.read.parquet(path))
+        kpis = [read_if_exists(self.spark, self.path("serving", f"kpi_{k}")) for k in KPI_KEYS]
         gauges = lake_samples(
             self.read("lake", "anomaly_trips"),
-            read_if_exists(self.spark, self.path("lake", "duration_model")),
-            {"kpi": len(KPI_KEYS), "lake": len(served)},
+            self.model_report,
+            {"kpi": [k for k in kpis if k is not None], "lake": served},
         )
         tops = top_samples(
             self.read("gold", "kpi_top_pickup"),

@@ -23,6 +23,16 @@ def list_files(spark: SparkSession, root: str | list[str], glob: str) -> DataFra
     )
 
 
+# Names of stores in paths that Hadoop and Arrow spell differently.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs"}
+
+
+def arrow_uri(path: str) -> str:
+    """A path as Spark lists it in the spelling that Arrow knows."""
+    scheme, sep, rest = path.partition("://")
+    return f"{SCHEMES.get(scheme, scheme)}://{rest}" if sep else path
+
+
 def _opener():
     """A function for tasks: path as listed by Spark -> open file, on any Arrow file system."""
 
@@ -34,7 +44,7 @@ def _opener():
         parts = urlparse(path)
         if parts.scheme in ("", "file"):
             return pafs.LocalFileSystem().open_input_file(unquote(parts.path))
-        filesystem, location = pafs.FileSystem.from_uri(path)
+        filesystem, location = pafs.FileSystem.from_uri(arrow_uri(path))
         return filesystem.open_input_file(location)
 
     return open_file
@@ -45,35 +55,24 @@ def file_manifest(
 ) -> DataFrame:
     """Name, path, label, size, MD5 and media type of files.
 
-    The label is the file stem without ``prefix``. Tasks hash their files in
-    chunks, so no file is ever held in memory as a whole.
+    The label is the file stem without ``prefix``. Spark reads and hashes the contents, so
+    any store that it reads will do.
     """
-    open_file = _opener()
-
-    def hash_files(batches: Iterator) -> Iterator:
-        import hashlib
-
-        for batch in batches:
-            hashes = []
-            for path in batch["path"]:
-                digest = hashlib.md5()
-                with open_file(path) as handle:
-                    while chunk := handle.read(1 << 23):
-                        digest.update(chunk)
-                hashes.append(digest.hexdigest())
-            yield batch.assign(content_hash=hashes)
-
-    files = list_files(spark, root, glob).select("path", "length")
-    hashed = files.mapInPandas(hash_files, "path string, length bigint, content_hash string")
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", "true")
+        .load(root)
+    )
     name = F.element_at(F.split("path", "/"), -1)
     stem = F.regexp_replace(name, r"\.[^.]*$", "")
     label = F.replace(stem, F.lit(prefix), F.lit("")) if prefix else stem
-    return hashed.select(
+    return files.select(
         name.alias("file_name"),
         F.col("path").alias("file_path"),
         label.alias("borough"),
         F.col("length").alias("file_size_bytes"),
-        "content_hash",
+        F.md5("content").alias("content_hash"),
         F.lit(media_type).alias("media_type"),
     )
 

@@ -110,9 +110,11 @@ def land_feed(
     at = ingestion_time() if at is None else at
     scans = []
     for group in groups:
+        # Files of one schema are read below their root, which needs no list of them.
         alike = len(groups) == 1 and periods == PeriodFilter()
         paths = group["paths"] if not alike else [root] if isinstance(root, str) else root
-        raw = spark.read.option("recursiveFileLookup", "true").parquet(*paths)
+        reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        raw = reader.parquet(*paths)
         scans.append(to_contract(add_lineage(raw, spec.name, at), contract, extras))
     return reduce(DataFrame.unionByName, scans)
 

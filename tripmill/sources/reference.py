@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripmill.functions.periods import first_day, month_of
 from tripmill.specs import PeriodFilter
@@ -119,6 +120,19 @@ def read_weather(spark: SparkSession, path: str) -> DataFrame:
     return daily_rows(spark.read.text(path, wholetext=True))
 
 
+def with_origin(table: DataFrame, source: str, default: bool = False) -> DataFrame:
+    """Where the rows of a bronze table are from, when they were landed, and whether they
+    stand in for a source that was not there."""
+    now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+    return table.withColumns(
+        {
+            "_ingestion_ts": F.lit(now).cast("timestamp_ntz"),
+            "_source_file": F.lit(source),
+            "_is_default": F.lit(default),
+        }
+    )
+
+
 def clean_incidents(records: DataFrame) -> DataFrame:
     """Parsed time, trimmed upper-case borough and month; unreadable times are null."""
     return records.withColumns(
@@ -132,9 +146,17 @@ def clean_incidents(records: DataFrame) -> DataFrame:
 def read_incidents(
     spark: SparkSession, path: str, schema: str = INCIDENT_SCHEMA, lines: bool = False
 ) -> DataFrame:
-    """Incident records from JSON arrays (a file is one task), or from JSON lines (split)."""
-    reader = spark.read.schema(schema).option("multiLine", not lines)
-    return clean_incidents(reader.json(path))
+    """Incident records from JSON arrays (a file is one task), or from JSON lines (split).
+
+    Every field stays: those of ``schema`` in their declared type, null where a record
+    lacks them, others as text.
+    """
+    reader = spark.read.option("multiLine", not lines).option("primitivesAsString", "true")
+    records = reader.json(path)
+    missing = [f for f in StructType.fromDDL(schema).fields if f.name not in records.columns]
+    filled = records.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in StructType.fromDDL(schema).fields}
+    return clean_incidents(filled.withColumns(typed))
 
 
 def default_areas(spark: SparkSession) -> DataFrame:

@@ -66,7 +66,8 @@ def read_feeds(
 ) -> DataFrame:
     """Landed rows of the given feeds, or of all; only their directories are listed.
 
-    Feeds have different columns, so reading several merges their schemas.
+    Feeds have different columns, so reading several merges their schemas. Values of the
+    partition columns are text, as they were written.
     """
     paths = [path] if feeds is None else [f"{path}/vehicle_type={feed}" for feed in feeds]
     several = "false" if len(paths) == 1 and feeds is not None else "true"

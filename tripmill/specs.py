@@ -39,7 +39,8 @@ class FeedSpec:
     """Role map of one feed: which raw column plays which part of a trip.
 
     ``feed_column`` names a raw column holding the feed label where one landing
-    carries several feeds; otherwise every row is labelled ``name``. ``carry``
+    carries several feeds, ``labels`` those expected there; others are kept as feeds too.
+    Rows without a label, or all without such a column, are labelled ``name``. ``carry``
     lists raw columns kept next to the trip columns until deduplication.
     """
 
@@ -88,13 +89,18 @@ class PeriodFilter:
 
 @dataclass(frozen=True)
 class LakeOptions:
-    """Sampling, threshold and size limits of the lake analytics (fixed defaults)."""
+    """Threshold and limits of the lake analytics.
 
-    flow_fraction: float = 0.05
-    anomaly_fraction: float = 0.01
-    model_fraction: float = 0.001
+    Everything is looked at and kept unless the caller asks for less; only the rows that
+    the duration model is fitted to are bounded from the start.
+    """
+
+    flow_fraction: float = 1.0
+    anomaly_fraction: float = 1.0
+    model_fraction: float = 1.0
     threshold: float = 3.0
-    max_anomalies: int = 50_000
+    max_anomalies: int | None = None
+    served_rows: int | None = None
     max_model_rows: int = 10_000
     min_model_rows: int = 100
     top_routes: int = 50
@@ -103,19 +109,13 @@ class LakeOptions:
 
     @staticmethod
     def sample() -> "LakeOptions":
-        """For few months: anomalies look at every trip."""
-        return LakeOptions(anomaly_fraction=1.0)
+        """A twentieth of the trips for the flows, capped tables for dashboards."""
+        return LakeOptions(flow_fraction=0.05, max_anomalies=50_000, served_rows=500)
 
     @staticmethod
     def light(feed: str = "green", model_feed: str = "fhvhv") -> "LakeOptions":
         """One feed with nothing sampled, and the one with durations for the model."""
-        return LakeOptions(
-            flow_fraction=1.0,
-            anomaly_fraction=1.0,
-            model_fraction=1.0,
-            feeds=(feed,),
-            model_feeds=(model_feed,),
-        )
+        return LakeOptions(feeds=(feed,), model_feeds=(model_feed,))
 
 
 @dataclass(frozen=True)

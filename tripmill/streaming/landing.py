@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from tripmill.operators.conform import feed_label
 from tripmill.sources.landing import land_feed
 from tripmill.sources.tables import TRIP_PARTITIONS, write_partitions
 from tripmill.specs import FeedSpec
@@ -33,9 +34,9 @@ def land_new_files(
         paths = [row["path"] for row in batch.select("path").collect()]
         if not paths:
             return
-        label = F.col(spec.feed_column) if spec.feed_column else F.lit(spec.name)
+        own = F.col(spec.feed_column).cast("string") if spec.feed_column else F.lit(spec.name)
         landed = land_feed(batch.sparkSession, paths, spec).withColumns(
-            {"vehicle_type": label, "landing_batch": F.lit(number)}
+            {"vehicle_type": feed_label(own, spec), "landing_batch": F.lit(number)}
         )
         write_partitions(landed, target, (*TRIP_PARTITIONS, "landing_batch"), gather=False)
 
