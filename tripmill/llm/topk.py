@@ -23,6 +23,9 @@ from tripmill.llm.common import keep, ship
 
 #: Cells; the pivots are the rows with the lowest hash of the id. Results do not depend on them.
 PIVOTS = 64
+#: Query cells are the cells of the first pivots, one for so many queries: data that no bound
+#: keeps away is sent once for each of them.
+CELL_QUERIES = 256
 #: Rows of a block; a query cell whose data has more is served in slices of so many blocks.
 BLOCK = 1024
 SLICE_BLOCKS = 16
@@ -43,7 +46,10 @@ def usable(rows: DataFrame, vector: Column) -> DataFrame:
 
 @dataclass(frozen=True)
 class Cells:
-    """Pivots of one dimension and the summary of their cells; ``PIVOTS`` entries at most."""
+    """Pivots of one dimension and the summary of their cells; ``PIVOTS`` entries at most.
+
+    The first ``len(query_norm)`` pivots are those of the query cells.
+    """
 
     pivots: np.ndarray
     rows: np.ndarray
@@ -51,10 +57,14 @@ class Cells:
     query_radius: np.ndarray
     query_norm: np.ndarray
 
+    @property
+    def query_pivots(self) -> np.ndarray:
+        return self.pivots[: len(self.query_norm)]
+
     def reached(self, k: int) -> np.ndarray:
         """For each query cell a score that k rows besides the query itself surely reach."""
         norm = np.linalg.norm(self.pivots, axis=1)
-        centre = self.pivots @ self.pivots.T
+        centre = self.query_pivots @ self.pivots.T
         slack = self.query_radius[:, None] * norm[None, :]
         slack = slack + self.query_norm[:, None] * self.radius[None, :]
         low = np.where(self.rows[None, :] > 0, centre - slack, -np.inf)
@@ -67,7 +77,7 @@ class Cells:
 
     def wanted(self, vectors: np.ndarray, reached: np.ndarray) -> np.ndarray:
         """Per row and query cell: could the row be a result there?"""
-        high = vectors @ self.pivots.T
+        high = vectors @ self.query_pivots.T
         high = high + np.linalg.norm(vectors, axis=1)[:, None] * self.query_radius[None, :]
         high = high + 1e-6 * (1 + np.abs(high))
         return (high >= reached[None, :]) & (self.query_norm >= 0)[None, :]
@@ -89,13 +99,19 @@ def _distances(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 
 
 def _assign(handed):
-    """(id, vector, dim, cell, distance, norm) of the rows (id, vector)."""
+    """The rows (id, vector) with dimension, cell and query cell, distances to both pivots, norm.
+
+    What is handed over are the pivots and the number of query cells of each dimension.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for dim, ids, vectors in _matrices(batch.column(0), batch.column(1)):
-                distance = _distances(vectors, handed.value[dim])
+                pivots, n_query = handed.value[dim]
+                distance = _distances(vectors, pivots)
                 cell = distance.argmin(axis=1)
+                query_cell = distance[:, :n_query].argmin(axis=1)
+                each = np.arange(len(ids))
                 bounds = np.arange(len(ids) + 1, dtype=np.int32) * dim
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -105,10 +121,12 @@ def _assign(handed):
                         ),
                         pa.array(np.full(len(ids), dim, np.int32)),
                         pa.array(cell.astype(np.int32)),
-                        pa.array(distance[np.arange(len(ids)), cell]),
+                        pa.array(distance[each, cell]),
+                        pa.array(query_cell.astype(np.int32)),
+                        pa.array(distance[each, query_cell]),
                         pa.array(np.linalg.norm(vectors, axis=1)),
                     ],
-                    ["id", "vector", "dim", "cell", "distance", "norm"],
+                    ["id", "vector", "dim", "cell", "distance", "query_cell", "query_distance", "norm"],
                 )
 
     return run
@@ -150,7 +168,7 @@ def _send(handed):
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The query rows (id, vector, cell) as blocks of one cell."""
+    """The query rows (id, vector, query cell) as blocks of one cell."""
     for batch in batches:
         cells = batch.column(2).to_numpy()
         for cell in np.unique(cells).tolist():
@@ -226,29 +244,37 @@ def top_k(rows: DataFrame, is_query: Column, k: int, vector: str = "embedding")
     pivots: dict[int, list] = {}
     for row in sample.orderBy("dim", "n").collect():  # PIVOTS rows for each dimension
         pivots.setdefault(row["dim"], []).append(row["vector"])
-    centres = {dim: np.unique(np.array(p, np.float64), axis=0) for dim, p in pivots.items()}
-    schema = "id long, vector array<long>, dim int, cell int, distance double, norm double"
-    placed = keep(data.mapInArrow(_assign(spark.sparkContext.broadcast(centres)), schema), "vectors")
     query = F.coalesce(is_query, F.lit(False))
-    summary = placed.groupBy("dim", "cell").agg(
-        F.count("*").alias("rows"),
-        F.max("distance").alias("radius"),
-        F.max(F.when(query, F.col("distance"))).alias("query_radius"),
-        F.max(F.when(query, F.col("norm"))).alias("query_norm"),
+    asked = data.filter(query).groupBy(F.size("vector").alias("dim")).count().collect()
+    n_queries = {r["dim"]: r["count"] for r in asked}
+    centres: dict[int, tuple[np.ndarray, int]] = {}
+    for dim, points in pivots.items():
+        distinct = np.array(list(dict.fromkeys(map(tuple, points))), np.float64)
+        cells_of_queries = -(-n_queries.get(dim, 0) // CELL_QUERIES)
+        centres[dim] = distinct, max(1, min(len(distinct), cells_of_queries))
+    schema = (
+        "id long, vector array<long>, dim int, cell int, distance double,"
+        " query_cell int, query_distance double, norm double"
+    )
+    placed = keep(data.mapInArrow(_assign(spark.sparkContext.broadcast(centres)), schema), "vectors")
+    in_cells = placed.groupBy("dim", "cell").agg(
+        F.count("*").alias("rows"), F.max("distance").alias("radius")
+    )
+    of_queries = placed.filter(query).groupBy("dim", "query_cell").agg(
+        F.max("query_distance").alias("radius"), F.max("norm").alias("norm")
     )
     cells: dict[int, tuple[Cells, np.ndarray]] = {}
-    found = summary.collect()
-    for dim, points in centres.items():
+    summary, asking = in_cells.collect(), of_queries.collect()
+    for dim in n_queries:
+        points, m = centres[dim]
         n = len(points)
-        made = Cells(points, np.zeros(n, np.int64), np.zeros(n), np.zeros(n), np.full(n, -1.0))
-        for r in (r for r in found if r["dim"] == dim):
-            i = r["cell"]
-            made.rows[i], made.radius[i] = r["rows"], r["radius"] * (1 + 1e-9) + 1e-6
-            if r["query_norm"] is not None:
-                made.query_radius[i] = r["query_radius"] * (1 + 1e-9) + 1e-6
-                made.query_norm[i] = r["query_norm"] * (1 + 1e-9)
-        if (made.query_norm >= 0).any():
-            cells[dim] = made, made.reached(k)
+        made = Cells(points, np.zeros(n, np.int64), np.zeros(n), np.zeros(m), np.full(m, -1.0))
+        for r in (r for r in summary if r["dim"] == dim):
+            made.rows[r["cell"]], made.radius[r["cell"]] = r["rows"], r["radius"] * (1 + 1e-9) + 1e-6
+        for r in (r for r in asking if r["dim"] == dim):
+            made.query_radius[r["query_cell"]] = r["radius"] * (1 + 1e-9) + 1e-6
+            made.query_norm[r["query_cell"]] = r["norm"] * (1 + 1e-9)
+        cells[dim] = made, made.reached(k)
     sent = keep(
         placed.select("id", "vector").mapInArrow(_send(spark.sparkContext.broadcast(cells)), _PACKED),
         "blocks",
@@ -258,7 +284,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int, vector: str = "embedding")
         F.ceil(F.count("*") / SLICE_BLOCKS).cast("int").alias("slices")
     )
     slices = F.broadcast(slices)
-    asked = placed.filter(query).select("id", "vector", "cell").mapInArrow(_gather, _PACKED)
+    asked = placed.filter(query).select("id", "vector", "query_cell").mapInArrow(_gather, _PACKED)
     asked = asked.join(slices, ["dim", "cell"]).select(
         "dim",
         "cell",
