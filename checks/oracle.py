@@ -485,6 +485,14 @@ ORACLE["ml_features"] = f"""with {SILVER}, {MODEL_ROWS}
         cast(trip_duration_sec as double) as trip_duration_sec, split_hash from model_rows"""
 ORACLE["ml_split"] = f"""with {SILVER}, {MODEL_ROWS}
     select {MODEL_COLUMNS}, split_hash < '{_below(0.2)}' as is_test from model_rows"""
+ORACLE["model_gradients"] = f"""with {SILVER}, {MODEL_ROWS},
+    train as (select * from model_rows where not split_hash < '{_below(0.2)}'),
+    features as (
+        select unnest(['pickup_hour', 'pickup_dow', 'pu_location_id', 'trip_distance', 'intercept'])
+            as feature
+        union all select distinct vehicle_type from train)
+    select model, feature, (select count(*) from train) as train_rows, 0.0::double as gradient
+    from features, (select unnest(['LinearRegression', 'Ridge']) as model)"""
 REPORT = f"""{MODEL_ROWS},
     split as (select *, split_hash < '{_below(0.2)}' as is_test from model_rows),
     means as (select vehicle_type, pickup_hour,

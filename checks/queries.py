@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -626,6 +627,35 @@ REGISTERED["model_forest"] = _model("RandomForest")
 REGISTERED["model_gbt"] = _model("GradientBoosting")
 
 
+@register
+def model_gradients(spark, sf):
+    """The gradient of the linear and the ridge objective at the fitted weights, as a share of
+    the sum of its terms: zero for every feature and the intercept, as nothing fits better."""
+    rows = materialised(_model_rows(spark, sf), "model-rows")
+    found = []
+    for name, penalty in (("LinearRegression", 0.0), ("Ridge", models.RIDGE_ALPHA)):
+        model, scored = models.fit(rows, name)
+        weights = [*model.stages[-1].coefficients.toArray().tolist(), 0.0]
+        numbers = [c for c in models.feature_columns(rows) if c != models.CATEGORY]
+        names = [*numbers, *model.stages[0].labels, "intercept"]
+        rest = F.col(models.TARGET) - F.col("prediction")
+        values = F.concat(vector_to_array("features"), F.array(F.lit(1.0)))
+        train = scored.filter(~F.col("is_test")).select(rest.alias("r"), values.alias("x"))
+        parts = []
+        for j, (feature, weight) in enumerate(zip(names, weights, strict=True)):
+            term = F.col("r") * F.col("x")[j]
+            gradient = F.try_divide(F.sum(term) - F.lit(penalty * weight), F.sum(F.abs(term)))
+            share = F.coalesce(F.abs(F.round(gradient, 3)), F.lit(0.0))  # a feature of zeros only
+            parts.append(share.alias(feature))
+        wide = train.agg(F.count(F.lit(1)).alias("train_rows"), *parts)
+        found.append(
+            wide.unpivot(["train_rows"], [f"`{n}`" for n in names], "feature", "gradient").withColumn(
+                "model", F.lit(name)
+            )
+        )
+    return union_feeds(found)
+
+
 def _mean_predictor(rows: DataFrame) -> DataFrame:
     """Predicts the mean training duration of the feed and hour."""
     split = models.ml_split(rows)
