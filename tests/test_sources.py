@@ -3,6 +3,7 @@
 import datetime as dt
 import hashlib
 import json
+import re
 from types import SimpleNamespace
 
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tripmill.feeds import FHV, YELLOW
 from tripmill.operators.drift import file_columns, schema_drift, union_columns
-from tripmill.session import scratch_path, shared_folder
+from tripmill.session import clear_scratch, scratch_folder, scratch_path, shared_folder
 from tripmill.sources.files import (
     arrow_uri,
     file_manifest,
@@ -318,7 +319,7 @@ class Session:
 
 def test_shared_folder_is_the_one_the_session_names():
     assert shared_folder(Session("s3://bucket/shared/", "yarn")) == "s3://bucket/shared"
-    assert scratch_path(Session("/shared", "yarn"), "x").startswith("/shared/x-")
+    assert re.fullmatch("/shared/scratch-[^/]+/x-[0-9a-f]+", scratch_path(Session("/shared", "yarn"), "x"))
     with pytest.raises(RuntimeError):
         shared_folder(Session(None, "yarn"))
     local = shared_folder(Session(None, "local[2]"))
@@ -331,3 +332,12 @@ def test_fhv_location_spelling(spark, tmp_path):
     rows = land_feed(spark, str(tmp_path), FHV).orderBy(F.col("PUlocationID").desc()).collect()
     assert rows[0].PUlocationID == 7 and rows[0].pickup_datetime == dt.datetime(2025, 1, 2, 3, 4, 5)
     assert rows[1].PUlocationID is None and rows[1].pickup_datetime is None
+
+
+def test_scratch_tables_lie_in_one_folder_that_can_be_cleared(spark):
+    path = scratch_path(spark, "t")
+    assert path.startswith(scratch_folder(spark)) and scratch_folder(spark).startswith(shared_folder(spark))
+    spark.range(3).write.parquet(path)
+    clear_scratch(spark)
+    assert read_if_exists(spark, path) is None
+    clear_scratch(spark)

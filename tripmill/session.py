@@ -48,9 +48,23 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[context.applicationId]
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that this application writes intermediate tables to."""
+    return f"{shared_folder(spark)}/scratch-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path below the scratch folder."""
+    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application.
+
+    Results that are not written or collected yet may still read them: call it after.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:
