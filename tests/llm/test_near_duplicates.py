@@ -290,3 +290,31 @@ def test_suffix_query(spark, sf):
         row = rows[d["doc_id"]]
         assert row["kept_sha256"] == hashlib.sha256(rest).hexdigest()
         assert row["n_bytes"] - row["n_removed"] == len(rest)
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_merging_lists_by_binary_search(clash, monkeypatch):
+    """Up to 40 lists a part; with ``clash`` all hashes of a part are equal."""
+    rng = random.Random(7)
+    if clash:
+        monkeypatch.setattr(
+            suffixes, "_window_hashes", lambda data, at: np.full(len(at), 5, np.uint64)
+        )
+    pool = [bytes(rng.choices(b"ab", k=100)) for _ in range(12)]
+    data, at, part, rank, size, want = b"", [], [], [], [], []
+    for p in range(5):
+        n, seen = rng.choice([1, 2, 3, 9, 40]), set()
+        for r in range(n):
+            chosen = rng.sample(pool, rng.randint(1, 5))
+            for window in chosen:
+                at.append(len(data))
+                part.append(p)
+                rank.append(r)
+                size.append(n)
+                want.append(window in seen)
+                data += window
+            seen.update(chosen)
+    found = suffixes.later_windows(
+        np.frombuffer(data, np.uint8), *(np.array(x, np.int64) for x in (at, part, rank, size))
+    )
+    assert found.tolist() == want

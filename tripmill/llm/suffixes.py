@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tripmill.llm.common import keep, ship, whole
@@ -30,8 +31,6 @@ GRAM = 32
 _SPAN = WINDOW - GRAM + 1
 #: Bytes of text that one shard sorts at once; the regions of one anchor past it are split.
 SHARD_BYTES = 3 << 20
-#: Windows that are merged at once.
-MERGE_WINDOWS = 1 << 19
 #: Bytes of text whose anchors are taken at once.
 _BLOCK = 1 << 20
 _MAX = np.uint64(2**64 - 1)
@@ -70,29 +69,37 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(values[:-rest], values[rest:]) if rest else values
 
 
-def window_anchors(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _no_window(lengths: np.ndarray) -> np.ndarray:
+    """Positions of texts one after another from which no window fits."""
+    ends = np.cumsum(lengths)
+    over = np.minimum(lengths, WINDOW - 1)
+    return np.repeat(ends - over - (np.cumsum(over) - over), over) + np.arange(over.sum())
+
+
+def window_anchors(
+    data: np.ndarray, lengths: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Anchors of the windows of texts that lie one after another in ``data``.
 
     The first array has the anchor of the window from each position, the highest number
-    where none starts; the second the positions whose hash is the anchor of some window.
+    where none starts; then the positions whose hash is the anchor of some window, and
+    those hashes.
     """
     n = len(data)
     anchor = np.full(n, _MAX)
     if n < WINDOW:
-        return anchor, np.empty(0, np.int64)
+        return anchor, np.empty(0, np.int64), np.empty(0, np.uint64)
     hashes = _gram_hashes(data)
     low = _sliding(hashes, _SPAN, np.minimum)
-    ends = np.cumsum(lengths)
-    # A window must not reach over the end of its text.
-    over = np.minimum(lengths, WINDOW - 1)
-    bad = np.repeat(ends - over - (np.cumsum(over) - over), over) + np.arange(over.sum())
+    bad = _no_window(lengths)
     anchor[: len(low)] = low
     anchor[bad] = _MAX
     # The highest anchor of the windows around a position, 0 where there are none.
     starts = np.where(anchor == _MAX, np.uint64(0), anchor)[: len(low)]
     none = np.zeros(_SPAN - 1, np.uint64)
     high = _sliding(np.concatenate([none, starts, none]), _SPAN, np.maximum)
-    return anchor, np.flatnonzero(hashes == high)
+    spots = np.flatnonzero(hashes == high)
+    return anchor, spots, hashes[spots]
 
 
 def _texts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
@@ -116,20 +123,19 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(anchor) once for each place of it in the rows (text)."""
     for batch in batches:
         for _, data, lengths in _texts(batch, 0):
-            places = window_anchors(data, lengths)[1]
-            if len(places):
-                yield pa.RecordBatch.from_arrays([_signed(_gram_hashes(data)[places])], ["anchor"])
+            _, _, found = window_anchors(data, lengths)
+            if len(found):
+                yield pa.RecordBatch.from_arrays([_signed(found)], ["anchor"])
 
 
 def _anchors_by_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(anchor, doc_id, text_hash) of the rows (doc_id, text_hash, text), once a row."""
     for batch in batches:
         for rows, data, lengths in _texts(batch, 2):
-            places = window_anchors(data, lengths)[1]
+            _, places, found = window_anchors(data, lengths)
             if not len(places):
                 continue
             row = np.searchsorted(np.cumsum(lengths), places, side="right")
-            found = _gram_hashes(data)[places]
             order = np.lexsort((found, row))
             row, found = row[order], found[order]
             new = np.append(True, (row[1:] != row[:-1]) | (found[1:] != found[:-1]))
@@ -167,32 +173,39 @@ def _covered(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The regions of the rows (doc_id, text_hash, text, anchors, counts)."""
     for batch in batches:
-        out: list[list] = [[], [], [], [], [], [], []]
-        for doc, key, text, anchors, counts in zip(*batch.columns, strict=True):
-            data = np.frombuffer(text.as_py().encode(), np.uint8)
-            known = np.array(anchors.as_py(), np.int64).view(np.uint64)
-            order = np.argsort(known)
-            known, number = known[order], np.array(counts.as_py(), np.int32)[order]
-            anchor, _ = window_anchors(data, np.array([len(data)]))
+        doc, key = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for rows, data, lengths in _texts(batch, 2):
+            listed = batch.column(3).slice(rows.start, rows.stop - rows.start).flatten()
+            counted = batch.column(4).slice(rows.start, rows.stop - rows.start).flatten()
+            # An anchor that repeats for one row repeats for all of them.
+            known, at = np.unique(listed.to_numpy().view(np.uint64), return_index=True)
+            number = counted.to_numpy()[at]
+            anchor, _, _ = window_anchors(data, lengths)
             at = np.minimum(np.searchsorted(known, anchor), len(known) - 1)
             inside = known[at] == anchor
-            for a, b in zip(*_covered(*_runs(inside)), strict=True):
-                own = np.unique(at[a : b - WINDOW + 1][inside[a : b - WINDOW + 1]])
-                out[0].append(int(known[own[0]].view(np.int64)))
-                out[1].append(doc.as_py())
-                out[2].append(key.as_py())
-                out[3].append(int(a))
-                out[4].append(data[a:b].tobytes())
-                out[5].append(known[own].view(np.int64))
-                out[6].append(number[own])
-        kinds = [
-            pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(),
-            pa.list_(pa.int64()), pa.list_(pa.int32()),
-        ]
-        names = ["key", "doc_id", "text_hash", "start", "data", "anchors", "counts"]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names
-        )
+            begin = np.cumsum(lengths) - lengths
+            out: list[list] = [[], [], [], [], [], [], []]
+            for row in range(rows.start, rows.stop):
+                first = int(begin[row - rows.start])
+                stop = first + int(lengths[row - rows.start])
+                for a, b in zip(*_covered(*_runs(inside[first:stop])), strict=True):
+                    windows = slice(first + a, first + b - WINDOW + 1)
+                    own = np.unique(at[windows][inside[windows]])
+                    out[0].append(int(known[own[0]].view(np.int64)))
+                    out[1].append(doc[row])
+                    out[2].append(key[row])
+                    out[3].append(int(a))
+                    out[4].append(data[first + a : first + b].tobytes())
+                    out[5].append(known[own].view(np.int64))
+                    out[6].append(number[own])
+            kinds = [
+                pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(),
+                pa.list_(pa.int64()), pa.list_(pa.int32()),
+            ]
+            names = ["key", "doc_id", "text_hash", "start", "data", "anchors", "counts"]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names
+            )
 
 
 # ---- suffix arrays ---------------------------------------------------------
@@ -248,7 +261,8 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, limit: int = WINDOW) ->
     place = np.empty(n + 1, np.int64)
     place[order] = np.arange(n)
     place[n] = n
-    padded = np.concatenate([data.astype(np.int16), np.arange(-1, -limit - 2, -1, dtype=np.int16)])
+    # Eight bytes at a time, as numbers; past the end there is nothing to share.
+    word = _words(np.append(data, np.zeros(limit + 16, np.uint8)))
     shared = np.zeros(n, np.int16)
     stride = 256
     lanes = np.arange(0, n, stride)
@@ -265,11 +279,15 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, limit: int = WINDOW) ->
         going = np.flatnonzero((length < limit) & (other < n))
         while len(going):
             a, b = at[going] + length[going], other[going] + length[going]
-            inside = (a < n) & (b < n)
-            same = inside & (padded[np.minimum(a, n)] == padded[np.minimum(b, n)])
-            going = going[same]
-            length[going] += 1
-            going = going[length[going] < limit]
+            differ = word[a] ^ word[b]
+            equal = np.full(len(going), 8)
+            some = differ != 0
+            # Leading bytes alike in words that differ: those below the highest set bit.
+            equal[some] = (64 - np.frexp(differ[some].astype(np.float64))[1]) // 8
+            length[going] += equal
+            going = going[~some & (length[going] < limit)]
+        length = np.minimum(length, np.minimum(limit, n - np.maximum(at, other)))
+        length = np.maximum(length, 0)
         shared[at] = length
     return shared[order]
 
@@ -282,10 +300,8 @@ def repeated_windows(data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     size = np.bincount(group)
     several = size[group] > 1
     at, group = order[several], group[several]
-    over = np.minimum(lengths, WINDOW - 1)
     starts_none = np.zeros(n, bool)
-    ends = np.cumsum(lengths)
-    starts_none[np.repeat(ends - over - (np.cumsum(over) - over), over) + np.arange(over.sum())] = True
+    starts_none[_no_window(lengths)] = True
     whole_window = ~starts_none[at]
     at, group = at[whole_window], group[whole_window]
     by_place = np.lexsort((at, group))
@@ -318,59 +334,81 @@ def _in_order(doc, text_hash, start) -> tuple:
 def _solve(rows: list[tuple]) -> Iterator[tuple]:
     """Spans that repeat within a shard (no data), and windows that others may repeat.
 
-    ``rows`` are (key, doc_id, text_hash, start, data, anchors, counts).
+    ``rows`` are (key, doc_id, text_hash, start, data, anchors, counts). A region that is
+    a whole copy of an earlier one repeats in every window and is not sorted again.
     """
     rows.sort(key=lambda r: _in_order(*r[1:4]))
     places = [r[1:4] for r in rows]
     rows = [r for i, r in enumerate(rows) if i == 0 or places[i] != places[i - 1]]
+    copies: dict[bytes, int] = {}
+    for _, doc, text_hash, start, text, *_ in rows:
+        copies[text] = copies.get(text, 0) + 1
+        if copies[text] > 1:
+            yield None, doc, text_hash, start, start + len(text), None
+    first: dict[bytes, tuple] = {}
+    for row in rows:
+        first.setdefault(row[4], row)
+    rows = list(first.values())
+    times = np.array([copies[r[4]] for r in rows])
     data = np.frombuffer(b"".join(r[4] for r in rows), np.uint8)
     lengths = np.array([len(r[4]) for r in rows])
+    begin = np.cumsum(lengths) - lengths
     repeats = repeated_windows(data, lengths)
-    anchor, spots = window_anchors(data, lengths)
-    known = np.concatenate([r[5] for r in rows]).astype(np.int64).view(np.uint64)
-    number = np.concatenate([r[6] for r in rows])
-    known, at = np.unique(known, return_index=True)
-    number = number[at]
+    anchor, spots, here = window_anchors(data, lengths)
+    known, at = np.unique(
+        np.concatenate([r[5] for r in rows]).astype(np.int64).view(np.uint64), return_index=True
+    )
+    number = np.concatenate([r[6] for r in rows])[at]
     # Places of each anchor in this shard against those in the corpus.
-    here = _gram_hashes(data)[spots]
     at = np.minimum(np.searchsorted(known, here), len(known) - 1)
-    local = np.bincount(at[known[at] == here], minlength=len(known))
+    mine = known[at] == here
+    weight = times[np.searchsorted(begin, spots[mine], side="right") - 1]
+    local = np.bincount(at[mine], weights=weight, minlength=len(known))
     shared = known[local < number]
-    elsewhere = np.zeros(len(data), bool)
-    if len(shared):
-        at = np.minimum(np.searchsorted(shared, anchor), len(shared) - 1)
-        elsewhere = (shared[at] == anchor) & ~repeats
-    begin = np.cumsum(lengths) - lengths
-    for (_, doc, text_hash, start, *_), a, n in zip(rows, begin.tolist(), lengths.tolist(), strict=True):
-        for x, y in zip(*_covered(*_runs(repeats[a : a + n])), strict=True):
-            yield None, doc, text_hash, start + int(x), start + int(y), None
-        if elsewhere[a : a + n].any():
-            own, text = anchor[a : a + n], data[a : a + n]
-            for x, y in zip(*_runs(elsewhere[a : a + n]), strict=True):
-                for part, p, q in _parts(text, own, int(x), int(y)):
-                    yield part, doc, text_hash, start + p, start + q, text[p : q + WINDOW - 1].tobytes()
+    row_of = lambda x: np.searchsorted(begin, x, side="right") - 1
+    x, y = _runs(repeats)
+    for i, a, b in zip(*(v.tolist() for v in (row_of(x), x, y)), strict=True):
+        _, doc, text_hash, start, *_ = rows[i]
+        at_ = start - int(begin[i])
+        yield None, doc, text_hash, a + at_, b + at_ + WINDOW - 1, None
+    if not len(shared):
+        return
+    at = np.minimum(np.searchsorted(shared, anchor), len(shared) - 1)
+    elsewhere = np.flatnonzero((shared[at] == anchor) & ~repeats)
+    text = data.tobytes()
+    for part, p, q in _parts(text, anchor, elsewhere, spots, here, row_of(elsewhere)):
+        i = int(row_of(p))
+        _, doc, text_hash, start, *_ = rows[i]
+        at_ = start - int(begin[i])
+        yield part, doc, text_hash, p + at_, q + at_, text[p : q + WINDOW - 1]
 
 
-def _parts(text: np.ndarray, anchor: np.ndarray, x: int, y: int) -> Iterator[tuple[int, int, int]]:
-    """(part, first, past last) of the windows x to y: equal windows fall into equal parts.
+def _parts(text, anchor, windows, spots, hashes, rows) -> Iterator[tuple[int, int, int]]:
+    """(part, first, past last) of runs of ``windows``: equal windows fall into equal parts.
 
     A window's part hashes its anchor and the half of it that the anchor is in, so that
     windows with one frequent anchor but different text around it do not meet.
     """
-    cuts = np.flatnonzero(anchor[x + 1 : y] != anchor[x : y - 1]) + x + 1
-    for p, q in zip([x, *cuts.tolist()], [*cuts.tolist(), y], strict=True):
-        spots = np.flatnonzero(_gram_hashes(text[p : q + WINDOW - 1]) == anchor[p]) + p
-        # The first place of the anchor in each window, a function of the window alone.
-        first = spots[np.searchsorted(spots, np.arange(p, q))]
-        offset = first - np.arange(p, q)
-        late = offset >= _SPAN // 2
-        cut = np.flatnonzero((first[1:] != first[:-1]) | (late[1:] != late[:-1])) + 1
-        for i, j in zip([0, *cut.tolist()], [*cut.tolist(), q - p], strict=True):
-            spot = int(first[i])
-            # Bytes that every window of this part holds, whichever windows those are.
-            a, b = (spot - _SPAN // 2, spot + GRAM) if late[i] else (spot, spot + WINDOW - _SPAN // 2 + 1)
-            part = xxhash.xxh3_64_intdigest(bytes([int(late[i])]) + text[a:b].tobytes()) - (1 << 63)
-            yield part, p + i, p + j
+    if not len(windows):
+        return
+    # The first place of the anchor in each window, a function of the window alone.
+    at = np.searchsorted(spots, windows)
+    wrong = np.flatnonzero(hashes[at] != anchor[windows])
+    while len(wrong):
+        at[wrong] += 1
+        wrong = wrong[hashes[at[wrong]] != anchor[windows[wrong]]]
+    spot = spots[at]
+    late = spot - windows >= _SPAN // 2
+    new = (windows[1:] != windows[:-1] + 1) | (spot[1:] != spot[:-1])
+    new |= (late[1:] != late[:-1]) | (rows[1:] != rows[:-1])
+    first = np.flatnonzero(np.append(True, new))
+    last = np.append(first[1:], len(windows)) - 1
+    # Bytes that every window of a part holds, whichever windows those are.
+    a = np.where(late[first], spot[first] - _SPAN // 2, spot[first])
+    b = np.where(late[first], spot[first] + GRAM, spot[first] + WINDOW - _SPAN // 2 + 1)
+    columns = (windows[first], windows[last] + 1, a, b, late[first])
+    for p, q, x, y, side in zip(*(c.tolist() for c in columns), strict=True):
+        yield xxhash.xxh3_64_intdigest(text[x:y], int(side)) - (1 << 63), p, q
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -394,61 +432,119 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # ---- merging ---------------------------------------------------------------
 
 
-def _merge(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], late: np.ndarray):
-    """Two sorted lists of (window, place) as one; of equal windows the later place is marked."""
-    at = np.searchsorted(a[0], b[0])
-    inside = np.minimum(at, len(a[0]) - 1)
-    equal = a[0][inside] == b[0]
-    mine, theirs = a[1][inside[equal]], b[1][equal]
-    late[np.maximum(mine, theirs)] = True
-    a[1][inside[equal]] = np.minimum(mine, theirs)
-    new = ~equal
-    return np.insert(a[0], at[new], b[0][new]), np.insert(a[1], at[new], b[1][new])
+def _window_hashes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A hash of the window from each of the positions."""
+    word = _words(np.append(data, np.zeros(8, np.uint8)))
+    mixed = np.full(len(at), 0x27D4EB2F165667C5, np.uint64)
+    for i in (*range(0, WINDOW - 8, 8), WINDOW - 8):
+        mixed = (mixed ^ word[at + i]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    return mixed
 
 
-def _compare(rows: list[tuple]) -> Iterator[tuple]:
-    """Spans that repeat among the windows of several shards: rows as in ``_found``."""
-    if len(rows) < 2:
-        return
-    rows.sort(key=lambda r: _in_order(*r[1:4]))
-    counts = [r[4] - r[3] for r in rows]
-    first = np.cumsum([0, *counts])
-    late = np.zeros(first[-1], bool)
-    lists = []
-    for row, at in zip(rows, first.tolist(), strict=False):
-        windows = np.lib.stride_tricks.sliding_window_view(np.frombuffer(row[5], np.uint8), WINDOW)
-        # A last byte keeps zero bytes at the end of a window from being dropped.
-        kept = np.concatenate([windows, np.ones((len(windows), 1), np.uint8)], axis=1)
-        text = kept.view(f"S{WINDOW + 1}").ravel()
-        unique, place = np.unique(text, return_index=True)
-        again = np.ones(len(text), bool)
-        again[place] = False
-        late[at : at + len(text)][again] = True
-        lists.append((unique, place + at))
-    while len(lists) > 1:  # neighbours first, so every list is merged log2 times
-        lists = [
-            _merge(lists[i], lists[i + 1], late) if i + 1 < len(lists) else lists[i]
-            for i in range(0, len(lists), 2)
-        ]
-    for row, a, n in zip(rows, first.tolist(), counts, strict=False):
-        for x, y in zip(*_covered(*_runs(late[a : a + n])), strict=True):
-            yield None, row[1], row[2], row[3] + int(x), row[3] + int(y), None
+def _same_windows(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the windows from positions ``a`` and ``b`` hold the same bytes."""
+    word = _words(np.append(data, np.zeros(8, np.uint8)))
+    same = np.ones(len(a), bool)
+    for i in (*range(0, WINDOW - 8, 8), WINDOW - 8):
+        same &= word[a + i] == word[b + i]
+    return same
+
+
+def later_windows(
+    data: np.ndarray, at: np.ndarray, part: np.ndarray, rank: np.ndarray, size: np.ndarray
+) -> np.ndarray:
+    """Which of the windows repeat one of an earlier list of their part.
+
+    A part has ``size`` lists, numbered by ``rank`` in the order of the corpus, without
+    repetitions in a list. Lists are merged in pairs, then pairs of pairs: the windows of
+    the second of each pair are looked up among the sorted ones of the first by binary
+    search, for all parts at once. Hashes are searched and the bytes compared; should
+    different bytes share a hash, the part's windows are searched for as bytes.
+    """
+    hashes = _window_hashes(data, at) ^ (part.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    late = np.zeros(len(at), bool)
+    alive = np.arange(len(at))
+    clash: set[int] = set()
+    level = 0
+    while True:
+        alive = alive[(size[alive] > 1 << level) & ~late[alive]]
+        if not len(alive):
+            break
+        one = rank[alive] >> level
+        key = (hashes[alive] + (one >> 1).astype(np.uint64)) * np.uint64(0x165667B19E3779F9)
+        key ^= key >> np.uint64(31)
+        second = one & 1 == 1
+        order = np.argsort(key[~second])
+        first, sought = key[~second][order], key[second]
+        if len(first) and len(sought):
+            place = np.minimum(np.searchsorted(first, sought), len(first) - 1)
+            hit = first[place] == sought
+            a, b = alive[~second][order][place[hit]], alive[second][hit]
+            same = _same_windows(data, at[a], at[b])
+            late[b[same]] = True
+            clash.update(part[b[~same]].tolist())
+        level += 1
+    for p in clash:
+        seen: set[bytes] = set()
+        for i in np.flatnonzero(part == p).tolist():
+            window = data[at[i] : at[i] + WINDOW].tobytes()
+            late[i] = window in seen
+            seen.add(window)
+    return late
+
+
+def _compare(table: pa.Table) -> pa.RecordBatch:
+    """Spans that repeat among the windows of several shards.
+
+    The rows are whole parts as in ``_found``, in the order of the corpus within a part.
+    """
+    part = table.column(0).to_numpy()
+    start, stop = table.column(3).to_numpy().astype(np.int64), table.column(4).to_numpy()
+    windows = stop - start
+    values = table.column(5).combine_chunks().cast(pa.large_binary())
+    data = np.frombuffer(b"".join(values.to_pylist()), np.uint8)
+    new = np.append(True, part[1:] != part[:-1])
+    group = np.cumsum(new) - 1
+    rank = np.arange(len(part)) - np.flatnonzero(new)[group]
+    size = np.bincount(group)[group]
+    row = np.repeat(np.arange(len(part)), windows)
+    inside = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
+    length = windows + WINDOW - 1
+    at = (np.cumsum(length) - length)[row] + inside
+    late = later_windows(data, at, group[row], rank[row], size[row])
+    # Runs of late windows, cut between rows.
+    begins = late & np.append(True, ~late[:-1] | (row[1:] != row[:-1]))
+    ends = late & np.append(~late[1:] | (row[1:] != row[:-1]), True)
+    x, y = np.flatnonzero(begins), np.flatnonzero(ends)
+    rows = pa.array(row[x])
+    first = start[row[x]]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.nulls(len(x), pa.int64()),
+            table.column(1).combine_chunks().take(rows),
+            table.column(2).combine_chunks().take(rows),
+            pa.array((first + inside[x]).astype(np.int32)),
+            pa.array((first + inside[y] + WINDOW).astype(np.int32)),
+            pa.nulls(len(x), pa.binary()),
+        ],
+        ["part", "doc_id", "text_hash", "start", "stop", "data"],
+    )
 
 
 def _merges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compares rows (part, ...) that come sorted by part, one part after another."""
-    rows: list[tuple] = []
-    out: list[tuple] = []
+    """Compares rows (part, ...) that come sorted by part and corpus, whole parts at a time."""
+    held: pa.Table | None = None
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if rows and row[0] != rows[0][0]:
-                out.extend(_compare(rows))
-                rows = []
-            rows.append(row)
-        yield _found(out)
-        out = []
-    out.extend(_compare(rows))
-    yield _found(out)
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table])
+        part = held.column(0).to_numpy()
+        if len(part) and part[0] != part[-1]:
+            whole_parts = int(np.searchsorted(part, part[-1]))
+            yield _compare(held.slice(0, whole_parts))
+            held = held.slice(whole_parts)
+    if held is not None and held.num_rows:
+        yield _compare(held)
 
 
 # ---- the operator ----------------------------------------------------------
@@ -506,10 +602,13 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         .mapInArrow(_shards, _FOUND),
         "repeats",
     )
+    met = F.count("*").over(W.partitionBy("part"))
     merged = (
         found.filter(F.col("part").isNotNull())
-        .repartition("part")
-        .sortWithinPartitions("part")
+        .withColumn("met", met)
+        .filter(F.col("met") > 1)
+        .drop("met")
+        .sortWithinPartitions("part", F.col("doc_id").asc_nulls_last(), "text_hash", "start")
         .mapInArrow(_merges, _FOUND)
     )
     spans = found.filter(F.col("part").isNull()).unionAll(merged)
