@@ -16,22 +16,15 @@ _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 def words(text: Column) -> Column:
     """The normalised words: A to Z lowered, maximal runs of digits, a to z and non-ASCII."""
-    return F.filter(F.split(ascii_lower(whole(text)), _GAP), lambda w: w != "")
+    return F.array_remove(F.split(ascii_lower(whole(text)), _GAP), "")
 
 
-def windows_at(found: Column, length: Column | int) -> Column:
-    """Start (from 1) and hash of each run of ``length`` words."""
+def window_hashes(found: Column, length: Column | int) -> Column:
+    """The hash of each run of ``length`` words, in order."""
     length = F.lit(length) if isinstance(length, int) else length
     last = F.size(found) - length + 1
     starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(
-        starts,
-        lambda i: F.struct(
-            i.alias("start"),
-            length.alias("length"),
-            F.xxhash64(F.slice(found, i, length)).alias("hash"),
-        ),
-    )
+    return F.transform(starts, lambda i: F.xxhash64(F.slice(found, i, length)))
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -42,10 +35,15 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     item = benchmark.select(F.col("item_id"), words(F.col("text")).alias("w"))
     item = item.filter(F.size("w") > 0).withColumn("length", F.least(F.size("w"), F.lit(window)))
     return (
-        item.select("item_id", "w", "length", F.explode(windows_at(F.col("w"), F.col("length"))))
+        item.select(
+            "item_id",
+            "w",
+            "length",
+            F.posexplode(window_hashes(F.col("w"), F.col("length"))).alias("place", "hash"),
+        )
         .select(
-            F.col("col.hash").alias("hash"),
-            F.concat_ws(" ", F.slice("w", F.col("col.start"), F.col("length"))).alias("gram"),
+            "hash",
+            F.concat_ws(" ", F.slice("w", F.col("place") + 1, F.col("length"))).alias("gram"),
             "length",
             "item_id",
         )
@@ -74,11 +72,11 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def _lookups(found: Column, lengths: list[int]) -> Column:
-    """All windows of the given lengths, and one entry 0 that stands for the row itself."""
-    row = F.struct(
-        F.lit(0).alias("start"), F.lit(0).alias("length"), F.lit(None).cast("long").alias("hash")
-    )
-    return F.concat(F.array(row), *(windows_at(found, n) for n in lengths))
+    """The window hashes of each length, and one null under 0 that stands for the row itself."""
+    none = F.array(F.lit(None).cast("long"))
+    row = F.struct(F.lit(0).alias("length"), none.alias("hashes"))
+    own = (F.struct(F.lit(n).alias("length"), window_hashes(found, n).alias("hashes")) for n in lengths)
+    return F.array(row, *own)
 
 
 def hit_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -100,13 +98,21 @@ def hit_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
     known = grams.select("hash", F.lit(True).alias("known")).distinct()
     places = rows.select(
         "doc_id", "text_hash", F.size("w").alias("n_words"), F.explode(_lookups(F.col("w"), lengths))
-    ).select("doc_id", "text_hash", "n_words", "col.*")
-    found = places.join(_small(known), "hash", "left").filter((F.col("start") == 0) | F.col("known"))
-    hit = F.when(F.col("start") > 0, F.struct("start", "length"))
+    ).select(
+        "doc_id",
+        "text_hash",
+        "n_words",
+        "col.length",
+        F.posexplode("col.hashes").alias("place", "hash"),
+    )
+    itself = F.col("length") == 0
+    found = places.join(_small(known), "hash", "left").filter(itself | F.col("known"))
+    start = (F.col("place") + 1).alias("start")
+    hit = F.when(~itself, F.struct(start, "length"))
     judged = keep(
         found.groupBy("doc_id", "text_hash").agg(
             F.max("n_words").cast("long").alias("n_words"),
-            F.count_if(F.col("start") == 0).alias("copies"),
+            F.count_if(itself).alias("copies"),
             F.collect_set(hit).alias("spans"),
         ),
         "hits",
