@@ -226,3 +226,8 @@ def test_contamination_runs_without_python(spark, sf):
 def test_items_hash(spark, sf):
     row = REGISTERED["op8_decontaminate"](spark, sf).filter("n_items = 0").first()
     assert row["items_sha256"] == hashlib.sha256(b"").hexdigest()
+
+
+def test_a_benchmark_too_large_to_broadcast(spark, sf, db, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", -1)
+    same_as_sql(spark, db, sf, "op8_decontaminate")

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tripmill.llm.common import ascii_lower, keep, whole
 
 WINDOW = 13
-#: A set of benchmark windows up to so many rows (some 100 bytes each) is broadcast.
-BROADCAST_WINDOWS = 2_000_000
+#: A side up to so many bytes is broadcast, some four million hashed benchmark windows.
+BROADCAST_BYTES = 64 << 20
 # All that is not a word character once A to Z are lower case.
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -65,10 +65,10 @@ def covered(spans: Column) -> Column:
     return F.aggregate(spans, zero, step, lambda acc: acc["n"])
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast where a count proves that it is small; else Spark joins by exchange."""
-    few = df.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
-    return F.broadcast(df) if few else df
+def _small(df: DataFrame, size: Column) -> DataFrame:
+    """Broadcast where the sum of row sizes proves it small; else Spark joins by exchange."""
+    total = df.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(df) if total <= BROADCAST_BYTES else df
 
 
 def _lookups(found: Column, lengths: list[int]) -> Column:
@@ -106,7 +106,7 @@ def hit_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
         F.posexplode("col.hashes").alias("place", "hash"),
     )
     itself = F.col("length") == 0
-    found = places.join(_small(known), "hash", "left").filter(itself | F.col("known"))
+    found = places.join(_small(known, F.lit(16)), "hash", "left").filter(itself | F.col("known"))
     start = (F.col("place") + 1).alias("start")
     hit = F.when(~itself, F.struct(start, "length"))
     judged = keep(
@@ -123,7 +123,7 @@ def hit_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
     to_verify = judged.filter(F.size("spans") > 0).select("doc_id", "text_hash", "spans")
     words_of_hits = (
         rows.alias("a")
-        .join(_small(to_verify).alias("b"), key)
+        .join(_small(to_verify, 32 + 8 * F.size("spans")).alias("b"), key)
         .select(
             "a.doc_id",
             "a.text_hash",
@@ -140,7 +140,9 @@ def hit_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
         .select("doc_id", "text_hash", "col.*")
     )
     exact = (
-        words_of_hits.join(_small(grams.select("gram", "item_id")), "gram")
+        words_of_hits.join(
+            _small(grams.select("gram", "item_id"), 16 + F.octet_length("gram")), "gram"
+        )
         .groupBy("doc_id", "text_hash")
         .agg(
             F.array_sort(F.collect_set(F.struct("start", "length"))).alias("spans"),
