@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
+from itertools import islice
 from pathlib import Path
 
 import numpy as np
@@ -27,6 +28,8 @@ from tripmill.llm.common import ship
 _NONE = np.int32(2**31 - 1)
 #: Bytes of text whose pre-tokens are gathered before they are encoded together.
 BLOCK_BYTES = 8 << 20
+#: Pre-tokens whose ids are kept from block to block.
+KNOWN_PRETOKENS = 400_000
 
 
 class RankQueue:
@@ -244,15 +247,33 @@ class _Numbers(dict):
         return number
 
 
-def encode_texts(vocab: Vocabulary, split: regex.Pattern, texts: Sequence[str]):
+class Known:
+    """Pre-tokens met so far with their ids; forgotten when they become too many."""
+
+    def __init__(self) -> None:
+        self.numbers = _Numbers()
+        self.ids, self.counts = np.empty(0, np.int32), np.empty(0, np.int64)
+
+    def learn(self, vocab: Vocabulary) -> None:
+        """Encode those numbered since the last time, all at once."""
+        new = list(islice(self.numbers, len(self.counts), None))
+        ids, counts = vocab.encode_all([p.encode() for p in new])
+        self.ids, self.counts = np.append(self.ids, ids), np.append(self.counts, counts)
+
+
+def encode_texts(
+    vocab: Vocabulary, split: regex.Pattern, texts: Sequence[str], known: Known | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in one array, and the bounds of each text in it."""
-    numbers = _Numbers()
+    known = known or Known()
+    numbers = known.numbers
     parts, sizes = [], []
     for text in texts:
         pretokens = split.findall(text)
         parts.append(np.fromiter(map(numbers.__getitem__, pretokens), np.int32, len(pretokens)))
         sizes.append(len(pretokens))
-    ids, counts = vocab.encode_all([p.encode() for p in numbers])
+    known.learn(vocab)
+    ids, counts = known.ids, known.counts
     first = np.cumsum(counts) - counts
     flat = np.concatenate(parts) if parts else np.empty(0, np.int32)
     n = counts[flat]
@@ -319,8 +340,11 @@ def _encoder(content, pattern: str) -> Callable[[pa.Array], tuple[pa.Array, Voca
     def encode(column: pa.Array) -> tuple[pa.Array, Vocabulary]:
         vocab, split = vocabulary(content.value), regex.compile(pattern)
         ids, bounds = [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
+        known = Known()
         for block in _blocks(column):
-            part, ends = encode_texts(vocab, split, block)
+            if len(known.numbers) > KNOWN_PRETOKENS:
+                known = Known()
+            part, ends = encode_texts(vocab, split, block, known)
             ids.append(part)
             bounds.append(ends[1:] + bounds[-1][-1])
         offsets = pa.array(np.concatenate(bounds).astype(np.int32))
@@ -330,9 +354,12 @@ def _encoder(content, pattern: str) -> Callable[[pa.Array], tuple[pa.Array, Voca
 
 
 def _decode(vocab: Vocabulary, column: pa.Array) -> pa.Array:
+    bounds, ids = column.offsets.to_numpy(), column.values.to_numpy()
+    valid = column.is_valid().to_numpy(zero_copy_only=False)
+
     def rows() -> Iterator[bytes]:
-        for row in column:
-            ids = row.as_py() if row.is_valid else []
-            yield b"".join(map(vocab.bytes_of.__getitem__, ids))
+        for a, b, there in zip(bounds[:-1].tolist(), bounds[1:].tolist(), valid, strict=True):
+            own = ids[a:b].tolist() if there else []
+            yield b"".join(map(vocab.bytes_of.__getitem__, own))
 
     return pa.array(rows(), pa.binary())
