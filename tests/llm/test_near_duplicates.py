@@ -189,6 +189,23 @@ def test_copies_do_not_make_templates_of_their_own_text(spark):
     assert len(kept) == 30 and {r["text"] for r in kept} == {text}
 
 
+def test_inner_lines_of_a_block_in_unlike_documents(spark):
+    """A four-line block in the middle, a footer of three lines with a field, one group of copies."""
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(400)]
+    own = lambda n: " ".join(rng.choices(words, k=n))
+    block = ["this is the licence", "it has an inner line", "and one more of them", "here it ends"]
+    names = [own(1) for _ in range(3)]
+    rows = []
+    for i in range(12):
+        foot = ["about this site", f"all rights are reserved by the good company {names[i % 3]}", "last line"]
+        rows.append((i, "\n".join([own(40), *block, own(40), *foot])))
+    copied = [own(12) for _ in range(6)]
+    rows += [(100 + i, "\n".join(copied)) for i in range(9)]
+    found = {r["doc_id"]: set(r["dropped"]) for r in lines.dropped_lines(frame(spark, rows)).collect()}
+    assert found == {i: {1, 2, 3, 4, 6, 7, 8} for i in range(1, 12)}
+
+
 def test_emptied_documents_go_and_columns_stay(spark):
     rows = [(i, f"story {chr(97 + i)} x y z {chr(97 + i)}\nthe same old footer line") for i in range(8)]
     rows += [(50, "the same old footer line"), (51, None), (51, None), (None, " ")]

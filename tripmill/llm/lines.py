@@ -6,9 +6,11 @@ the leaf have at its place is variable too. What stays constant is the line's te
 if it is most of the line; else the line is its own template. A template that recurs in
 enough documents is boilerplate: it keeps its first line, and every other line of it goes.
 
-Documents count only with surroundings of their own, the lines before and after. Copies
-of a document repeat their lines in the same surroundings, so a copied document does not
-turn its own text into templates.
+Documents count only with surroundings of their own: other lines before and after, or a
+text that is no near copy of the others (SimHash, four bits). Copies of a document repeat
+their lines in the same surroundings and share a fingerprint, so a copied document does
+not turn its own text into templates. The inner lines of a block have the same neighbours
+everywhere; they count by the fingerprints of the documents.
 """
 
 from __future__ import annotations
@@ -21,7 +23,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripmill.llm import simhash
 from tripmill.llm.common import keep, ship, whole
+from tripmill.llm.components import components
 
 #: Tokens that lead from the root to a leaf, below the number of tokens.
 LEAD = 3
@@ -106,16 +110,54 @@ def _text_hash(text: Column) -> Column:
     return F.xxhash64(whole(text)).alias("text_hash")
 
 
-def templates(docs: DataFrame, lines: DataFrame) -> DataFrame:
+def contexts(lines: DataFrame) -> DataFrame:
+    """(leaf, hash, context, rows, first): each line in each of its surroundings."""
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "line"))
+    return lines.groupBy("leaf", "hash", "context").agg(
+        F.count("*").alias("rows"), first.alias("first")
+    )
+
+
+def unlike(docs: DataFrame, lines: DataFrame, places: DataFrame) -> DataFrame:
+    """(hash, root): the groups of near copies that hold a line, one row each.
+
+    Only lines that repeat in the same surroundings, in leaves of enough rows: all other
+    lines have as many contexts as rows, or too few rows to recur. Texts without such a
+    line are not fingerprinted.
+    """
+    by_hash = places.groupBy("leaf", "hash").agg(
+        F.sum("rows").alias("rows"), F.count("*").alias("n")
+    )
+    enough = by_hash.groupBy("leaf").agg(F.sum("rows").alias("r")).filter(F.col("r") >= RECURS)
+    repeated = by_hash.filter(F.col("rows") > F.col("n")).join(enough, "leaf", "left_semi")
+    holders = lines.join(repeated.select("hash"), "hash", "left_semi")
+    holders = keep(holders.select("hash", "text_hash").distinct(), "holders")
+    texts = docs.select(_text_hash(F.col("text")), whole(F.col("text")).alias("text"))
+    texts = texts.join(holders.select("text_hash").distinct(), "text_hash", "left_semi")
+    prints = simhash.fingerprints(texts.select(F.col("text_hash").alias("doc_id"), "text"))
+    prints = keep(prints.distinct(), "prints")
+    roots = components(simhash.linked(prints.select("fp").distinct()))
+    rooted = prints.join(roots.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left")
+    rooted = rooted.select(F.col("doc_id").alias("text_hash"), F.coalesce("root", "fp").alias("root"))
+    return holders.join(rooted, "text_hash").select("hash", "root").distinct()
+
+
+def templates(docs: DataFrame, places: DataFrame, groups: DataFrame) -> DataFrame:
     """(hash, template) of the lines whose template is more general than themselves.
 
-    Only leaves with several different lines in enough contexts are looked into. All
-    counting is by hash aggregation, combined before the exchange.
+    A line weighs as many documents as it has contexts, or groups of near copies if those
+    are more. Only leaves with several different lines of enough weight are looked into.
+    All counting is by hash aggregation, combined before the exchange.
     """
-    contexts = lines.select("leaf", "hash", "context").distinct()
+    weights = (
+        places.groupBy("leaf", "hash")
+        .agg(F.count("*").alias("n"))
+        .join(groups.groupBy("hash").agg(F.count("*").alias("g")), "hash", "left")
+        .select("leaf", "hash", F.greatest("n", F.coalesce("g", F.lit(0))).alias("weight"))
+    )
     crowded = (
-        contexts.groupBy("leaf")
-        .agg(F.count("*").alias("n"), F.min("hash").alias("low"), F.max("hash").alias("high"))
+        weights.groupBy("leaf")
+        .agg(F.sum("weight").alias("n"), F.min("hash").alias("low"), F.max("hash").alias("high"))
         .filter((F.col("n") >= RECURS) & (F.col("low") != F.col("high")))
         .select("leaf")
     )
@@ -126,8 +168,7 @@ def templates(docs: DataFrame, lines: DataFrame) -> DataFrame:
         .groupBy("leaf", "hash")
         .agg(F.min("form").alias("form"))
     )
-    weights = contexts.groupBy("hash").agg(F.count("*").alias("weight"))
-    tokens = forms.join(weights, "hash").select(
+    tokens = forms.join(weights.select("hash", "weight"), "hash").select(
         "leaf", "hash", "weight", F.posexplode(F.split("form", " ")).alias("place", "token")
     )
     tokens = keep(tokens, "line-tokens")
@@ -159,21 +200,30 @@ def recurring_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     ``first`` is the smallest (doc_id, text_hash, line) of the template; rows without a
     doc_id come after all others.
     """
-    found = templates(docs, lines)
-    by_hash = lines.groupBy("hash", "context").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "line")).alias("first")
-    )
-    named = by_hash.join(found, "hash", "left").withColumn(
-        "template", F.coalesce("template", F.xxhash64("hash"))
-    )
-    recurs = (
+    places = keep(contexts(lines), "places")
+    groups = keep(unlike(docs, lines, places), "groups")
+    found = keep(templates(docs, places, groups), "general")
+    own = F.coalesce("template", F.xxhash64("hash")).alias("template")
+    named = places.join(found, "hash", "left").select("hash", own, "context", "first")
+    around = (
         named.groupBy("template", "context")
         .agg(F.min("first").alias("first"))
         .groupBy("template", "first.doc_id", "first.text_hash")
         .agg(F.min("first").alias("first"))
         .groupBy("template")
         .agg(F.count("*").alias("n"), F.min("first").alias("first"))
-        .filter(F.col("n") >= RECURS)
+    )
+    apart = (
+        groups.join(found, "hash", "left")
+        .select(own, "root")
+        .distinct()
+        .groupBy("template")
+        .agg(F.count("*").alias("g"))
+        .filter(F.col("g") >= RECURS)
+    )
+    recurs = (
+        around.join(apart, "template", "left")
+        .filter((F.col("n") >= RECURS) | F.col("g").isNotNull())
         .select("template", "first")
     )
     return named.select("hash", "template").distinct().join(recurs, "template")
