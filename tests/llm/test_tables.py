@@ -119,6 +119,16 @@ def test_top_k_with_clusters_ties_and_odd_rows(spark, spread, monkeypatch):
     assert topk.top_k(frame.limit(0), F.col("id") % 50 == 0, 5).collect() == []
 
 
+def test_top_k_with_an_id_repeated_more_than_k_times(spark, monkeypatch):
+    """The query's own id and another one fill the best cell; the results lie beyond it."""
+    monkeypatch.setattr(topk, "CELL_QUERIES", 1)  # every pivot has a query cell
+    rows = [(0, [10.0, 0.0])] * 8 + [(7, [10.0, 0.0])] * 6 + [(7, [-9.0, 0.0])]
+    rows += [(i, [1.0, 0.1 * i]) for i in range(1, 5)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {tuple(r) for r in topk.top_k(frame, F.col("id") == 0, 5).collect()}
+    assert len(got) == 5 and got == {r for r in slow_top_k(rows, 5) if r[0] == 0}
+
+
 def test_bounds_keep_far_cells_away():
     points = np.array([[100.0, 0.0], [-100.0, 0.0]])
     cells = topk.Cells(points, np.array([10, 10]), np.ones(2), np.ones(2), np.full(2, 101.0))

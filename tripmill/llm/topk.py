@@ -48,6 +48,7 @@ def usable(rows: DataFrame, vector: Column) -> DataFrame:
 class Cells:
     """Pivots of one dimension and the summary of their cells; ``PIVOTS`` entries at most.
 
+    ``rows`` counts distinct ids, each in one cell, so no id adds to the sure score twice.
     The first ``len(query_norm)`` pivots are those of the query cells.
     """
 
@@ -257,9 +258,11 @@ def top_k(rows: DataFrame, is_query: Column, k: int, vector: str = "embedding")
         " query_cell int, query_distance double, norm double"
     )
     placed = keep(data.mapInArrow(_assign(spark.sparkContext.broadcast(centres)), schema), "vectors")
-    in_cells = placed.groupBy("dim", "cell").agg(
-        F.count("*").alias("rows"), F.max("distance").alias("radius")
-    )
+    # An id counts once, in the lowest of its cells: results count it once, too.
+    homes = placed.groupBy("dim", "id").agg(F.min("cell").alias("cell"))
+    ids = homes.groupBy("dim", "cell").agg(F.count("*").alias("rows"))
+    in_cells = placed.groupBy("dim", "cell").agg(F.max("distance").alias("radius"))
+    in_cells = in_cells.join(ids, ["dim", "cell"], "left").fillna(0, ["rows"])
     of_queries = placed.filter(query).groupBy("dim", "query_cell").agg(
         F.max("query_distance").alias("radius"), F.max("norm").alias("norm")
     )
