@@ -95,6 +95,18 @@ def test_simhash_of_nulls_repeats_and_empties(spark):
     assert simhash.near_duplicates(frame(spark, [])).collect() == []
 
 
+def test_keep_one_of_rows_without_id_and_of_one_id_with_two_texts(spark):
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(60)) for _ in range(7)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2])]
+    rows += [(1, texts[2]), (5, texts[3]), (5, texts[4]), (5, texts[4]), (4, texts[3]), (6, texts[5]), (6, texts[6])]
+    kept = simhash.keep_one(frame(spark, rows)).collect()
+    place = {t: i for i, t in enumerate(texts)}
+    assert sorted((r["doc_id"] or 0, place[r["text"]]) for r in kept) == [
+        (0, 0), (0, 1), (1, 2), (4, 3), (5, 4), (6, 5), (6, 6),
+    ]
+
+
 def test_components_of_a_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(40)]
     star = [(1000, i) for i in range(100, 130)]

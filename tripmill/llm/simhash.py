@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import keep, ship
+from tripmill.llm.common import keep, ship, whole
 from tripmill.llm.components import components
 
 SHINGLE = 4
@@ -210,23 +210,33 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     rows = keep(fingerprints(docs), "fingerprints")
     nodes = keep(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    roots = components(linked(nodes.select("fp"))).select(F.col("u").alias("fp"), F.col("v").alias("root"))
-    rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = _rooted(nodes)
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.select("fp", "root").join(smallest, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def _rooted(nodes: DataFrame) -> DataFrame:
+    """``nodes`` (distinct fp) with root, the lowest fingerprint of their component."""
+    roots = components(linked(nodes.select("fp"))).select(F.col("u").alias("fp"), F.col("v").alias("root"))
+    return nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` without all but the document with the smallest doc_id of each component.
+    """``docs`` without all but the first document of each component.
 
-    All columns as they are. Rows of one doc_id are one document, of which one row stays;
-    rows without doc_id stay, one a fingerprint, where no row of their component has one.
+    All columns as they are. A document is a doc_id with a text; the first one has the
+    smallest doc_id, and rows without doc_id come after all others. So rows of one doc_id
+    with unlike texts all stay, as do unlike texts without doc_id. Of rows alike in
+    doc_id and text one stays.
     """
-    found = near_duplicates(docs)
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stay = stay.select("doc_id").distinct()
-    kept = docs.alias("d").join(
-        stay.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")), "left_semi"
-    )
-    return kept.dropDuplicates(["doc_id"])
+    text_hash = F.xxhash64(whole(F.col("text")))
+    wide = docs.select(F.col("doc_id").alias("id"), text_hash.alias("text_hash"), F.struct("*").alias("d"))
+    narrow = docs.select(F.struct("doc_id", text_hash.alias("text_hash")).alias("doc_id"), "text")
+    rows = keep(fingerprints(narrow).select("doc_id.*", "fp"), "fingerprints")
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    nodes = keep(rows.groupBy("fp").agg(F.min(place).alias("first")), "nodes")
+    first = _rooted(nodes).groupBy("root").agg(F.min("first").alias("first"))
+    stay = first.select(F.col("first.doc_id").alias("s_id"), F.col("first.text_hash").alias("s_hash"))
+    same = F.col("id").eqNullSafe(F.col("s_id")) & (F.col("text_hash") == F.col("s_hash"))
+    return wide.join(stay, same, "left_semi").dropDuplicates(["id", "text_hash"]).select("d.*")
