@@ -218,6 +218,17 @@ def test_inner_lines_of_a_block_in_unlike_documents(spark):
     assert found == {i: {1, 2, 3, 4, 6, 7, 8} for i in range(1, 12)}
 
 
+def test_lines_of_numbers_are_no_template(spark):
+    """Rows of a table differ in their values; one equal row in unlike documents recurs."""
+    rng = random.Random(6)
+    own = lambda: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(30))
+    data = lambda i: [f"{i} {i + 1} {i + 2}", f"2023-01-{i}", f"v1.{i} 20{i}", "7 8 9"]
+    rows = [(i, "\n".join([own(), *data(i), own()])) for i in range(10, 22)]
+    rows += [(100 + i, f"{i}00 {i}01 {i}02") for i in range(8)]
+    found = {r["doc_id"]: set(r["dropped"]) for r in lines.dropped_lines(frame(spark, rows)).collect()}
+    assert found == {i: {4} for i in range(11, 22)}
+
+
 def test_emptied_documents_go_and_columns_stay(spark):
     rows = [(i, f"story {chr(97 + i)} x y z {chr(97 + i)}\nthe same old footer line") for i in range(8)]
     rows += [(50, "the same old footer line"), (51, None), (51, None), (None, " ")]

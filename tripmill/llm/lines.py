@@ -1,7 +1,7 @@
 """Line deduplication by a log-template tree of fixed depth.
 
 A line goes down the tree by its number of tokens and its first tokens to a leaf.
-Tokens with a digit are variable fields. Below the leaf, a token that few contexts of
+Tokens with a digit are variable fields, unless the line is mostly such. Below the leaf, a token that few contexts of
 the leaf have at its place is variable too. What stays constant is the line's template,
 if it is most of the line; else the line is its own template. A template that recurs in
 enough documents is boilerplate: it keeps its first line, and every other line of it goes.
@@ -38,10 +38,15 @@ _NUMBER = regex.compile(r"\p{N}")
 
 
 def masked(line: str) -> str:
-    """The line with single spaces, and tokens with a digit as fields."""
+    """The line with single spaces, and tokens with a digit as fields if they are few enough.
+
+    A line that is mostly data has no template: it can recur as it is only.
+    """
     tokens = line.split()
     if _NUMBER.search(line):
-        tokens = [FIELD if _NUMBER.search(t) else t for t in tokens]
+        fields = [FIELD if _NUMBER.search(t) else t for t in tokens]
+        if len(tokens) - fields.count(FIELD) >= CONSTANT * len(tokens):
+            tokens = fields
     return " ".join(tokens)
 
 
