@@ -8,8 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, decontaminate, language, lines, sharding, simhash, suffixes, topk, toxicity, warc
+from tripmill.llm import (
+    alignment,
+    bpe,
+    decontaminate,
+    language,
+    lines,
+    sharding,
+    simhash,
+    suffixes,
+    token_counts,
+    topk,
+    toxicity,
+    warc,
+)
 from tripmill.llm.common import table
+from tripmill.llm.vocabularies import TokenizerFile
 from tripmill.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,3 +166,28 @@ def op10_virtual_slots(spark, sf):
         "virtual_slot",
         "map_version",
     )
+
+
+JSON_FILE = public_tokenizers.path("byte_bpe_50k.json")
+MODEL_FILE = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@register
+def op11_digest_cache(spark, sf):
+    """The tokens of every document, counted once for each text."""
+    counts = token_counts.token_counts(
+        table(spark, sf, "documents"),
+        TokenizerFile(spark, JSON_FILE),
+        scratch_path(spark, "token-cache"),
+    )
+    return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+@register
+def op13_exact_text(spark, sf):
+    """The links between the tokens of two tokenizers in every document."""
+    return alignment.alignment(
+        table(spark, sf, "documents"),
+        TokenizerFile(spark, JSON_FILE, plain=True),
+        TokenizerFile(spark, MODEL_FILE),
+    )
