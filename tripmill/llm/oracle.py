@@ -58,4 +58,45 @@ r as (
   from s)
 select query_id, rank, vec_id, score from r where rank <= 5""",
     "op8_decontaminate": f"with {DECONTAMINATE.format(docs='documents')} select * from rated",
+    # crc32 by its definition, bit by bit; nodes are lists of (role, text).
+    "op12_prefix_trie": """
+with t as (
+  select conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+    order by turn nulls first) as own
+  from conversations where conv_id is not null group by conv_id),
+crc as (
+  select conv_id, own,
+    xor(list_reduce(list_transform(string_split(conv_id::varchar, ''), lambda c: ascii(c)::bigint),
+      lambda crc, byte: list_reduce(
+        list_prepend(xor(crc, byte), range(0, 8)),
+        lambda x, i: xor(x >> 1, (x & 1) * 3988292384)),
+      4294967295::bigint), 4294967295) % 6 as h
+  from t),
+built as (
+  select c.conv_id,
+    list_concat(b.own[1 : c.h], c.own[c.h + 1 : len(c.own)]) as seq
+  from crc c left join t b on b.conv_id = c.conv_id - c.conv_id % 100),
+member as (
+  select conv_id, d as depth, seq[1:d] as prefix, len(seq) as n
+  from (select *, unnest(range(0, len(seq) + 1)) as d from built)),
+node as (
+  select depth, prefix, min(conv_id) as conv_id, count(*) as n_convs,
+    coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (n = depth), '') as ends
+  from member group by depth, prefix),
+child as (
+  select p.depth, p.prefix, count(*) as n_children
+  from node c join node p on c.depth = p.depth + 1 and c.prefix[1 : p.depth] = p.prefix
+  group by p.depth, p.prefix),
+own as (
+  select n.*, coalesce(n_children, 0) as n_children,
+    case when depth = 0 then 0 else (n_convs - 1) * length(prefix[depth].text) end as saved
+  from node n left join child using (depth, prefix)),
+sub as (
+  select a.depth, a.prefix, count(*) filter (b.n_children = 0) as n_leaves, sum(b.saved)::bigint as saved_tokens
+  from own a join own b on b.depth >= a.depth and b.prefix[1 : a.depth] = a.prefix
+  group by a.depth, a.prefix)
+select own.conv_id, own.depth, p.conv_id as parent_conv_id, own.n_convs, own.n_children,
+  sub.n_leaves, sub.saved_tokens, sha256(own.ends) as ends_sha256
+from own join sub using (depth, prefix)
+left join node p on p.depth = own.depth - 1 and p.prefix = own.prefix[1 : own.depth - 1]""",
 }

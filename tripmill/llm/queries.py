@@ -14,6 +14,7 @@ from tripmill.llm import (
     decontaminate,
     language,
     lines,
+    prefix_trie,
     sharding,
     simhash,
     suffixes,
@@ -183,6 +184,12 @@ def op11_digest_cache(spark, sf):
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+@register
+def op12_prefix_trie(spark, sf):
+    """The prefixes that conversations share."""
+    return prefix_trie.prefix_trie(table(spark, sf, "conversations"))
+
+
 @register
 def op13_exact_text(spark, sf):
     """The links between the tokens of two tokenizers in every document."""
