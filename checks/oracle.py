@@ -210,6 +210,11 @@ _REPORT = f"""with {FREIGHT_RAW}, {APP_RAW}, report as (
     {_counts('app_raw', APP_VALID, ['vehicle_type', 'event_id'])})"""
 ORACLE["quality_report"] = f"{_REPORT} select * from report"
 ORACLE["quality_report_of_tables"] = ORACLE["quality_report"]
+ORACLE["rejected_trips"] = f"""with {FREIGHT_RAW}, {APP_RAW}
+    select vehicle_type, pickup_ts, pu_location_id, do_location_id, fare_amount, trip_distance
+    from freight_raw where coalesce(not ({FREIGHT_VALID}), true) union all
+    select vehicle_type, pickup_ts, pu_location_id, do_location_id, fare_amount, trip_distance
+    from app_raw where coalesce(not ({APP_VALID}), true)"""
 ORACLE["reject_counts"] = f"""{_REPORT}
     select vehicle_type, rows_read, invalid_records, duplicates_removed from report"""
 
@@ -431,6 +436,19 @@ STATS = """select vehicle_type, avg(fare_amount) as mean_fare, stddev_samp(fare_
 ORACLE["feed_stats"] = on_silver(f"""select vehicle_type, {shown('mean_fare', 4)} as mean_fare,
     {shown('std_fare', 4)} as std_fare, {shown('mean_distance', 4)} as mean_distance,
     {shown('std_distance', 4)} as std_distance from ({STATS})""")
+ORACLE["feed_stats_of_rollup"] = ORACLE["feed_stats"]
+ORACLE["od_flows_of_rollup"] = ORACLE["od_flows"]
+ORACLE["zone_heatmap_of_rollup"] = ORACLE["zone_heatmap"]
+ORACLE["feed_stats_narrow"] = """
+    with n as (
+        select l_returnflag as vehicle_type, 1e6::double + l_partkey::double * 0.001::double as fare,
+            1e9::double + l_suppkey::double * 0.5::double as distance
+        from lineitem)
+    select vehicle_type, format('{:.8e}', avg(fare)) as mean_fare,
+        format('{:.8e}', stddev_samp(fare - 1e6::double)) as std_fare,
+        format('{:.8e}', avg(distance)) as mean_distance,
+        format('{:.8e}', stddev_samp(distance - 1e9::double)) as std_distance
+    from n group by vehicle_type"""
 SCORED = f"""scored as (
     select silver.*,
         case when std_fare > 0 then abs((fare_amount - mean_fare) / std_fare) else 0.0 end

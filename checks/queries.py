@@ -230,15 +230,43 @@ def quality_report(spark, sf):
     )
 
 
+def _judged(spark, sf):
+    """Kept and rejected rows of both feed families in one written table, by verdict."""
+    freight = quality.judge(
+        conform(b.freight_raw(spark, sf), b.FREIGHT),
+        b.FREIGHT_BOUNDS,
+        b.FREIGHT.identity,
+        drop=b.FREIGHT.carry,
+    )
+    app = quality.judge(
+        conform(b.app_raw(spark, sf), b.APP), b.APP_BOUNDS, b.APP.identity, drop=b.APP.carry
+    )
+    path = scratch_path(spark, "judged")
+    tables.write_partitions(union_feeds([freight, app]), path, quality.VERDICT_PARTITIONS, whole=True)
+    return path
+
+
 @register
 def quality_report_of_tables(spark, sf):
-    """The same report from the rejects and the written trips instead of counted keys."""
-    rejected = [
-        quality.rejects(conform(b.freight_raw(spark, sf), b.FREIGHT), b.FREIGHT_BOUNDS),
-        quality.rejects(conform(b.app_raw(spark, sf), b.APP), b.APP_BOUNDS),
+    """The same report from the rows of the kept and rejected parts, written in one pass."""
+    path = _judged(spark, sf)
+    landed = [
+        conform(b.freight_raw(spark, sf), b.FREIGHT).select("vehicle_type"),
+        conform(b.app_raw(spark, sf), b.APP).select("vehicle_type"),
     ]
-    return quality.report_of(
-        union_feeds(rejected), materialised(b.silver(spark, sf), "trips")
+    return quality.report_of_parts(
+        union_feeds(landed),
+        tables.read_if_exists(spark, f"{path}/verdict={quality.REJECTED}"),
+        spark.read.parquet(f"{path}/verdict={quality.KEPT}"),
+    )
+
+
+@register
+def rejected_trips(spark, sf):
+    """Every rejected row as often as it was delivered."""
+    rows = spark.read.parquet(f"{_judged(spark, sf)}/verdict={quality.REJECTED}")
+    return rows.select(
+        "vehicle_type", "pickup_ts", "pu_location_id", "do_location_id", "fare_amount", "trip_distance"
     )
 
 
@@ -546,6 +574,48 @@ def feed_stats(spark, sf):
     return _rounded(stats, ("mean_fare", "std_fare", "mean_distance", "std_distance"), 4)
 
 
+def _digits(column):
+    """Nine significant digits."""
+    return F.format_string("%.8e", column)
+
+
+@register
+def feed_stats_narrow(spark, sf):
+    """Values far from zero that differ little: a spread of the last digits."""
+    line = b.table(spark, sf, "lineitem")
+    rows = line.select(
+        F.col("l_returnflag").alias("vehicle_type"),
+        (F.lit(1e6) + F.col("l_partkey").cast("double") * 0.001).alias("fare_amount"),
+        (F.lit(1e9) + F.col("l_suppkey").cast("double") * 0.5).alias("trip_distance"),
+    )
+    stats = an.group_stats(rows)
+    return stats.select(
+        "vehicle_type",
+        *[_digits(F.col(c)).alias(c) for c in ("mean_fare", "std_fare", "mean_distance", "std_distance")],
+    )
+
+
+def _flow_rollup(spark, sf):
+    return materialised(flows.flow_rollup(b.silver(spark, sf)), "flow-rollup")
+
+
+@register
+def feed_stats_of_rollup(spark, sf):
+    """The statistics of the feeds from the rollup that the flows are read from."""
+    stats = an.stats_of(flows.feed_moments(_flow_rollup(spark, sf)))
+    return _rounded(stats, ("mean_fare", "std_fare", "mean_distance", "std_distance"), 4)
+
+
+@register
+def od_flows_of_rollup(spark, sf):
+    return _means(flows.flows_of(_flow_rollup(spark, sf)))
+
+
+@register
+def zone_heatmap_of_rollup(spark, sf):
+    return _means(flows.heatmap_of(_flow_rollup(spark, sf)))
+
+
 def _scored(spark, sf, feeds):
     trips = materialised(b.silver(spark, sf), "trips")
     return an.zscores(trips, feeds=feeds).select(
@@ -567,7 +637,7 @@ def zscores(spark, sf):
 
 @register
 def zscores_any_feed(spark, sf):
-    """The same without a list of feeds: salted join instead of a broadcast."""
+    """The same without a list of feeds: the join of the statistics carries no filter."""
     return _scored(spark, sf, None)
 
 

@@ -3,12 +3,15 @@
 import calendar
 import datetime as dt
 import hashlib
+import math
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
+from tripmill.functions import moments
 from tripmill.functions.hashing import SAMPLE, SPLIT, below_fraction, key_hash
-from tripmill.functions.numbers import deviation_of, exact, fixed_point, mean_of, rounded
+from tripmill.functions.numbers import exact, fixed_point, mean_of, rounded
 from tripmill.functions.periods import first_day, month_of, period_of, source_name
 
 
@@ -79,15 +82,45 @@ def test_what_no_decimal_holds_is_unknown(spark, value):
     assert one(spark, exact(F.lit(value).cast("double"))) is None
 
 
-def test_deviation_from_exact_sums(spark):
-    rows = spark.range(1_000).select((F.col("id") * 0.37 + 0.00001).alias("v"))
-    x = exact(F.col("v"), "decimal(18,6)")
-    found, plain = rows.agg(
-        deviation_of(F.sum(x), F.sum(x * x), F.count(x)), F.stddev_samp("v")
-    ).first()
-    assert abs(found - plain) < 1e-6
-    single = rows.limit(1).agg(deviation_of(F.sum(x), F.sum(x * x), F.count(x))).first()[0]
-    assert single is None
+def _moments(spark, values, grains=1):
+    """(mean, deviation) of doubles whose parts were added up per grain, then over all."""
+    rows = spark.createDataFrame([(i % grains, v) for i, v in enumerate(values)], "g int, v double")
+    sums = rows.withColumns(moments.moment_columns({"x": "v"}))
+    sums = sums.groupBy("g").agg(*moments.merged({"x": "v"})).agg(*moments.merged({"x": "v"}))
+    return tuple(sums.select(moments.mean_of_parts("x"), moments.deviation_of_parts("x")).first())
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [1e6, 1e6 + 0.001, 1e6 + 0.002],
+        [-1e6, -1e6 + 0.001, -1e6 - 0.002, -1e6],
+        [999_999.9995, 1_000_000.0005] * 40,  # on both sides of a whole number
+        [9e12, 9e12 + 1, 9e12 + 3],
+        [4e-7, 4e-7],
+        [1e-9, 3e-9, 8e-9],
+        [0.0, 0.0, 0.0],
+        [5e12, -5e12, 17.25],
+        [0.37 * i + 0.00001 for i in range(1_000)],
+        [-0.5, 0.25, 1e9],
+    ],
+)
+def test_moments_keep_their_digits(spark, values):
+    mean, deviation = _moments(spark, values)
+    exact_values = [Fraction(repr(v)) for v in values]
+    center = sum(exact_values) / len(values)
+    want = math.sqrt(sum((v - center) ** 2 for v in exact_values) / (len(values) - 1))
+    assert mean == pytest.approx(float(center), rel=1e-14)
+    assert deviation == pytest.approx(want, rel=1e-10, abs=1e-15)
+    # The same bits whatever the order and the grain.
+    assert _moments(spark, values[::-1], 7) == (mean, deviation)
+
+
+def test_moments_of_few_and_unknown_values(spark):
+    assert _moments(spark, [3.5]) == (3.5, None)
+    unknown = [float("inf"), float("-inf"), float("nan"), 1e13, None]
+    assert _moments(spark, [*unknown, 2.0, 4.0]) == (3.0, math.sqrt(2.0))
+    assert _moments(spark, unknown) == (None, None)
 
 
 def test_key_hash_is_md5_of_the_key(spark):

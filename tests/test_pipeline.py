@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tripmill.feeds import FEEDS
 from tripmill.operators import models
+from tripmill.operators.anomalies import group_stats
 from tripmill.plans.layers import Pipeline, RawSources
 from tripmill.specs import FeedSpec, LakeOptions, PeriodFilter, RunOptions
 
@@ -184,6 +185,61 @@ def test_every_landed_row_is_kept_rejected_or_repeated(run):
         assert r.rows_read == r.rows_kept + r.invalid_records + r.duplicates_removed
 
 
+def scans_of(spark, part, action):
+    """Scans that read columns of files below a path, in the plans that ``action`` ran."""
+    store = spark._jsparkSession.sharedState().statusStore()
+
+    def executions():
+        found = store.executionsList()
+        return {found.apply(i).executionId() for i in range(found.size())}
+
+    before = executions()
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1_000)  # whole paths in the plans
+    try:
+        action()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    found = []
+    for number in sorted(executions() - before):
+        nodes = store.planGraph(number).allNodes()
+        for i in range(nodes.size()):
+            node = nodes.apply(i)
+            if node.name().startswith("Scan parquet") and part in node.desc():
+                if "ReadSchema: struct<>" not in node.desc():
+                    found.append(node.desc())
+    return found
+
+
+def test_silver_reads_bronze_once(run, spark):
+    """Bronze trips are scanned once per feed; the report reads footers and rejected rows."""
+    again = Pipeline(spark, run.base, run.sources, run.options)
+    bronze = scans_of(spark, "/bronze/trips/spec=", again.silver)
+    assert len(bronze) == len(run.options.feeds)
+    kept = scans_of(spark, "verdict=kept", again.silver)
+    assert not kept
+    rejected = run.read("silver", "rejected_trips")
+    assert rejected.count() == 8 and rejected.filter("pu_location_id = 400").count() == 8
+
+
+def test_lake_reads_silver_twice(run, spark):
+    again = Pipeline(spark, run.base, run.sources, run.options)
+    assert len(scans_of(spark, "verdict=kept", again.lake)) == 2
+
+
+def test_model_rows_are_those_of_lowest_hash(run):
+    """Picked from a share of the trips, or from all where the share is too small."""
+    silver = run.read("silver", "trips")
+    for cap, share in ((40, None), (150, 0.05)):
+        options = replace(run.options, lake=LakeOptions(max_model_rows=cap, min_model_rows=10**6))
+        again = Pipeline(run.spark, run.base, run.sources, options)
+        if share is not None:
+            again.model_share = lambda rows, share=share: share
+        again.single_trips(silver, group_stats(silver))
+        rows = [str(tuple(r)) for r in again.read("lake", "model_rows").collect()]
+        want = [str(tuple(r)) for r in models.ml_input(silver, cap=cap).collect()]
+        assert sorted(rows) == sorted(want) and len(rows) == cap
+
+
 def labelled(folder):
     """One landing of several feeds: a declared label, another one and none."""
     folder.mkdir(parents=True)

@@ -9,6 +9,7 @@ from tripmill.feeds import FEEDS, FHV, FHVHV, GREEN, YELLOW
 from tripmill.operators.conform import add_time_parts, conform, only_feeds, union_feeds
 from tripmill.operators.quality import (
     apply_quality,
+    judge,
     keep_latest,
     profile,
     quality_counts,
@@ -244,3 +245,19 @@ def test_union_and_subset(spark):
     assert only_feeds(both, None).count() == 2
     row = only_feeds(both, ("fhv",)).first()
     assert row.vehicle_type == "fhv" and row.trip_distance is None
+
+
+def test_judged_rows_are_the_kept_and_every_rejected_one(spark):
+    """Rejected rows of one key all stay, valid ones once; a third of all rows has one key."""
+    same = [trip(ingestion_ts=T + dt.timedelta(hours=i)) for i in range(30)]
+    bad = [trip(pu_location_id=400)] * 20 + [trip(pickup_ts=None)] * 5 + [trip(fare_amount=-1.0)]
+    other = [trip(source_file="g", pickup_ts=T + dt.timedelta(days=i)) for i in range(1, 9)]
+    df = trips(spark, *same, *bad, *other).repartition(5)
+    judged = judge(df, QualityBounds())
+    assert judged.columns == [*df.columns, "verdict"]
+    kept = judged.filter("verdict = 'kept'").drop("verdict")
+    want = keep_latest(apply_quality(df, QualityBounds()))
+    assert sorted(map(str, kept.collect())) == sorted(map(str, want.collect()))
+    assert judged.filter("verdict = 'rejected'").count() == len(bad)
+    assert "WindowGroupLimit" in judged._jdf.queryExecution().executedPlan().toString()
+    assert judge(df.limit(0), QualityBounds()).count() == 0

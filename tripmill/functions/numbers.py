@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 DIGITS = 4
 #: A single amount; sums of it are DECIMAL(38, 8), so 10^10 rows of the largest still fit.
 EXACT_TYPE = "decimal(28,8)"
-#: A single amount whose square is summed too.
-SQUARED_TYPE = "decimal(18,6)"
 
 
 def exact(value: Column, kind: str = EXACT_TYPE) -> Column:
@@ -38,10 +36,3 @@ def rounded(value: Column, digits: int) -> Column:
 def mean_of(total: Column, n: Column) -> Column:
     """Mean from an exact total and its number of values, as a double; null for none."""
     return F.try_divide(total.cast("double"), n.cast("double"))
-
-
-def deviation_of(total: Column, squares: Column, n: Column) -> Column:
-    """Sample standard deviation from exact sums of values and squares; null below two values."""
-    values, count = total.cast("double"), n.cast("double")
-    spread = squares.cast("double") - values * F.try_divide(values, count)
-    return F.when(n > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (count - 1)))

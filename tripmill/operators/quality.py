@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,6 +51,69 @@ def keep_latest(
     return trips.withColumn("_rank", F.row_number().over(rank)).filter("_rank = 1").drop("_rank", *drop)
 
 
+#: Partitions of a table that holds the trips that were kept and those that were rejected.
+VERDICT_PARTITIONS = ("verdict", "vehicle_type", "year_month")
+KEPT, REJECTED = "kept", "rejected"
+
+
+def judge(
+    trips: DataFrame,
+    bounds: QualityBounds,
+    keys: Sequence[str] = TRIP_IDENTITY,
+    newest: Sequence[str] = ("-ingestion_ts",),
+    drop: Sequence[str] = (),
+) -> DataFrame:
+    """Every rejected row and the newest valid row per key, told apart by ``verdict``.
+
+    One pass for both: a rejected row has a number of its own beside the key, so it is
+    the only one of its group, whatever its key, and many of them spread over all tasks.
+    The numbers need only differ, so a retried task may give others. Rows still are
+    limited to one per key before the exchange.
+    """
+    valid = quality_predicate(bounds)
+    numbered = trips.withColumns(
+        {
+            "verdict": F.when(valid, KEPT).otherwise(REJECTED),
+            "_row": F.when(~valid, F.monotonically_increasing_id()),
+        }
+    )
+    return keep_latest(numbered, (*keys, "_row"), newest, ("_row", *drop))
+
+
+def report_of_parts(landed: DataFrame, rejected: DataFrame | None, kept: DataFrame) -> DataFrame:
+    """Quality report from the rows landed, rejected and kept, each counted per feed.
+
+    ``landed`` and ``kept`` are counted by their partitions, which Spark reads from file
+    footers; of ``rejected`` (None if there are none) the pickup times are read too, as a
+    row without one is never kept. Feeds without a name are one feed.
+    """
+    columns = ("rows_read", "invalid_records", "_no_pickup", "rows_kept")
+
+    def counted(rows: DataFrame, *found: Column) -> DataFrame:
+        by_feed = rows.groupBy("vehicle_type").agg(*found)
+        zero = F.lit(0).cast("bigint")
+        given = [c if c in by_feed.columns else zero.alias(c) for c in columns]
+        return by_feed.select(F.col("vehicle_type").cast("string"), *given)
+
+    n = F.count(F.lit(1))
+    parts = [counted(landed, n.alias("rows_read")), counted(kept, n.alias("rows_kept"))]
+    if rejected is not None:
+        missing = F.count_if(F.col("pickup_ts").isNull()).alias("_no_pickup")
+        parts.append(counted(rejected, n.alias("invalid_records"), missing))
+    sums = reduce(DataFrame.unionByName, parts).groupBy("vehicle_type").agg(
+        *[F.sum(c).alias(c) for c in columns]
+    )
+    read = F.col("rows_read")
+    return sums.select(
+        "vehicle_type",
+        "rows_read",
+        rounded(F.col("_no_pickup") / F.greatest(read, F.lit(1)), 4).alias("null_rate"),
+        "invalid_records",
+        (read - F.col("invalid_records") - F.col("rows_kept")).alias("duplicates_removed"),
+        "rows_kept",
+    )
+
+
 def profile(trips: DataFrame) -> DataFrame:
     """Rows, rows without a pickup time and their rate, per feed before filtering."""
     return trips.groupBy("vehicle_type").agg(*_profile_columns())

@@ -5,10 +5,18 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.operators.anomalies import cap_anomalies, tag_anomalies
+from tripmill.functions.hashing import SAMPLE, below_fraction, key_hash
+from tripmill.operators.anomalies import (
+    cap_anomalies,
+    far_out,
+    group_stats,
+    stats_of,
+    tag_anomalies,
+    zscores,
+)
 from tripmill.operators.conform import (
     add_time_parts,
     conform,
@@ -17,11 +25,18 @@ from tripmill.operators.conform import (
     union_feeds,
 )
 from tripmill.operators.drift import file_columns, schema_drift, union_columns
-from tripmill.operators.flows import hash_sample, od_flows, top_routes, zone_heatmap
+from tripmill.operators.flows import (
+    feed_moments,
+    flow_rollup,
+    flows_of,
+    hash_sample,
+    heatmap_of,
+    top_routes,
+)
 from tripmill.operators.incidents import incident_trip_join
 from tripmill.operators.kpis import all_kpis
 from tripmill.operators.models import fit_and_score, ml_input
-from tripmill.operators.quality import apply_quality, keep_latest, rejects, report_of
+from tripmill.operators.quality import KEPT, REJECTED, VERDICT_PARTITIONS, judge, report_of_parts
 from tripmill.operators.serving import KPI_KEYS, LAKE_KEYS, capped
 from tripmill.operators.steps import (
     duration_rollup,
@@ -34,7 +49,7 @@ from tripmill.operators.steps import (
 )
 from tripmill.operators.tally import rollup, side_rollup
 from tripmill.operators.zones import add_zones, unique_zones
-from tripmill.plans.reuse import persisted, written
+from tripmill.plans.reuse import written
 from tripmill.plans.steplog import StepLog
 from tripmill.sources.files import file_manifest, footer_columns, list_files, with_source
 from tripmill.sources.landing import land_feed
@@ -57,9 +72,14 @@ from tripmill.sources.tables import (
     write_sorted,
     write_table,
 )
-from tripmill.specs import FeedSpec, RunOptions
+from tripmill.specs import TRIP_IDENTITY, FeedSpec, RunOptions
 
 LAYERS = ("bronze", "silver", "gold", "lake")
+# Tables that are a part of another one.
+PARTS = {
+    ("silver", "trips"): f"judged/verdict={KEPT}",
+    ("silver", "rejected_trips"): f"judged/verdict={REJECTED}",
+}
 
 
 @dataclass(frozen=True)
@@ -90,7 +110,7 @@ class Pipeline:
         self.log = StepLog(self.spark, self.path("metrics", "steps"))
 
     def path(self, layer: str, name: str) -> str:
-        return f"{self.base}/{layer}/{name}"
+        return f"{self.base}/{layer}/{PARTS.get((layer, name), name)}"
 
     def read(self, layer: str, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, name))
@@ -213,16 +233,17 @@ class Pipeline:
         zones = self.read("bronze", "zones")
         with self.log.track("silver", "trips") as step:
             step.extra["zones_repeated"] = str(zones.count() - unique_zones(zones).count())
-            kept = [
-                keep_latest(apply_quality(df, bounds), spec.identity, drop=spec.carry)
-                for spec, df in conformed
+            # One pass over bronze: rejected rows are written beside the kept ones.
+            judged = [
+                judge(df, bounds, spec.identity, drop=spec.carry) for spec, df in conformed
             ]
-            trips = add_zones(union_feeds(kept), zones)
-            write_partitions(add_time_parts(trips), self.path("silver", "trips"), whole=True)
+            trips = add_time_parts(add_zones(union_feeds(judged), zones))
+            write_partitions(trips, self.path("silver", "judged"), VERDICT_PARTITIONS, whole=True)
             step.rows_written = self.rows("silver", "trips")
             step.rows_read = sum(raw.count() for _, raw in found if raw is not None)
-        rejected = union_feeds([rejects(df, bounds) for _, df in conformed])
-        report = report_of(rejected, self.read("silver", "trips"))
+        landed = union_feeds([raw.select("vehicle_type") for _, raw in found if raw is not None])
+        rejected = read_if_exists(self.spark, self.path("silver", "rejected_trips"))
+        report = report_of_parts(landed, rejected, self.read("silver", "trips"))
         for row in self.write(report, "silver", "quality_report").toLocalIterator():
             with self.log.track("silver", f"quality_{row['vehicle_type']}") as step:
                 step.rows_read, step.rows_written = row["rows_read"], row["rows_kept"]
@@ -250,18 +271,11 @@ class Pipeline:
     # ---- lake ---------------------------------------------------------------
 
     def lake(self) -> None:
-        lake = self.options.lake
+        """Two scans of silver: one adds trips up, one looks at single trips."""
         silver = self.read("silver", "trips")
-        trips = only_feeds(silver, lake.feeds)
-        share = max(lake.flow_fraction, lake.anomaly_fraction)
-        if share < 1.0:
-            # One pass over silver: the smaller samples are subsets of this one.
-            with persisted(hash_sample(trips, share)) as sample:
-                self.flows_and_anomalies(sample)
-        else:
-            self.flows_and_anomalies(trips)
-        self.duration_model(silver)
-        rolled = only_feeds(self.read("gold", "trip_rollup"), lake.feeds)
+        stats = self.flows(silver)
+        self.single_trips(silver, stats)
+        rolled = only_feeds(self.read("gold", "trip_rollup"), self.options.lake.feeds)
         incidents = read_if_exists(self.spark, self.path("bronze", "incidents"))
         if incidents is not None:
             joined = incident_trip_join(incidents, rolled)
@@ -269,25 +283,65 @@ class Pipeline:
         self.drift()
         self.serve_lake()
 
-    def flows_and_anomalies(self, sample: DataFrame) -> None:
+    def flows(self, silver: DataFrame) -> DataFrame:
+        """Flows, heatmap and routes; hands back the statistics of the feeds."""
         lake, n = self.options.lake, self.rows("silver", "trips")
-        busy, share = hash_sample(sample, lake.flow_fraction), lake.flow_fraction
-        flows = self.write(od_flows(busy), "lake", "od_flows", read=n, fraction=share)
-        self.write(zone_heatmap(busy), "lake", "zone_heatmap", read=n, fraction=share)
+        share = lake.flow_fraction
+        trips = only_feeds(silver, lake.feeds)
+        rollup_of = flow_rollup(hash_sample(trips, share))
+        rolled = self.write(rollup_of, "lake", "flow_rollup", read=n, fraction=share)
+        groups = self.rows("lake", "flow_rollup")
+        flows = self.write(flows_of(rolled), "lake", "od_flows", read=groups, fraction=share)
+        self.write(heatmap_of(rolled), "lake", "zone_heatmap", read=groups, fraction=share)
         self.write(top_routes(flows, lake.top_routes), "lake", "top_routes", fraction=share)
-        looked_at, share = hash_sample(sample, lake.anomaly_fraction), lake.anomaly_fraction
-        tagged = tag_anomalies(looked_at, lake.threshold, feeds=lake.feeds)
-        with written(tagged, "anomalies") as found:  # a cap reads them twice
-            anomalies = cap_anomalies(found, lake.max_anomalies)
+        if lake.anomaly_fraction == share:
+            return stats_of(feed_moments(rolled))
+        # Another share of the trips is looked at for anomalies: its own statistics, its own scan.
+        return group_stats(hash_sample(trips, lake.anomaly_fraction))
+
+    def single_trips(self, silver: DataFrame, stats: DataFrame) -> None:
+        """Anomalies and the rows of the model, picked from silver in one scan."""
+        lake, n = self.options.lake, self.rows("silver", "trips")
+        share, feeds = lake.anomaly_fraction, lake.model_feeds or lake.feeds
+        enough = self.model_share(only_feeds(silver, feeds).count())
+        with written(self.picked(silver, stats, enough), "picked") as found:
+            looked_at = hash_sample(only_feeds(found, lake.feeds), share)
+            tagged = tag_anomalies(looked_at, lake.threshold, stats)
+            anomalies = cap_anomalies(tagged, lake.max_anomalies)
             cap = "none" if lake.max_anomalies is None else lake.max_anomalies
             extra = {"fraction": share, "cap": cap}
             self.write(anomalies, "lake", "anomaly_trips", compact=True, read=n, **extra)
+            self.duration_model(found, silver, enough)
+
+    def model_share(self, rows: int) -> float:
+        """The share of trips, by hash, that holds the model's rows many times over."""
+        lake = self.options.lake
+        if lake.max_model_rows is None or not rows:
+            return lake.model_fraction
+        return min(lake.model_fraction, 20 * lake.max_model_rows / rows)
+
+    def picked(self, silver: DataFrame, stats: DataFrame, enough: float) -> DataFrame:
+        """Trips that are an anomaly or may be rows of the model, as they are in silver."""
+        lake = self.options.lake
+
+        def among(feeds: Iterable[str] | None) -> Column:
+            return F.lit(True) if feeds is None else F.col("vehicle_type").isin(*feeds)
+
+        hashed = key_hash(silver, TRIP_IDENTITY, SAMPLE)
+        odd = far_out(lake.threshold) & below_fraction(hashed, lake.anomaly_fraction)
+        model = below_fraction(hashed, enough) & (F.col("trip_duration_sec") > 0)
+        wanted = (among(lake.feeds) & odd) | (among(lake.model_feeds or lake.feeds) & model)
+        return zscores(silver, stats).filter(wanted).select(*silver.columns)
 
-    def duration_model(self, trips: DataFrame) -> None:
+    def duration_model(self, found: DataFrame, silver: DataFrame, enough: float) -> None:
+        """Fit to the trips of lowest hash; ``found`` has all trips below the share ``enough``."""
         lake = self.options.lake
         feeds = lake.model_feeds or lake.feeds
-        chosen = ml_input(trips, lake.model_fraction, lake.max_model_rows, feeds)
-        rows = self.write(chosen, "lake", "model_rows")
+        rows = self.write(ml_input(found, enough, lake.max_model_rows, feeds), "lake", "model_rows")
+        if enough < lake.model_fraction and rows.count() < lake.max_model_rows:
+            # Fewer trips with a duration than their share: all of silver after all.
+            chosen = ml_input(silver, lake.model_fraction, lake.max_model_rows, feeds)
+            rows = self.write(chosen, "lake", "model_rows")
         with self.log.track("lake", "duration_model") as step:
             step.rows_read = rows.count()
             if step.rows_read < lake.min_model_rows:
