@@ -16,6 +16,7 @@ import corpus_pipeline
 from tripmill.llm import decontaminate, sharding, simhash, topk, warc
 from tripmill.llm.common import table
 from tripmill.llm.queries import REGISTERED
+from tripmill.session import scratch_path
 
 # ---- shards ----
 
@@ -42,7 +43,7 @@ def test_rows_without_id_or_text_and_repeated_rows(spark):
     rows = [(1, "a", 7), (1, "a", 7), (1, "b", 7), (None, "x", 7), (None, None, 7), (2, None, 7), (3, "é" * 9999, 7)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, shard int")
     got = sharding.shard_by_bytes(docs, 3, n_slots=16).collect()
-    assert len(got) == 7 and len({r["shard"] for r in got if r["doc_id"] == 1}) == 1
+    assert len(got) == 7 and sorted(r["size"] for r in got if r["doc_id"] == 1) == [2, 2, 2]
     assert sorted(r["size"] for r in got) == [1, 1, 2, 2, 2, 2, 19_999]
     for shard in range(3):
         own = sorted(r["slot"] for r in got if r["shard"] == shard)
@@ -50,6 +51,43 @@ def test_rows_without_id_or_text_and_repeated_rows(spark):
     assert sharding.shard_by_bytes(docs.limit(0), 3, n_slots=16).collect() == []
 
 
+@pytest.mark.parametrize("same_text", [False, True])
+def test_an_id_with_a_third_of_all_rows_fills_no_shard(spark, monkeypatch, same_text):
+    monkeypatch.setattr(sharding, "COPIES", 64)
+    text = "'hot'" if same_text else "concat('hot ', id)"
+    docs = spark.range(9_000).selectExpr(
+        "if(id % 3 = 0, 7, id) as doc_id", f"if(id % 3 = 0, {text}, concat('row ', id)) as text"
+    )
+    got = sharding.shard_by_bytes(docs, 8).collect()
+    load = Counter()
+    for r in got:
+        load[r["shard"]] += r["size"]
+    assert len(got) == 9_000 and len(load) == 8
+    assert max(load.values()) - min(load.values()) <= 0.01 * sum(load.values()) / 8
+    for shard in range(8):
+        own = sorted(r["slot"] for r in got if r["shard"] == shard)
+        assert own == list(range(len(own)))
+
+
+def test_a_stored_map_gets_one_new_version_a_run(spark):
+    docs = spark.range(500).selectExpr("id as doc_id", "repeat('x', cast(id % 50 as int)) as text")
+    path = scratch_path(spark, "map")
+    sharding.shard_by_bytes(docs, 4, 64, path)
+    first = sharding.load_map(spark, path, 1)
+    sharding.shard_by_bytes(docs, 4, 64, path)
+    assert sharding.stored_versions(spark, path) == [1, 2, 3]
+    stored = spark.read.parquet(path).groupBy("map_version").count().collect()
+    assert {r["count"] for r in stored} == {64}
+    assert sharding.load_map(spark, path, 1) == first == sharding.SlotMap.initial(4, 64)
+    more = sharding.shard_by_bytes(docs, 6, 64, path).collect()
+    assert {r["shard"] for r in more} == set(range(6)) and {r["map_version"] for r in more} == {6}
+    for n_shards, n_slots in ((4, 64), (6, 32)):
+        with pytest.raises(ValueError):
+            sharding.shard_by_bytes(docs, n_shards, n_slots, path)
+    with pytest.raises(ValueError):
+        sharding.save_map(spark, first, path)
+
+
 def test_growing_moves_slots_only_to_the_new_shard():
     rng = random.Random(1)
     loads = [rng.randint(0, 1000) for _ in range(512)]

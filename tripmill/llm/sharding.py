@@ -12,13 +12,16 @@ from bisect import bisect_left, insort
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import whole
+from tripmill.llm.common import keep, whole
+from tripmill.sources.tables import read_if_exists
 
 N_SLOTS = 8192
+#: Equal rows that are laid out by one task.
+COPIES = 1 << 12
 
 
 @dataclass(frozen=True)
@@ -101,8 +104,18 @@ class SlotMap:
         )
 
 
+def stored_versions(spark: SparkSession, path: str) -> list[int]:
+    """The versions of the stored map in order; none where there is no map."""
+    stored = read_if_exists(spark, path)
+    if stored is None:
+        return []
+    return sorted(r[0] for r in stored.select("map_version").distinct().collect())
+
+
 def save_map(spark: SparkSession, slot_map: SlotMap, path: str) -> None:
-    """Add one version to the stored map."""
+    """Add one version to the stored map; versions are never written twice."""
+    if slot_map.version in stored_versions(spark, path):
+        raise ValueError(f"version {slot_map.version} is stored at {path} already")
     slot_map.frame(spark).coalesce(1).write.mode("append").partitionBy("map_version").parquet(path)
 
 
@@ -115,24 +128,32 @@ def load_map(spark: SparkSession, path: str, version: int | None = None) -> Slot
     return SlotMap(version, rows[0]["n_shards"], tuple(r["shard"] for r in rows))
 
 
-def virtual_slot(key: Column, otherwise: Column, n_slots: int = N_SLOTS) -> Column:
-    """The slot of a record; ``otherwise`` spreads records without a key."""
-    return F.pmod(F.xxhash64(F.coalesce(key.cast("string"), otherwise)), F.lit(n_slots)).cast("int")
-
-
 def sized(docs: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
     """doc_id, size, text_crc32 and virtual_slot of every row.
 
-    A null text has no bytes, as the empty one; a null doc_id is placed by its text.
+    The slot follows from doc_id, text and, for equal rows, their number: neither an id
+    nor a row that a third of the table holds is one slot. Equal rows are counted and
+    laid out again in blocks, each by a task. A null text has no bytes, as the empty one.
     Other columns are not read, so their names do not matter.
     """
     text = whole(F.col("text"))
-    return docs.select(
+    rows = docs.select(
         F.col("doc_id"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        virtual_slot(F.col("doc_id"), text, n_slots).alias("virtual_slot"),
     )
+    equal = rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+    few = equal.filter(F.col("n") <= COPIES).withColumn("block", F.lit(0).cast("long"))
+    many = equal.filter(F.col("n") > COPIES).withColumn(
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {COPIES}")))
+    )
+    start = F.col("block") * COPIES
+    last = F.least(start + COPIES, F.col("n")) - 1
+    numbered = few.union(many.repartition("doc_id", "text_crc32", "block")).select(
+        *rows.columns, F.explode(F.sequence(start, last)).alias("copy")
+    )
+    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text_crc32", "size", "copy")
+    return numbered.withColumn("virtual_slot", F.pmod(key, F.lit(n_slots)).cast("int")).drop("copy")
 
 
 def slot_totals(rows: DataFrame, n_slots: int = N_SLOTS) -> tuple[list[int], list[int]]:
@@ -169,21 +190,34 @@ def number_rows(rows: DataFrame, slot_map: SlotMap, slot_rows: Sequence[int]) ->
     )
 
 
+def _stored_start(spark: SparkSession, n_shards: int, n_slots: int, path: str) -> SlotMap:
+    """The newest stored map, a first one where there is none."""
+    if not stored_versions(spark, path):
+        save_map(spark, SlotMap.initial(n_shards, n_slots), path)
+    start = load_map(spark, path)
+    if len(start.owners) != n_slots or start.n_shards > n_shards:
+        raise ValueError(f"{path} has {len(start.owners)} slots in {start.n_shards} shards")
+    return start
+
+
 def shard_by_bytes(
     docs: DataFrame, n_shards: int, n_slots: int = N_SLOTS, map_path: str | None = None
 ) -> DataFrame:
     """Every row with its shard under a map rebalanced by bytes; an empty table gives no rows.
 
     Versions are stored at ``map_path``: the newest stored one is edited, or a first one
-    made. Rows of one doc_id share a slot, so one doc_id is never spread over shards.
+    made. A stored map of fewer shards grows, shard by shard; one of more shards, or of
+    another number of slots, is an error. The text is read once.
     """
-    spark, rows = docs.sparkSession, sized(docs, n_slots)
+    spark, rows = docs.sparkSession, keep(sized(docs, n_slots), "sized")
     slot_bytes, slot_rows = slot_totals(rows, n_slots)
-    start = SlotMap.initial(n_shards, n_slots)
-    if map_path is not None:
-        save_map(spark, start, map_path)
-        start = load_map(spark, map_path)
-    edited = start.rebalanced(slot_bytes)
-    if map_path is not None:
+    if map_path is None:
+        edited = SlotMap.initial(n_shards, n_slots).rebalanced(slot_bytes)
+        return number_rows(rows, edited, slot_rows)
+    edited = _stored_start(spark, n_shards, n_slots, map_path)
+    while edited.n_shards < n_shards:
+        edited = edited.grown(slot_bytes)
         save_map(spark, edited, map_path)
+    edited = edited.rebalanced(slot_bytes)
+    save_map(spark, edited, map_path)
     return number_rows(rows, edited, slot_rows)
