@@ -1,14 +1,17 @@
 """SimHash, components, line templates and suffix arrays against brute force."""
 
 import hashlib
+import itertools
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tripmill.llm import components, lines, simhash, suffixes
 from tripmill.llm.queries import REGISTERED
@@ -118,6 +121,32 @@ def test_components_of_a_chain_and_a_star(spark):
 # ---- lines ----
 
 
+def slow_groups(rows, placed):
+    """The near-copy groups (lowest fingerprint) that hold a line which can need them."""
+    texts, contexts, count, in_leaf, holders = dict(rows), {}, Counter(), Counter(), {}
+    for doc, _, _, form, around in placed:
+        contexts.setdefault(form, set()).add(around)
+        holders.setdefault(form, set()).add(texts[doc])
+        count[form] += 1
+        in_leaf[len(form), form[:3]] += 1
+    asked = {
+        f
+        for f, n in count.items()
+        if (n > len(contexts[f]) and in_leaf[len(f), f[:3]] >= lines.RECURS)
+        or (len(f) >= lines.LONG and n > 1)
+    }
+    prints = {t: simhash.fingerprint(t) for f in asked for t in holders[f]}
+    root = {p: p for p in prints.values()}
+    changed = True
+    while changed:
+        changed = False
+        for p, q in itertools.combinations(root, 2):
+            if ((p ^ q) & (2**64 - 1)).bit_count() <= 4 and root[p] != root[q]:
+                root[p] = root[q] = min(root[p], root[q])
+                changed = True
+    return {f: {root[prints[t]] for t in holders[f]} for f in asked}
+
+
 def slow_drops(rows):
     """Line numbers that go, by the rules of the template tree, for distinct (doc_id, text)."""
     placed = []
@@ -128,18 +157,21 @@ def slow_drops(rows):
         for k, (number, form) in enumerate(found):
             placed.append((doc, text, number, tuple(form.split(" ")), (around[k], around[k + 2])))
     contexts = {(p[3], p[4]) for p in placed}
+    groups = slow_groups(rows, placed)
     leaf = lambda f: (len(f), f[:3])
-    in_leaf, seen = {}, {}
-    for form, _ in contexts:
+    weight = Counter(form for form, _ in contexts)
+    for form, roots in groups.items():
+        weight[form] = max(weight[form], len(roots))
+    in_leaf, seen = {}, Counter()
+    for form, n in weight.items():
         in_leaf.setdefault(leaf(form), []).append(form)
         for at, token in enumerate(form):
-            key = (leaf(form), at, token)
-            seen[key] = seen.get(key, 0) + 1
+            seen[leaf(form), at, token] += n
     template = {}
-    for form, _ in contexts:
+    for form in weight:
         template[form] = form
         members = in_leaf[leaf(form)]
-        if len(members) >= lines.RECURS and len(set(members)) > 1:
+        if sum(weight[m] for m in members) >= lines.RECURS and len(members) > 1:
             constant = [
                 at < 3 or seen[leaf(form), at, token] >= lines.RECURS for at, token in enumerate(form)
             ]
@@ -155,6 +187,16 @@ def slow_drops(rows):
         first.setdefault(t, (p[0], p[2]))
         where.setdefault(t, {}).setdefault(p[4], p[0])
     recurring = {t for t, c in where.items() if len(set(c.values())) >= lines.RECURS}
+    apart = {}
+    for form, roots in groups.items():
+        apart.setdefault(template[form], set()).update(roots)
+        far = any(
+            ((p ^ q) & (2**64 - 1)).bit_count() >= lines.UNLIKE_BITS
+            for p, q in itertools.combinations(roots, 2)
+        )
+        if len(form) >= lines.LONG and 1 < len(roots) < lines.RECURS and far:
+            recurring.add(template[form])
+    recurring |= {t for t, roots in apart.items() if len(roots) >= lines.RECURS}
     drops = {}
     for p in placed:
         if template[p[3]] in recurring and first[template[p[3]]] != (p[0], p[2]):
@@ -182,9 +224,11 @@ def test_lines_with_variable_fields(spark):
         assert text[doc] == kept
 
 
-def test_lines_query(spark, sf):
+def test_lines_query(spark):
+    sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
     want = slow_drops([(d["doc_id"], d["text"]) for d in docs])
+    assert any(want.values())
     rows = {r["doc_id"]: r for r in REGISTERED["op4_template_tree"](spark, sf).collect()}
     assert len(rows) == len(docs)
     for d in docs:
@@ -195,6 +239,33 @@ def test_lines_query(spark, sf):
         assert row["kept_sha256"] == hashlib.sha256(kept.encode()).hexdigest()
 
 
+def test_a_long_line_in_two_unlike_documents(spark):
+    """A passage of 60 words in unlike documents goes but for its first place; copies keep theirs."""
+    rng = random.Random(12)
+    own = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    passage, short = own(60), own(50)
+    rows = [(i, "\n".join([own(90), passage, short, own(70)])) for i in range(4)]
+    story = [own(80) for _ in range(4)]
+    rows += [(10, "\n".join(story)), (11, "\n".join(story)), (12, "\n".join([*story[:3], story[3] + " end"]))]
+    found = {r["doc_id"]: set(r["dropped"]) for r in lines.dropped_lines(frame(spark, rows)).collect()}
+    assert found == {1: {1}, 2: {1}, 3: {1}} == slow_drops(rows)
+
+
+def test_a_text_of_very_many_lines(spark):
+    import time
+
+    rng = random.Random(13)
+    numbers = list(range(200_000))
+    text = "\n".join(f"line {i}" for i in numbers)
+    gone = sorted(rng.sample(numbers, 100_000))
+    df = spark.createDataFrame([(text, gone), (text, None), ("a\nb", [1]), ("a\nb", [0]), ("a", [0])], "text string, gone array<int>")
+    begun = time.perf_counter()
+    got = [r[0] for r in df.select(lines.kept_text(F.col("text"), F.col("gone"))).collect()]
+    assert time.perf_counter() - begun < 5
+    kept = set(numbers) - set(gone)
+    assert got == ["\n".join(f"line {i}" for i in numbers if i in kept), text, "a", "b", ""]
+
+
 def test_copies_do_not_make_templates_of_their_own_text(spark):
     text = "first line of a story\nsecond line of a story\nthird line of a story"
     kept = lines.dedup_lines(frame(spark, [(i, text) for i in range(30)])).collect()
