@@ -200,18 +200,9 @@ def _files(spark):
     return vocabularies.TokenizerFile(spark, JSON, plain=True), vocabularies.TokenizerFile(spark, MODEL)
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_alignment_equals_plain_loops(spark, monkeypatch, small):
+def test_alignment_equals_plain_loops(spark):
     texts = [*ODD, *ODD[5:9], "plain words", "plain words"]
     docs = spark.createDataFrame([(t, i, 0) for i, t in enumerate(texts)], "text string, doc_id long, n_a int")
-    if small:  # tasks get these by value: pieces of few letters, blocks of few texts
-        real = alignment.Aligner.__init__
-
-        def tiny(self, a, b):
-            vocabularies.PIECE, alignment.CHUNK, alignment.FEW_LINKS = 9, 30, 2
-            real(self, a, b)
-
-        monkeypatch.setattr(alignment.Aligner, "__init__", tiny)
     got = {r["doc_id"]: tuple(r)[1:] for r in alignment.alignment(docs, *_files(spark)).collect()}
     want = _slow_alignment(texts)
     assert [got[i] for i in range(len(texts))] == want
@@ -226,15 +217,27 @@ def test_small_chunks_change_nothing(monkeypatch):
     texts = [t for t in ODD if t] + [" ".join(t for t in ODD if t)]
 
     def rows():
-        block = [(alignment._Text(str(i).encode(), i + 1), t) for i, t in enumerate(texts)]
-        return alignment._block_rows(block, alignment.Aligner(*sides)).to_pylist()
+        block = [(str(i).encode(), i + 1, t) for i, t in enumerate(texts)]
+        aligner = alignment.Aligner(*sides)
+        first = alignment._block_rows(block, aligner).to_pylist()
+        assert alignment._block_rows(block, aligner).to_pylist() == first  # with known segments
+        return first
 
     whole = rows()
-    for sizes in ((9, 30, 1 << 10), (1, 1, 1), (1 << 16, 1 << 19, 0)):
-        for name, size in zip(("CHUNK", "FEW_LINKS"), sizes[1:], strict=True):
+    assert len(whole) > len(texts) - 4
+    for sizes in ((30, 1 << 10, 9, 0), (1, 1, 1, 50), (1 << 19, 0, 3, 1 << 22)):
+        for name, size in zip(("CHUNK", "FEW_LINKS", "SLICE", "KNOWN_PAIRS"), sizes, strict=True):
             monkeypatch.setattr(alignment, name, size)
-        monkeypatch.setattr(vocabularies, "PIECE", sizes[0])
         assert rows() == whole
+    monkeypatch.setattr(alignment, "segments", lambda text, cuttable: [text])  # texts as they are
+    assert rows() == whole
+
+
+def test_segments_give_the_text_back():
+    for text in [t for t in ODD if t] + [" ", "  ", "a ", "a  ", " a", "\n a", "é  b. c\t d"]:
+        found = alignment.segments(text, True)
+        assert " ".join(found) == text and all(found)
+    assert alignment.segments("a b", False) == ["a b"]
 
 
 def test_alignment_of_rows_without_tokens(spark):

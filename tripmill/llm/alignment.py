@@ -2,8 +2,9 @@
 
 Texts are shuffled by the full text, so copies become one text with a multiplicity. Each
 distinct text is encoded by both tokenizers, and cut into groups at the byte offsets where
-tokens of both end; every token of A in a group is linked to every token of B in it. A
-task works in blocks of texts and writes, beside the texts' own measures, one list of the
+tokens of both end; every token of A in a group is linked to every token of B in it. Where
+no token of either side crosses a space, texts are cut there, and a task aligns each
+segment once. It works in blocks of texts and writes, beside the texts' own measures, one list of the
 block's id pairs with the number of documents that hold them. Pair counts are summed over
 blocks, and go back to each block as one list, from which the texts of the block read the
 counts of their links. So what is exchanged are the pairs of blocks, not of texts.
@@ -13,21 +14,26 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm import vocabularies
 from tripmill.llm.common import keep, ship, whole
 from tripmill.llm.token_counts import content_digest
-from tripmill.llm.vocabularies import TokenizerFile, pieces
+from tripmill.llm.vocabularies import TokenizerFile
 
 #: Characters of text in a block, whose pairs are one list; a longer text is its own block.
 BLOCK = 1 << 21
 #: Characters that are encoded and aligned together.
 CHUNK = 1 << 19
+#: Segments of texts whose links are looked up together.
+SLICE = 1 << 18
+#: Pairs of known segments past which a task forgets them.
+KNOWN_PAIRS = 1 << 20
 #: Links of a group up to which they are laid out one by one.
 FEW_LINKS = 1 << 10
 
@@ -47,50 +53,123 @@ class Side:
         self.length = np.array([len(b) for b in self.bytes_of], np.int64)
 
 
+def segments(text: str, cuttable: bool) -> list[str]:
+    """The text cut at spaces that no token of either side crosses; the spaces are left out.
+
+    Such a space follows a letter, a number or another visible ASCII character. Tokens of
+    both sides end before it, so it is the border of a group too.
+    """
+    if not cuttable:
+        return [text]
+    found, open_parts = [], []
+    for part in text.split(" "):
+        open_parts.append(part)
+        if part and ("!" <= part[-1] <= "~" or part[-1].isalnum()):
+            found.append(part if len(open_parts) == 1 else " ".join(open_parts))
+            open_parts = []
+    rest = " ".join(open_parts)
+    if rest or not found:
+        found.append(rest)
+    elif open_parts:  # a model has no token for an empty text, so the last space stays
+        found[-1] += " "
+    return found
+
+
 class Aligner:
-    """Groups and links of chunks of pieces."""
+    """Segments by number, each encoded and aligned once as long as it is known."""
 
     def __init__(self, a: Side, b: Side) -> None:
         self.a, self.b = a, b
         self.cuttable = a.tokenizer.cuttable and b.tokenizer.cuttable
         self.size_b = len(b.bytes_of)
+        self.space = len(a.bytes_of) * self.size_b
         most = max(len(a.bytes_of), self.size_b)
         # The separators of the written form of the groups.
-        self.written = [f"{i}{mark}" for mark in ",|;" for i in range(most)]
+        self.signs = [f"{i}{mark}" for mark in ",|;" for i in range(most)]
         self.marks = most
-
-    def tokens(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of space + text by A, of the text by B."""
-        return self.a.tokenizer.ids([f" {t}" for t in texts]), self.b.tokenizer.ids(texts)
-
-    def faithful(self, text: str, a: list[int], b: list[int]) -> bool:
-        """The bytes of the tokens of either side are those of space + text."""
-        data = f" {text}".encode()
-        return (
-            b"".join(map(self.b.bytes_of.__getitem__, b)) == data
-            and b"".join(map(self.a.bytes_of.__getitem__, a)) == data
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.written: list[str] = []
+        self.faithful = np.empty(0, bool)
+        self.sums = np.empty((0, 4), np.int64)
+        self.first = np.zeros(1, np.int64)
+        self.pairs, self.times = np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def numbers(self, texts: list[str]) -> list[list[int]]:
+        """The segments of each text as numbers; new ones are learned."""
+        if len(self.pairs) > KNOWN_PAIRS:
+            self.forget()
+        known, new, out = self.number, [], []
+        for text in texts:
+            own = []
+            for segment in segments(text, self.cuttable):
+                n = known.get(segment)
+                if n is None:
+                    n = known[segment] = len(known)
+                    new.append(segment)
+                own.append(n)
+            out.append(own)
+        at = 0
+        while at < len(new):
+            size, end = 0, at
+            while end < len(new) and size < CHUNK:
+                size += len(new[end]) + 1
+                end += 1
+            self._learn(new[at:end])
+            at = end
+        return out
+
+    def _learn(self, new: list[str]) -> None:
+        """Align segments that got the next numbers. One that is not given back has no groups."""
+        spaced = [f" {t}" for t in new]
+        ids_a, ids_b = self.a.tokenizer.ids(spaced), self.b.tokenizer.ids(new)
+        whole_a, whole_b = self.a.bytes_of.__getitem__, self.b.bytes_of.__getitem__
+        faithful = np.fromiter(
+            (
+                b"".join(map(whole_a, a)) == text.encode() == b"".join(map(whole_b, b))
+                for text, a, b in zip(spaced, ids_a, ids_b, strict=True)
+            ),
+            bool,
+            len(new),
         )
+        sums, n_pairs = np.zeros((len(new), 4), np.int64), np.zeros(len(new), np.int64)
+        written, used = [""] * len(new), np.flatnonzero(faithful)
+        if len(used):
+            *four, keys, times, order = self.align([ids_a[i] for i in used], [ids_b[i] for i in used])
+            sums[used] = np.stack(four, axis=1)
+            cuts = np.searchsorted(keys, np.arange(len(used) + 1) * self.space)
+            n_pairs[used] = np.diff(cuts)
+            self.pairs = np.concatenate([self.pairs, keys % self.space])
+            self.times = np.concatenate([self.times, times])
+            signs, ends = order.tolist(), np.cumsum(sums[used, 0] + sums[used, 1]).tolist()
+            for i, start, end in zip(used.tolist(), [0, *ends], ends, strict=False):
+                written[i] = "".join(map(self.signs.__getitem__, signs[start:end]))[:-1]
+        self.written += written
+        self.faithful = np.concatenate([self.faithful, faithful])
+        self.sums = np.concatenate([self.sums, sums])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(n_pairs)])
 
     def align(self, ids_a: list[list[int]], ids_b: list[list[int]]) -> tuple[np.ndarray, ...]:
-        """Per text tokens of A, of B, groups and links; distinct (text, pair) and their links; written groups.
+        """Per segment tokens of A, of B, groups and links; distinct (segment, pair) and their links; signs.
 
-        Both lists hold faithful tokens of the same texts, none of them without tokens.
+        Both lists hold tokens of the same bytes, and none is empty.
         """
         n_a = np.fromiter(map(len, ids_a), np.int64, len(ids_a))
         n_b = np.fromiter(map(len, ids_b), np.int64, len(ids_b))
-        a = np.concatenate([np.asarray(i, np.int64) for i in ids_a])
-        b = np.concatenate([np.asarray(i, np.int64) for i in ids_b])
+        a = np.fromiter(chain.from_iterable(ids_a), np.int64, int(n_a.sum()))
+        b = np.fromiter(chain.from_iterable(ids_b), np.int64, int(n_b.sum()))
         ends_a, ends_b = np.cumsum(self.a.length[a]), np.cumsum(self.b.length[b])
         at = np.searchsorted(ends_b, ends_a)
         last_a = np.flatnonzero(ends_b[at] == ends_a)  # the last tokens of the groups
         last_b = at[last_a]
         in_a, in_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
-        text_a = np.repeat(np.arange(len(n_a)), n_a)
-        text_of = text_a[last_a]
-        n_groups = np.bincount(text_of, minlength=len(n_a))
+        owner = np.repeat(np.arange(len(n_a)), n_a)[last_a]
+        n_groups = np.bincount(owner, minlength=len(n_a))
         n_links = np.zeros(len(n_a), np.int64)
-        np.add.at(n_links, text_of, in_a * in_b)
-        found = self._pairs(a, b, last_a, last_b, in_a, in_b, text_of)
+        np.add.at(n_links, owner, in_a * in_b)
+        found = self._pairs(a, b, last_a, last_b, in_a, in_b, owner)
         group_a = np.repeat(np.arange(len(in_a)), in_a)
         group_b = np.repeat(np.arange(len(in_b)), in_b)
         order = np.empty(len(a) + len(b), np.int64)
@@ -100,9 +179,8 @@ class Aligner:
         order[np.arange(len(b)) + (last_a + 1)[group_b]] = b + mark_b * self.marks
         return n_a, n_b, n_groups, n_links, *found, order
 
-    def _pairs(self, a, b, last_a, last_b, in_a, in_b, text_of) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct keys text * pairs + pair, and how many links each has."""
-        space = len(self.a.bytes_of) * self.size_b
+    def _pairs(self, a, b, last_a, last_b, in_a, in_b, owner) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct keys owner * space + pair, and how many links each has."""
         few = in_a * in_b <= FEW_LINKS
         of_a = np.repeat(np.arange(len(in_a)), in_a)
         listed = few[of_a]
@@ -111,104 +189,67 @@ class Aligner:
         first = np.cumsum(repeat) - repeat
         total = int(repeat.sum())
         with_b = np.arange(total) + np.repeat((last_b - in_b + 1)[group] - first, repeat)
-        keys = np.repeat(text_of[group] * space + a[listed] * self.size_b, repeat) + b[with_b]
+        keys = np.repeat(owner[group] * self.space + a[listed] * self.size_b, repeat) + b[with_b]
         found, times = np.unique(keys, return_counts=True)
         parts, counts = [found], [times]
         for g in np.flatnonzero(~few).tolist():
             own_a, times_a = np.unique(a[last_a[g] - in_a[g] + 1 : last_a[g] + 1], return_counts=True)
             own_b, times_b = np.unique(b[last_b[g] - in_b[g] + 1 : last_b[g] + 1], return_counts=True)
             for one, n in zip(own_a.tolist(), times_a.tolist(), strict=True):
-                parts.append(text_of[g] * space + one * self.size_b + own_b)
+                parts.append(owner[g] * self.space + one * self.size_b + own_b)
                 counts.append(n * times_b)
         return _summed(np.concatenate(parts), np.concatenate(counts)) if len(parts) > 1 else (found, times)
 
+    def links(self, numbers: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct keys owner * space + pair of segments, and how many links each has."""
+        n = (self.first[1:] - self.first[:-1])[numbers]
+        ends = np.cumsum(n)
+        place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[numbers] - (ends - n), n)
+        return _summed(np.repeat(owner * self.space, n) + self.pairs[place], self.times[place])
+
+
+@lru_cache(maxsize=1)
+def _aligner(a, b) -> Aligner:
+    """Kept by the worker from task to task; what it knows is bounded."""
+    return Aligner(Side(a), Side(b))
+
 
 def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and the sum of the values of each."""
-    distinct, place = np.unique(keys, return_inverse=True)
-    total = np.zeros(len(distinct), np.int64)
-    np.add.at(total, place, values)
-    return distinct, total
-
-
-class _Text:
-    """What is gathered for one text, over one or more chunks."""
-
-    def __init__(self, key: bytes, n: int) -> None:
-        self.key, self.n = key, n
-        self.sums = np.zeros(4, np.int64)
-        self.pairs: list[np.ndarray] = []
-        self.times: list[np.ndarray] = []
-        self.digest, self.faithful = hashlib.sha256(), True
-
-    def add(self, sums: np.ndarray, pairs: np.ndarray, times: np.ndarray, groups: str) -> None:
-        if self.pairs:
-            self.digest.update(b";")
-        self.sums += sums
-        self.pairs.append(pairs)
-        self.times.append(times)
-        self.digest.update(groups.encode())
-
-    def pairs_of(self) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.pairs) == 1:
-            return self.pairs[0], self.times[0]
-        return _summed(np.concatenate(self.pairs), np.concatenate(self.times))
-
-
-def _chunks(rows: list[tuple[_Text, str]], aligner: Aligner) -> Iterator[list[tuple[_Text, str]]]:
-    """The texts in pieces, gathered to chunks. A cut takes one space, which both sides add again."""
-    chunk, size = [], 0
-    for owner, text in rows:
-        for i, piece in enumerate(pieces(text, aligner.cuttable, vocabularies.PIECE)):
-            chunk.append((owner, piece[1:] if i else piece))
-            size += len(piece)
-            if size >= CHUNK:
-                yield chunk
-                chunk, size = [], 0
-    if chunk:
-        yield chunk
-
-
-def _align_block(rows: list[tuple[_Text, str]], aligner: Aligner) -> None:
-    space = len(aligner.a.bytes_of) * aligner.size_b
-    for chunk in _chunks(rows, aligner):
-        chunk = [(owner, piece) for owner, piece in chunk if owner.faithful]
-        ids_a, ids_b = aligner.tokens([piece for _, piece in chunk])
-        used = []
-        for i, (owner, piece) in enumerate(chunk):
-            if aligner.faithful(piece, ids_a[i], ids_b[i]):
-                used.append(i)
-            else:
-                owner.faithful = False
-        if not used:
-            continue
-        *sums, keys, times, order = aligner.align([ids_a[i] for i in used], [ids_b[i] for i in used])
-        sums = np.stack(sums, axis=1)
-        cuts = np.searchsorted(keys, np.arange(len(used) + 1) * space)
-        written = order.tolist()
-        end = np.cumsum(sums[:, 0] + sums[:, 1]).tolist()
-        for j, i in enumerate(used):
-            text = "".join(map(aligner.written.__getitem__, written[end[j - 1] if j else 0 : end[j]]))
-            own = slice(cuts[j], cuts[j + 1])
-            chunk[i][0].add(sums[j], keys[own] - j * space, times[own], text[:-1])
-
-
-def _block_rows(rows: list[tuple[_Text, str]], aligner: Aligner) -> pa.RecordBatch:
-    """One row for each faithful text, and one with the pairs of the block."""
-    _align_block(rows, aligner)
-    texts = [t for t, _ in rows if t.faithful]
+    if not len(keys):
+        return keys, values
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[starts], np.add.reduceat(values[order], starts)
+
+
+def _block_rows(rows: list[tuple[bytes, int, str]], aligner: Aligner) -> pa.RecordBatch:
+    """One row for each faithful text (key, documents, text), and one with the pairs of the block."""
+    split = [np.array(n, np.int64) for n in aligner.numbers([text for _, _, text in rows])]
+    kept = [(key, n, own) for (key, n, _), own in zip(rows, split, strict=True) if aligner.faithful[own].all()]
     kinds = [pa.binary(), pa.binary(), *[pa.int64()] * 4, pa.string(), pa.list_(pa.int32()), *[pa.list_(pa.int64())] * 3]
     columns: list[list] = [[] for _ in kinds]
-    if texts:
-        own = [t.pairs_of() for t in texts]
-        known, place = np.unique(np.concatenate([p for p, _ in own]), return_inverse=True)
-        weight = np.zeros(len(known), np.int64)
-        np.add.at(weight, place, np.concatenate([np.full(len(p), t.n) for t, (p, _) in zip(texts, own, strict=True)]))
-        block, at = texts[0].key, 0
-        for t, (pairs, times) in zip(texts, own, strict=True):
-            row = [block, t.key, *t.sums.tolist(), t.digest.hexdigest()]
-            row += [place[at : at + len(pairs)].astype(np.int32), times.astype(np.int64), None, None]
-            at += len(pairs)
+    if kept:
+        flat = np.concatenate([own for _, _, own in kept])
+        owner = np.repeat(np.arange(len(kept)), [len(own) for _, _, own in kept])
+        parts = [
+            aligner.links(flat[i : i + SLICE], owner[i : i + SLICE]) for i in range(0, len(flat), SLICE)
+        ]
+        keys, times = _summed(*(np.concatenate(p) for p in zip(*parts, strict=True)))
+        cuts = np.searchsorted(keys, np.arange(len(kept) + 1) * aligner.space)
+        documents = np.repeat([n for _, n, _ in kept], np.diff(cuts))
+        known, weight = _summed(keys % aligner.space, documents)
+        place = np.searchsorted(known, keys % aligner.space).astype(np.int32)
+        block = kept[0][0]
+        for i, (key, _, own) in enumerate(kept):
+            digest = hashlib.sha256()
+            for j in range(0, len(own), SLICE):
+                digest.update(b";" if j else b"")
+                digest.update(";".join(map(aligner.written.__getitem__, own[j : j + SLICE].tolist())).encode())
+            here = slice(cuts[i], cuts[i + 1])
+            sums = aligner.sums[own].sum(axis=0).tolist()
+            row = [block, key, *sums, digest.hexdigest(), place[here], times[here], None, None]
             for column, value in zip(columns, row, strict=True):
                 column.append(value)
         row = [block, *[None] * 8, known, weight]
@@ -231,12 +272,12 @@ def aligned(docs: DataFrame, first: TokenizerFile, second: TokenizerFile) -> Dat
     a, b = first.handed(), second.handed()
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(Side(a()), Side(b()))
+        aligner = _aligner(a(), b())
         rows, size = [], 0
         for batch in batches:
             for text, n, key in zip(*batch.columns, strict=True):
                 text = text.as_py()
-                rows.append((_Text(key.as_py(), n.as_py()), text))
+                rows.append((key.as_py(), n.as_py(), text))
                 size += len(text)
                 if size >= BLOCK:
                     yield _block_rows(rows, aligner)
