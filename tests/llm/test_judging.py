@@ -168,6 +168,32 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.score(docs.limit(0), model).collect() == []
 
 
+@pytest.mark.parametrize("share", [0.03, 0.5, 0.9])
+@pytest.mark.parametrize("fit_rows", [24_000, 1_500])
+def test_toxicity_whatever_the_share_of_toxic_rows(spark, monkeypatch, share, fit_rows):
+    """With every labelled row, and with a bound on them that binds."""
+    monkeypatch.setattr(toxicity, "FIT_ROWS", fit_rows)
+    rng = random.Random(5)
+    mild = ["".join(rng.choices("aeioulmnrst", k=rng.randint(2, 9))) for _ in range(2_000)]
+    vile = ["vileword", "badword", "scumling", "rotface"]
+    rows, marks = [], []
+    for i in range(6_000):
+        toxic = rng.random() < share
+        text = rng.choices(mild, k=70)
+        for at in rng.sample(range(70), 6 if toxic else 0):
+            text[at] = rng.choice(vile)
+        rows.append((i, " ".join(text)))
+        marks.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(marks, "doc_id long, toxic int"))
+    assert {f"{w}$" for w in vile} <= set(model.lexicon)
+    score = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    held = [(score[i] >= 0.7, t) for i, t in marks if zlib.crc32(str(i).encode()) % 3 == 1]
+    hits = sum(said and toxic for said, toxic in held)
+    assert hits >= 0.9 * sum(t for _, t in held)
+    assert hits >= 0.95 * sum(said for said, _ in held)
+
+
 # ---- contamination ----
 
 

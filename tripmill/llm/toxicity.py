@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 from tripmill.llm.common import ship
 
-#: Labelled rows of either label that are read to fit; half for log-odds, half for the curve.
-FIT_ROWS = 6_000
+#: Labelled rows that are read to fit, of both labels together; half for log-odds, half for the curve.
+FIT_ROWS = 24_000
+#: Weight of the prior, as a share of the contexts of the label that has fewer.
+PRIOR = 0.2
 MIN_Z = 3.0
 MIN_LOG_ODDS = 1.5
 #: Cost of a word that says nothing.
@@ -142,8 +144,9 @@ def lexicon(rows: DataFrame) -> dict[str, tuple[float, float]]:
     """Features of significantly raised odds in the rows (toxic, text).
 
     A word counts once for each pair of neighbours, so copies of one text add nothing. The
-    prior weighs as much as the toxic rows and is spread over the features by their share
-    of all rows: to be raised, a feature must outdo what chance would give the toxic rows.
+    prior gives either label the same few contexts of a feature, by the mean of its rates
+    under both; so neither the odds of a feature nor their error depend on how many rows
+    of a label there are beside it, only on how many contexts speak for it.
     """
     contexts = rows.mapInArrow(_contexts, "toxic int, around string, word string").distinct()
     by_word = contexts.groupBy("word").agg(
@@ -158,11 +161,12 @@ def lexicon(rows: DataFrame) -> dict[str, tuple[float, float]]:
     n = by_word.agg(F.sum("a"), F.sum("b")).first()
     if not n[0] or not n[1]:
         return {}
-    mass = float(n[0])
+    mass = PRIOR * min(n)
     prior = F.col("share") * mass
     a, b = F.col("a") + prior, F.col("b") + prior
     log_odds = F.log(a / (n[0] + mass - a)) - F.log(b / (n[1] + mass - b))
-    scored = counts.withColumn("share", (F.col("a") + F.col("b")) / (n[0] + n[1])).select(
+    share = (F.col("a") / n[0] + F.col("b") / n[1]) / 2
+    scored = counts.withColumn("share", share).select(
         "feature", log_odds.alias("odds"), (log_odds / F.sqrt(1 / a + 1 / b)).alias("z")
     )
     raised = scored.filter((F.col("z") >= MIN_Z) & (F.col("odds") >= MIN_LOG_ODDS))
@@ -206,9 +210,10 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
-    """A model from labelled rows that are not held out, ``FIT_ROWS`` of each label at most.
+    """A model from labelled rows that are not held out, ``FIT_ROWS`` at most.
 
-    The rows are those of lowest hash of the id, so the bound takes no order into account.
+    The rows are those of lowest hash of the id, so the bound takes no order into account
+    and keeps the share of either label.
     Null labels and labels other than 0 and 1 are not read; without rows of both labels
     every score is low and the same for all texts of a length.
     """
@@ -218,11 +223,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     named = named.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     totals = {r["toxic"]: r["count"] for r in named.groupBy("toxic").count().collect()}
     order = F.xxhash64("doc_id")
-    picked = [
-        named.filter(F.col("toxic") == k).orderBy(order, "doc_id").limit(FIT_ROWS) for k in (0, 1)
-    ]
-    chosen = picked[0].union(picked[1]).withColumn("part", F.pmod(order, F.lit(2)))
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # 2 * FIT_ROWS rows
+    picked = named.orderBy(order, "doc_id").limit(FIT_ROWS)
+    chosen = picked.withColumn("part", F.pmod(order, F.lit(2)))
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # FIT_ROWS rows
     words_of = lexicon(rows.filter(F.col("part") == 0).select("toxic", "text"))
     handed = spark.sparkContext.broadcast(words_of)
 
