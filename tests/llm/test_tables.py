@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tripmill.llm import decontaminate, sharding, simhash, topk, warc
+from tripmill.llm import decontaminate, sharding, similar, topk, warc
 from tripmill.llm.common import table
 from tripmill.llm.queries import REGISTERED
 from tripmill.session import scratch_path
@@ -282,7 +282,8 @@ def test_pipeline(spark):
     assert len(kept) == len(out) and kept <= set(before)
     # A document that shares nothing with any other stays.
     lines_of = Counter(x for d in before.values() for x in set(d["text"].split("\n")))
-    near = {r["doc_id"] for r in simhash.near_duplicates(docs).filter("doc_id <> component_id").collect()}
+    roots = Counter(r["root"] for r in similar.near_copies(docs).collect())
+    near = {r["doc_id"] for r in similar.near_copies(docs).collect() if roots[r["root"]] > 1}
     dirty = {
         r["doc_id"] for r in decontaminate.rate(docs, table(spark, sf, "benchmark")).filter("n_hit > 0").collect()
     }
