@@ -5,6 +5,7 @@ import hashlib
 import html.parser
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -247,6 +248,37 @@ def test_plain_text(page, text):
     assert warc.plain_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "found"),
+    [
+        ("<a href=x>", ["http://b/x"]),
+        ("<A class=c HREF = 'x?a=1&amp;b=2'>", ["http://b/x?a=1&b=2"]),
+        ('<a data-href="no" href="yes"><a title="href=no">', ["http://b/yes"]),
+        ('<a title="a > b" href="x"><a href="x"><a href="y">', ["http://b/x", "http://b/y"]),
+        ("<a href=it's><abbr href=no><a\nhref='z'/>", ["http://b/it's", "http://b/z"]),
+        ("<a href='x' <a href=y><a href='never ends", ["http://b/x"]),
+        ("<!-- <a href=no> --><script>'<a href=no>'</script><a href=yes>", ["http://b/yes"]),
+        ("<a href><a href=>", []),
+        ("<script <a href=x>y", []),
+    ],
+)
+def test_links(page, found):
+    assert [x for x in warc.links(page, "http://b/") if x != "http://b/"] == found
+
+
+@pytest.mark.parametrize(
+    "unit",
+    ["<a x ", "<script ", "<title>", "<title ", "<html ", "<a x='", "x", "x ", "<a href=\"", "<!--", "<",
+     "=\"<a ='\"'", "<a \"'", "</script ", "&amp;"],
+)
+def test_time_grows_with_the_page(unit):
+    """One megabyte of tags that never end. Quadratic scans would take minutes."""
+    page = "<a " + unit * (1_000_000 // len(unit))
+    begun = time.process_time()
+    warc.links(page, "http://b/"), warc.plain_text(page), warc.title_of(page), warc._LANG.search(page)
+    assert time.process_time() - begun < 10
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None, "x"), (2, "http://a/b", "", "y"), (2, "http://a/b", "", "y"), (None, "::", "<a href='http://[bad'>z", "w")]
     rows += [(5, "http://a/", "<p>word</p>" * 60_000, "v")]

@@ -30,9 +30,14 @@ RECORD = (
     " content_type string, content_length long, block_digest string, payload_digest string,"
     " headers array<struct<name:string,value:string>>, block binary"
 )
-_TAG = r"""[^<>"']*(?:"[^"]*"[^<>"']*|'[^']*'[^<>"']*)*"""
+_TAG = r"""[^<>"']*+(?:"[^"]*"[^<>"']*+|'[^']*'[^<>"']*+)*+"""
+# What stands between the name of an element and the end of its tag, as browsers read it. The
+# scan goes on from where this stops, so tags that never end are read once and not once a tag.
+_INSIDE = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)*+"""
 _HIDDEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.I | re.S
+    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b"
+    rf"{_INSIDE}(>.*?(?:</\1\s*>|\Z))?+",
+    re.I | re.S,
 )
 _ELEMENT = re.compile(rf"<(?:/?([a-z][a-z0-9]*)\b|[!?]){_TAG}>", re.I)
 # Elements that end a line of text.
@@ -41,9 +46,13 @@ _LINE = frozenset(
     " h1 h2 h3 h4 h5 h6 head header hr html li main nav ol option p pre section select table tbody"
     " td tfoot th thead title tr ul".split()
 )
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.I | re.S)
-_LANG = re.compile(r"""<html\b[^>]*?\blang\s*=\s*["']?([\w-]+)""", re.I)
-_HREF = re.compile(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_TITLE = re.compile(r"<title\b[^<>]*>", re.I)
+_TITLE_END = re.compile(r"</title", re.I)
+_LANG = re.compile(r"""<html\b[^<>]*?\blang\s*=\s*["']?([\w-]+)""", re.I)
+_ANCHOR = re.compile(rf"<a(?=[\s/])({_INSIDE})(>?)", re.I)
+_ATTRIBUTE = re.compile(
+    r"""([^\s=/"']++)(?:\s*+(=)\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++))?+)?+"""
+)
 
 
 def digest(data: bytes) -> str:
@@ -55,17 +64,36 @@ def _break(element: re.Match) -> str:
     return "\n" if (element[1] or "").lower() in _LINE else ""
 
 
+def _shown(page: str) -> str:
+    """The page without comments and elements that show no text."""
+    return _HIDDEN.sub(lambda m: m[0] if m[1] and not m[2] else " ", page)
+
+
 def plain_text(page: str) -> str:
     """The visible text: one line for each block, single spaces, entities resolved."""
-    text = html.unescape(_ELEMENT.sub(_break, _HIDDEN.sub(" ", page)))
+    text = html.unescape(_ELEMENT.sub(_break, _shown(page)))
     return "\n".join(filter(None, (" ".join(line.split()) for line in text.split("\n"))))
 
 
+def _href(attributes: str) -> str | None:
+    """The value of the first ``href``; None without one."""
+    for name, equals, *value in _ATTRIBUTE.findall(attributes):
+        if equals and name.lower() == "href":
+            return "".join(value)
+    return None
+
+
 def links(page: str, base: str | None) -> list[str]:
-    """Targets of the page's links, resolved, in order, each once."""
+    """Targets of the page's links, resolved, in order, each once.
+
+    Time grows with the length of the page, also where its tags never end.
+    """
     found: dict[str, None] = {}
-    for groups in _HREF.findall(_HIDDEN.sub(" ", page)):
-        target = html.unescape("".join(groups)).strip()
+    for attributes, end in _ANCHOR.findall(_shown(page)):
+        value = _href(attributes) if end else None
+        if value is None:
+            continue
+        target = html.unescape(value).strip()
         try:
             found.setdefault(urljoin(base or "", target))
         except ValueError:  # not a URL, kept as written
@@ -73,6 +101,13 @@ def links(page: str, base: str | None) -> list[str]:
     return list(found)
 
 
+def title_of(page: str) -> str | None:
+    """The visible text of the first title that ends; None without one."""
+    start = _TITLE.search(page)
+    end = start and _TITLE_END.search(page, start.end())
+    return plain_text(page[start.end() : end.start()]) if end else None
+
+
 def _one_line(value: str) -> str:
     """A value that cannot end its header line."""
     return " ".join(value.splitlines()).strip()
@@ -80,10 +115,9 @@ def _one_line(value: str) -> str:
 
 def metadata(response: dict, page: str, payload_digest: str) -> bytes:
     """The block of the metadata record: named fields, one a line."""
-    title = _TITLE.search(page)
     lang = _LANG.search(page)
     fields = [
-        ("title", plain_text(title[1]) if title else None),
+        ("title", title_of(page)),
         ("languages-declared", lang[1].lower() if lang else None),
         ("source-payload-digest", payload_digest),
         *((f"source-{h['name'].lower()}", h["value"]) for h in response["headers"] or [] if h["name"]),
