@@ -106,7 +106,7 @@ def hit_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
         F.posexplode("col.hashes").alias("place", "hash"),
     )
     itself = F.col("length") == 0
-    found = places.join(_small(known, F.lit(16)), "hash", "left").filter(itself | F.col("known"))
+    found = places.join(_small(known, F.lit(32)), "hash", "left").filter(itself | F.col("known"))
     start = (F.col("place") + 1).alias("start")
     hit = F.when(~itself, F.struct(start, "length"))
     judged = keep(
@@ -123,7 +123,7 @@ def hit_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
     to_verify = judged.filter(F.size("spans") > 0).select("doc_id", "text_hash", "spans")
     words_of_hits = (
         rows.alias("a")
-        .join(_small(to_verify, 32 + 8 * F.size("spans")).alias("b"), key)
+        .join(_small(to_verify, 64 + 32 * F.size("spans")).alias("b"), key)
         .select(
             "a.doc_id",
             "a.text_hash",
@@ -141,7 +141,11 @@ def hit_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
     )
     exact = (
         words_of_hits.join(
-            _small(grams.select("gram", "item_id"), 16 + F.octet_length("gram")), "gram"
+            _small(
+                grams.select("gram", "item_id"),
+                32 + F.octet_length("gram") + F.coalesce(F.octet_length(F.col("item_id").cast("string")), F.lit(0)),
+            ),
+            "gram",
         )
         .groupBy("doc_id", "text_hash")
         .agg(
