@@ -192,6 +192,24 @@ ORACLE["incident_default"] = """
         '2025-04' as crash_month
     from region where r_regionkey in (select n_regionkey from nation)"""
 ORACLE["silver_roundtrip"] = on_silver("select * from silver")
+_CARRIED = [*TRIP, "l_orderkey", "l_linenumber"]
+_DELIVERIES = f"""{FREIGHT_RAW},
+    first_delivery as (select {', '.join(_CARRIED)} from freight_raw
+        where {FREIGHT_VALID} and not (year_month like '1995-%' and l_linenumber = 7)),
+    both_deliveries as (select * from first_delivery union all
+        select * replace (trip_distance + 1 as trip_distance, 'late' as source_file,
+            case when l_linenumber < 6 then ingestion_ts - interval 1 day
+                else ingestion_ts + interval 1 day end as ingestion_ts,
+            case when l_linenumber = 6 and l_orderkey % 8 = 1 then '1996-01'
+                else year_month end as year_month)
+        from (select {', '.join(_CARRIED)} from freight_raw)
+        where {FREIGHT_VALID} and year_month like '1995-%' and l_linenumber > 4)"""
+ORACLE["silver_merged"] = f"""with {_DELIVERIES}
+    {latest('both_deliveries', FREIGHT_KEYS, columns=_CARRIED)}"""
+ORACLE["snapshot_read"] = f"""with {_DELIVERIES},
+    one as ({latest('first_delivery', FREIGHT_KEYS, columns=_CARRIED)}),
+    two as ({latest('both_deliveries', FREIGHT_KEYS, columns=_CARRIED)})
+    select *, 1 as version from one union all select *, 2 as version from two"""
 
 
 def _counts(source: str, where: str, keys: list[str]) -> str:
