@@ -21,7 +21,8 @@ from tripmill.sources.files import (
     list_files,
     with_source,
 )
-from tripmill.sources.landing import land_feed, select_periods
+from tripmill.sources import landing
+from tripmill.sources.landing import land_feed, physical_schemas, select_periods
 from tripmill.sources.reference import (
     clean_incidents,
     covering_range,
@@ -93,6 +94,49 @@ def test_landing_chosen_months(spark, tmp_path, periods, months):
     assert sorted({r.year_month for r in landed.collect()}) == months
 
 
+def locations(spark, root, periods=PeriodFilter()):
+    found = physical_schemas(spark, root, periods)
+    return {r.location.rpartition("/yellow")[2] for r in found.collect()}
+
+
+def test_files_are_named_by_folder_where_they_are_alike(spark, tmp_path):
+    """As many locations as folders, not as files; single files only where schemas meet."""
+    root = tmp_path / "yellow"
+    for folder, kind, files in (("a", "int32", 5), ("b/x", "int64", 3), ("b/y", "int64", 3), ("c", "int32", 1)):
+        (root / folder).mkdir(parents=True)
+        for i in range(files):
+            values = pa.table({"PULocationID": pa.array([i], kind)})
+            pq.write_table(values, root / folder / f"t_2025-0{i + 1}.parquet")
+    assert locations(spark, str(root)) == {"/a", "/b", "/c"}
+    assert land_feed(spark, str(root), YELLOW).count() == 12
+    pq.write_table(pa.table({"PULocationID": ["7"]}), root / "a" / "z_2025-09.parquet")
+    mixed = {f"/a/t_2025-0{i}.parquet" for i in range(1, 6)} | {"/a/z_2025-09.parquet", "/b", "/c"}
+    assert locations(spark, str(root)) == mixed
+    assert land_feed(spark, str(root), YELLOW).count() == 13
+    chosen = {"/a/t_2025-01.parquet", "/b/x/t_2025-01.parquet", "/b/y/t_2025-01.parquet", "/c"}
+    assert locations(spark, str(root), PeriodFilter(month="2025-01")) == chosen
+    named = [str(root / "b/x"), str(root / "c/t_2025-01.parquet")]
+    assert land_feed(spark, named, YELLOW).count() == 4
+    assert land_feed(spark, f"{root}/b/*", YELLOW).count() == 6
+    # A file beside folders: their files are alike, the folder above them is not.
+    pq.write_table(pa.table({"PULocationID": ["7"]}), root / "b" / "w.parquet")
+    assert {"/b/x", "/b/y", "/b/w.parquet"} < locations(spark, str(root))
+    assert land_feed(spark, str(root), YELLOW).count() == 14
+
+
+def test_ten_thousand_files_of_one_schema_are_one_location(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "yellow")
+    n = F.format_string(f"file:{root}/m%02d/part-%05d.parquet", F.col("id") % 20, "id")
+    files = spark.range(10_000).select(n.alias("path"))
+    columns = lambda f: f.selectExpr("path", "0 position", "'a' name", "'int' type")
+    monkeypatch.setattr(landing, "list_files", lambda *a: files)
+    monkeypatch.setattr(landing, "footer_columns", columns)
+    found = physical_schemas(spark, root)
+    assert [r.location for r in found.collect()] == [f"file:{root}"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list(" in plan and not re.search(r"collect_(list|set)\((path|location)", plan)
+
+
 def test_landing_without_files_is_an_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         land_feed(spark, raw_yellow(tmp_path / "y"), YELLOW, PeriodFilter(month="1999-01"))

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from tripmill.functions.periods import period_of, source_name
 from tripmill.operators.conform import columns_by_role
+from tripmill.plans.reuse import persisted
 from tripmill.sources.files import footer_columns, list_files
 from tripmill.specs import FeedSpec, PeriodFilter
 
@@ -64,17 +65,59 @@ def select_files(files: DataFrame, periods: PeriodFilter) -> DataFrame:
     return select_periods(files.withColumn("year_month", month), periods)
 
 
+def _folders_above(spark: SparkSession, root: str | list[str]) -> Column:
+    """Folders from that of a ``path`` up to the root, the only ones of which all files are known.
+
+    None for files that were named one by one or by a pattern.
+    """
+    if not isinstance(root, str) or any(c in root for c in "*?[{"):
+        return F.array().cast("array<string>")
+    top = spark._jvm.org.apache.hadoop.fs.Path(root)
+    top = top.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(top).toString()
+    steps = F.split("path", "/")
+    above = F.transform(
+        F.sequence(F.lit(1), F.size(steps) - 1), lambda n: F.array_join(F.slice(steps, 1, n), "/")
+    )
+    inside = F.lit(top.rstrip("/") + "/")
+    return F.filter(above, lambda folder: F.concat(folder, F.lit("/")).startswith(inside))
+
+
 def physical_schemas(
     spark: SparkSession, root: str | list[str], periods: PeriodFilter = PeriodFilter()
 ) -> DataFrame:
-    """Each distinct footer schema of the chosen files with the files that have it."""
-    columns = footer_columns(select_files(list_files(spark, root, "*.parquet"), periods))
+    """Each distinct footer schema of the chosen files, and the locations where it is found.
+
+    One row per location: a folder all files of which are chosen and have that schema, the
+    topmost such, or a file that lies beside others. So there are as many rows as
+    folders, however many files these hold, and no task or row gathers the files of a schema.
+    """
+    listed = list_files(spark, root, "*.parquet").withColumn("above", _folders_above(spark, root))
+    columns = footer_columns(select_files(listed, periods))
     per_file = columns.groupBy("path").agg(
         F.array_sort(F.collect_list(F.struct("position", "name", "type"))).alias("columns")
     )
-    return per_file.groupBy("columns").agg(
-        F.array_sort(F.collect_list("path")).alias("paths")
-    ).orderBy("paths")
+    chosen = per_file.withColumns(
+        {"above": _folders_above(spark, root), "schema": F.xxhash64("columns")}
+    )
+
+    def per_folder(files: DataFrame, *keys: str) -> DataFrame:
+        found = files.select(*keys, F.explode("above").alias("folder"))
+        return found.groupBy("folder", *keys).agg(F.count(F.lit(1)).alias("n"))
+
+    alike = per_folder(chosen, "schema").join(per_folder(listed), ["folder", "n"]).select("folder")
+    # A folder's files are all alike: so are those of the folders below it.
+    marked = chosen.select("path", "schema", "columns", F.posexplode_outer("above").alias("depth", "folder"))
+    tops = (
+        marked.join(alike.withColumn("alike", F.lit(True)), "folder", "left")
+        .groupBy("path", "schema")
+        .agg(
+            F.any_value("columns").alias("columns"),
+            F.min_by("folder", F.when(F.col("alike"), F.col("depth"))).alias("top"),
+        )
+    )
+    return tops.groupBy(F.coalesce("top", "path").alias("location"), "schema").agg(
+        F.any_value("columns").alias("columns")
+    )
 
 
 def land_feed(
@@ -87,13 +130,18 @@ def land_feed(
     """The raw files of a feed, of the chosen months, as one frame in the declared types.
 
     Plain Parquet reading fails on files whose types differ and hides added
-    columns, so files are grouped by footer schema (read by the executors). Only
-    file names and schemas come to the driver, which needs them to declare the
-    scans; each group is one scan and one select.
+    columns, so files are grouped by footer schema (read by the executors). The driver, which
+    declares the scans, gets each schema once and its folders (files only where a folder
+    holds several schemas or months); each schema is one scan and one select.
     """
-    groups = physical_schemas(spark, root, periods).collect()
-    if not groups:
+    with persisted(physical_schemas(spark, root, periods)) as found:
+        schemas = found.select("schema", "columns").dropDuplicates(["schema"]).collect()
+        places: dict[int, list[str]] = {}
+        for row in found.select("schema", "location").orderBy("location").toLocalIterator():
+            places.setdefault(row["schema"], []).append(row["location"])
+    if not schemas:
         raise FileNotFoundError(f"no Parquet files of the chosen months below {root}")
+    groups = sorted(schemas, key=lambda g: places[g["schema"]][0])
     contract = StructType.fromDDL(spec.contract) if spec.contract else StructType()
     declared = {f.name.lower() for f in contract.fields}
 
@@ -110,11 +158,8 @@ def land_feed(
     at = ingestion_time() if at is None else at
     scans = []
     for group in groups:
-        # Files of one schema are read below their root, which needs no list of them.
-        alike = len(groups) == 1 and periods == PeriodFilter()
-        paths = group["paths"] if not alike else [root] if isinstance(root, str) else root
         reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-        raw = reader.parquet(*paths)
+        raw = reader.parquet(*places[group["schema"]])
         scans.append(to_contract(add_lineage(raw, spec.name, at), contract, extras))
     return reduce(DataFrame.unionByName, scans)
 
