@@ -56,9 +56,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def freight_raw(spark: SparkSession, sf: str) -> DataFrame:
     items, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
     customers, suppliers = table(spark, sf, "customer"), table(spark, sf, "supplier")
+    # Customers meet the orders, not the several times as many items.
+    placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     return (
-        items.join(orders, items["l_orderkey"] == orders["o_orderkey"])
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        items.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .select(
             F.concat(F.lit("freight_"), "l_returnflag").alias("feed"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import bindings as b
+from tripmill.plans.reuse import materialised
 from tripmill.session import scratch_path
 from tripmill.specs import FeedSpec
 
@@ -24,10 +25,13 @@ FREIGHT_FILES = FeedSpec(
 )
 
 
+PREFIX = "freight_"
+
+
 def _layouts(raw: DataFrame) -> list[DataFrame]:
     """Early years as declared; then 64-bit ids and another spelling; then an added column
     and a dropped one."""
-    year = F.substring("year_month", 1, 4)
+    year = F.substring("source", len(PREFIX) + 1, 4)
     declared = raw.filter(year <= "1996")
     wide = raw.filter(year.between("1997", "1998")).select(
         *[c for c in raw.columns if c not in ("from_zone", "l_linenumber", "o_orderdate")],
@@ -44,16 +48,14 @@ def _layouts(raw: DataFrame) -> list[DataFrame]:
 
 
 def write_freight(spark: SparkSession, sf: str) -> str:
-    """One directory of Parquet files per month, named after it."""
+    """One directory of Parquet files per month, named after it.
+
+    The tables are joined and dealt to months once; each layout then reads its months.
+    """
     root = scratch_path(spark, "raw-freight")
     raw = b.freight_raw(spark, sf).drop("_ingestion_ts", "_source_file")
-    for i, layout in enumerate(_layouts(raw)):
-        (
-            layout.withColumn("source", F.concat(F.lit("freight_"), "year_month"))
-            .drop("year_month")
-            .hint("rebalance", "source")
-            .write.mode("append")
-            .partitionBy("source")
-            .parquet(f"{root}/layout{i}")
-        )
+    months = raw.withColumn("source", F.concat(F.lit(PREFIX), "year_month")).drop("year_month")
+    months = materialised(months.hint("rebalance", "source"), "freight", ["source"])
+    for i, layout in enumerate(_layouts(months)):
+        layout.write.partitionBy("source").parquet(f"{root}/layout{i}")
     return root

@@ -385,3 +385,23 @@ def test_scratch_tables_lie_in_one_folder_that_can_be_cleared(spark):
     clear_scratch(spark)
     assert read_if_exists(spark, path) is None
     clear_scratch(spark)
+
+
+def test_raw_files_join_the_tables_once(spark, sf, monkeypatch):
+    from checks import bindings, rawfiles
+
+    joined, plain = spark.sparkContext.accumulator(0), bindings.freight_raw
+
+    def counted(batches):
+        for batch in batches:
+            joined.add(batch.num_rows)
+            yield batch
+
+    def watched(spark, sf):
+        raw = plain(spark, sf)
+        return raw.mapInArrow(counted, raw.schema)
+
+    monkeypatch.setattr(bindings, "freight_raw", watched)
+    root = rawfiles.write_freight(spark, sf)
+    written = [spark.read.parquet(f"{root}/layout{i}").count() for i in range(3)]
+    assert min(written) > 0 and joined.value == sum(written) == plain(spark, sf).count()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
@@ -21,10 +21,13 @@ def persisted(df: DataFrame) -> Iterator[DataFrame]:
         kept.unpersist()
 
 
-def materialised(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: no lineage left to recompute."""
+def materialised(df: DataFrame, label: str, parts: Sequence[str] = ()) -> DataFrame:
+    """``df`` written to the shared folder and read back: no lineage left to recompute.
+
+    Readers that filter by columns of ``parts`` open only the files of their values.
+    """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*parts).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
