@@ -146,3 +146,71 @@ def test_comparison_ranks_by_error(rows):
     ranked = compare_models(rows, ("LinearRegression", "Ridge")).orderBy("place").collect()
     assert [r.place for r in ranked] == [1, 2] and ranked[0].is_best and not ranked[1].is_best
     assert ranked[0].mae_seconds <= ranked[1].mae_seconds
+
+
+def coarse(rows, copies):
+    """Few distinct features, and every row several times."""
+    few = rows.withColumn("trip_distance", F.floor(F.col("trip_distance") / 3).cast("double"))
+    return few.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("_copy")
+
+
+def by_rows(rows, name):
+    """Trained on every row by itself."""
+    split = ml_split(ml_features(rows))
+    train = split.filter("not is_test")
+    model = duration_pipeline(models.feature_columns(rows), estimator_for(name, train)).fit(train)
+    return model.transform(split)
+
+
+def test_boosting_on_equal_rows_is_boosting_on_rows(rows, monkeypatch):
+    monkeypatch.setattr(models, "ROUNDS", 5)
+    trained, plain = [], models.GBTRegressor.fit
+
+    def watched(self, dataset, *args):
+        trained.append(dataset.count())
+        return plain(self, dataset, *args)
+
+    many = coarse(rows, 4)
+    want = by_rows(many, "GradientBoosting")
+    monkeypatch.setattr(models.GBTRegressor, "fit", watched)
+    _, scored = fit(many, "GradientBoosting")
+    keys = [*NUMERIC, CATEGORY]
+
+    def known(found):  # of splits that part the training rows alike, either may be taken
+        seen = found.filter("not is_test").select(*keys, "prediction").distinct().collect()
+        return {tuple(r)[:-1]: r.prediction for r in seen}
+
+    one, two = known(want), known(scored)
+    assert one.keys() == two.keys() and scored.count() == 6_000
+    assert [two[k] for k in one] == pytest.approx([one[k] for k in one], rel=1e-6)
+    assert trained == [len(one)]
+
+
+def test_forest_on_equal_rows_errs_like_one_on_rows(rows, monkeypatch):
+    monkeypatch.setattr(models, "TREES", 20)
+    many = coarse(rows, 3)
+    plain = regression_metrics(by_rows(many, "RandomForest")).first()
+    model, scored = fit(many, "RandomForest")
+    found = regression_metrics(scored).first()
+    assert (found.train_rows, found.test_rows) == (plain.train_rows, plain.test_rows)
+    assert found.mae_seconds == pytest.approx(plain.mae_seconds, rel=0.1)
+    trees = [s for s in model.stages if hasattr(s, "toDebugString")]
+    assert len(trees) == 20 and max(t.depth for t in trees) <= 12 and len({t.toDebugString for t in trees}) == 20
+    again = fit(many.repartition(7), "RandomForest")[1]
+    assert regression_metrics(again).first() == found
+
+
+def test_samples_are_poisson_and_do_not_depend_on_partitions(spark):
+    numbers = F.array(*map(F.lit, (1, 7, 5_000)))
+    ids = spark.range(4_000).withColumn("n", F.element_at(numbers, F.col("id").cast("int") % 3 + 1))
+    seen = ids.select("id", "n", models.drawn(F.col("n").cast("long"), F.xxhash64("id"), 6).alias("w"))
+    again = ids.repartition(9).select("id", models.drawn(F.col("n").cast("long"), F.xxhash64("id"), 6).alias("w"))
+    got = {r.id: (r.n, r.w) for r in seen.collect()}
+    assert {r.id: r.w for r in again.collect()} == {i: w for i, (_, w) in got.items()}
+    for n in (1, 7, 5_000):
+        w = np.array([w for k, w in got.values() if k == n])
+        assert w.shape[1] == 6 and abs(w.mean() - n) < 5 * (n / w.size) ** 0.5
+        assert w.var() == pytest.approx(n, rel=0.1)
+        assert abs(np.corrcoef(w.T) - np.eye(6)).max() < 0.15
+    ones = np.array([w for k, w in got.values() if k == 1])
+    assert (ones == 0).mean() == pytest.approx(np.exp(-1), abs=0.02)
