@@ -34,6 +34,26 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a sieve at most, some 50 MB where it is broadcast. A fuller sieve lets more keys pass.
+SIEVE_WORDS = 1 << 20
+
+
+def sift(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """``df`` with ``maybe``: false where ``key`` is surely not in the column of that name of ``keys``.
+
+    A bit for each hash, 16 bits a key: one other key in sixteen passes. What passes can be
+    exchanged for an exact join; the rest needs none. ``keys`` is counted first.
+    """
+    words = min(max(keys.count() // 4, 64), SIEVE_WORDS)
+    hashed = F.xxhash64(key)
+    word, bit = F.pmod(hashed, F.lit(words)).alias("sieve_word"), F.shiftrightunsigned(hashed, 58).cast("int")
+    one = F.expr("shiftleft(1L, sieve_bit)")
+    bits = keys.select(word, bit.alias("sieve_bit")).groupBy("sieve_word").agg(F.bit_or(one).alias("sieve_bits"))
+    tested = df.select("*", word, bit.alias("sieve_bit")).join(F.broadcast(bits), "sieve_word", "left")
+    maybe = F.coalesce(F.expr("shiftright(sieve_bits, sieve_bit) & 1L = 1L"), F.lit(False))
+    return tested.withColumn("maybe", maybe).drop("sieve_word", "sieve_bit", "sieve_bits")
+
+
 _shipped: set[str] = set()
 
 
