@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import ship
+from tripmill.llm.common import each, ship
 
 _NONE = np.int32(2**31 - 1)
 #: Bytes of text whose pre-tokens are gathered before they are encoded together.
@@ -333,7 +333,7 @@ class Codec:
             return pa.StructArray.from_arrays([ids, _decode(vocab, ids)], ["ids", "decoded"])
 
         kind = "struct<ids:array<int>,decoded:binary>"
-        return F.arrow_udf(both, kind).asNondeterministic()(text)
+        return F.arrow_udf(each(both), kind).asNondeterministic()(text)
 
 
 def _encoder(content, pattern: str) -> Callable[[pa.Array], tuple[pa.Array, Vocabulary]]:

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 import string
+import sys
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
+from functools import wraps
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +59,38 @@ def sift(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     return tested.withColumn("maybe", maybe).drop("sieve_word", "sieve_bit", "sieve_bits")
 
 
+def give_back() -> None:
+    """Memory that this process has freed goes back to the system, from Arrow's pool and glibc's heap."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        getattr(ctypes.CDLL(None), "malloc_trim", lambda pad: 0)(0)
+
+
+def lean(step: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``step`` over batches, after which its Python worker gives back what it has freed.
+
+    Workers live on between tasks and stages. What they hold of the last batches would else
+    count beside the JVM while it sorts and joins.
+    """
+
+    @wraps(step)
+    def run(batches: Iterator) -> Iterator:
+        yield from step(batches)
+        give_back()
+
+    return run
+
+
+def each(of: Callable[[pa.Array], pa.Array]) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array]]:
+    """``of`` for every batch of an arrow_udf, by a worker that is ``lean``."""
+
+    def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from map(of, arrays)
+        give_back()
+
+    return run
+
+
 _shipped: set[str] = set()
 
 

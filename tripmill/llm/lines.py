@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.llm import simhash
-from tripmill.llm.common import keep, ship, whole
+from tripmill.llm.common import keep, lean, ship, whole
 from tripmill.llm.components import components
 
 #: Tokens that lead from the root to a leaf, below the number of tokens.
@@ -75,6 +75,7 @@ def text_lines(text: str) -> list[tuple[int, str]]:
 _NARROW = "text_hash long, line int, leaf long, hash long, context long, long boolean"
 
 
+@lean
 def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every line of the rows (doc_id, text_hash, text) as hashes."""
     for batch in batches:
@@ -107,6 +108,7 @@ def _forms_in(leaves) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
     ``leaves`` is a broadcast array of the leaves that count, in order, or None for all.
     """
 
+    @lean
     def forms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             forms = list({m for text in batch.column(0) for _, m in text_lines(text.as_py())})
