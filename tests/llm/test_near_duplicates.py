@@ -360,6 +360,89 @@ def test_suffix_array_and_common_prefixes():
         assert shared[k] == min(n, 50)
 
 
+@pytest.mark.parametrize("piece", [1, 64, 1 << 15])
+def test_anchors_taken_by_pieces(piece, monkeypatch):
+    monkeypatch.setattr(suffixes, "_PIECE", piece)
+    rng = random.Random(piece)
+    texts = [bytes(rng.choices(b"ab", k=n)) for n in (0, 99, 100, 300, 31, 180)]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    lengths = np.array([len(t) for t in texts])
+    anchor, spots, found = suffixes.window_anchors(data, lengths)
+    hashes = suffixes._gram_hashes(data).tolist()
+    want, places, begin = [], set(), 0
+    for n in lengths.tolist():
+        for p in range(begin, begin + n):
+            around = hashes[p : p + 69] if p + 100 <= begin + n else [2**64 - 1]
+            want.append(min(around))
+            if len(around) > 1:
+                places.update(q for q in range(p, p + 69) if hashes[q] == min(around))
+        begin += n
+    assert anchor.tolist() == want
+    assert spots.tolist() == sorted(places)
+    assert found.tolist() == [hashes[q] for q in sorted(places)]
+
+
+def test_groups_of_the_order_are_the_equal_windows(monkeypatch):
+    """Suffixes are sorted by a window's length, so no neighbours are compared after it."""
+    monkeypatch.delattr(suffixes, "common_prefixes")
+    rng = random.Random(3)
+    passage = bytes(rng.choices(b"abc", k=130))
+    texts = [passage[:99] + b"d", passage, passage[1:101] + b"e", passage[30:] + passage, b"a" * 260]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    order, places, group = suffixes._refined(data, 100)
+    text = data.tobytes().ljust(len(data) + 100, b"\0")
+    window = [text[i : i + 100] for i in order.tolist()]
+    assert window == sorted(window)
+    times = Counter(window)
+    valid = [k for k, i in enumerate(order.tolist()) if i + 100 <= len(data)]
+    assert [k for k in places.tolist() if order[k] + 100 <= len(data)] == [k for k in valid if times[window[k]] > 1]
+    assert [window[k] for k in group.tolist()] == [window[k] for k in places.tolist()]
+    lengths = np.array([len(t) for t in texts])
+    repeats, seen, begin = suffixes.repeated_windows(data, lengths), set(), 0
+    for n in lengths.tolist():
+        for p in range(begin, begin + n):
+            whole = p + 100 <= begin + n
+            assert repeats[p] == (whole and text[p : p + 100] in seen)
+            seen.update([text[p : p + 100]] * whole)
+        begin += n
+
+
+@pytest.mark.parametrize("bits", [3, 40, 63])
+def test_keys_sorted_with_their_places(bits):
+    """With 63 bits a key and its place do not fit into one number."""
+    rng = np.random.default_rng(bits)
+    keys = rng.integers(0, 1 << bits, 50, np.uint64).repeat(3)[rng.permutation(150)]
+    want = np.argsort(keys, kind="stable")
+    found, place = suffixes._sorted_with_places(keys, bits)
+    assert place.tolist() == want.tolist() and found.tolist() == keys[want].tolist()
+
+
+def test_small_shards_are_sorted_a_megabyte_at_once(monkeypatch):
+    sorted_at_once = []
+    solve = suffixes._solve
+    monkeypatch.setattr(
+        suffixes, "_solve", lambda rows: sorted_at_once.append(sum(len(r[4]) for r in rows)) or solve(rows)
+    )
+    rng = np.random.default_rng(1)
+    rows = [rng.integers(0, 256, 50_000, np.uint8).tobytes() for _ in range(80)]
+    n = len(rows)
+    batch = suffixes.pa.RecordBatch.from_pydict(
+        {
+            "shard": list(range(n)),
+            "key": [0] * n,
+            "doc_id": list(range(n)),
+            "text_hash": [0] * n,
+            "start": [0] * n,
+            "data": rows,
+            "anchors": suffixes.pa.array([[1]] * n, suffixes.pa.list_(suffixes.pa.int64())),
+            "counts": suffixes.pa.array([[2]] * n, suffixes.pa.list_(suffixes.pa.int32())),
+        }
+    )
+    # The second batch starts inside its lists' values, as a slice does.
+    list(suffixes._shards(iter([batch.slice(0, 45), batch.slice(45)])))
+    assert sum(sorted_at_once) == 4_000_000 and max(sorted_at_once) < (1 << 20) + 50_000
+
+
 @pytest.mark.parametrize("shard_bytes", [suffixes.SHARD_BYTES, 700])
 def test_repeats_across_documents_and_shards(spark, shard_bytes, monkeypatch):
     rng = random.Random(9)

@@ -5,8 +5,8 @@ byte strings inside, so equal windows have equal anchors, wherever they are. Onl
 windows whose anchor occurs at least twice in the corpus can repeat; the stretches they
 cover are the regions. Regions go to shards by their lowest anchor, so copies meet.
 
-A shard sorts its suffixes by Larsson-Sadakane refinement and takes the common prefixes
-of neighbours by Kasai's rule; neighbours that share a window's length are equal
+A shard sorts its suffixes by Larsson-Sadakane refinement to a window's length, no
+further; neighbours that it leaves in one group share that length, so they are equal
 windows, and all but the first repeat. If an anchor also occurs outside the shard, the
 windows left under it go on, sorted, to where all shards' windows of one content meet,
 and are merged by binary search.
@@ -31,8 +31,12 @@ GRAM = 32
 _SPAN = WINDOW - GRAM + 1
 #: Bytes of text that one shard sorts at once; the regions of one anchor past it are split.
 SHARD_BYTES = 3 << 20
+#: Bytes from which whole small shards are no longer sorted with further ones.
+_TOGETHER = 1 << 20
 #: Bytes of text whose anchors are taken at once.
 _BLOCK = 1 << 20
+#: Positions whose numbers stay in a processor's cache from one pass over them to the next.
+_PIECE = 1 << 15
 _MAX = np.uint64(2**64 - 1)
 
 
@@ -89,17 +93,25 @@ def window_anchors(
     anchor = np.full(n, _MAX)
     if n < WINDOW:
         return anchor, np.empty(0, np.int64), np.empty(0, np.uint64)
-    hashes = _gram_hashes(data)
-    low = _sliding(hashes, _SPAN, np.minimum)
+    hashes = np.empty(n - GRAM + 1, np.uint64)
+    for a in range(0, len(hashes), _PIECE):
+        hashes[a : a + _PIECE] = _gram_hashes(data[a : a + _PIECE + GRAM - 1])
+    # The anchors between windows before and after all others, 0 where there are none.
+    starts = np.zeros(len(hashes) + _SPAN - 1, np.uint64)
+    low = starts[_SPAN - 1 : len(starts) - _SPAN + 1]
+    for a in range(0, len(low), _PIECE):
+        low[a : a + _PIECE] = _sliding(hashes[a : a + _PIECE + _SPAN - 1], _SPAN, np.minimum)
     bad = _no_window(lengths)
     anchor[: len(low)] = low
     anchor[bad] = _MAX
-    # The highest anchor of the windows around a position, 0 where there are none.
-    starts = np.where(anchor == _MAX, np.uint64(0), anchor)[: len(low)]
-    none = np.zeros(_SPAN - 1, np.uint64)
-    high = _sliding(np.concatenate([none, starts, none]), _SPAN, np.maximum)
-    spots = np.flatnonzero(hashes == high)
-    return anchor, spots, hashes[spots]
+    low[bad[bad < len(low)]] = 0
+    spots = []
+    for a in range(0, len(hashes), _PIECE):
+        # The highest anchor of the windows around a position.
+        high = _sliding(starts[a : a + _PIECE + _SPAN - 1], _SPAN, np.maximum)
+        spots.append(np.flatnonzero(hashes[a : a + _PIECE] == high) + a)
+    at = np.concatenate(spots)
+    return anchor, at, hashes[at]
 
 
 def _texts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
@@ -136,7 +148,8 @@ def _anchors_by_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             if not len(places):
                 continue
             row = np.searchsorted(np.cumsum(lengths), places, side="right")
-            order = np.lexsort((found, row))
+            # Like anchors of a row come together, in no order else.
+            order = np.argsort(found + row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             row, found = row[order], found[order]
             new = np.append(True, (row[1:] != row[:-1]) | (found[1:] != found[:-1]))
             taken = pa.array(row[new] + rows.start)
@@ -160,12 +173,14 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def _covered(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes covered by the windows of runs of window starts, as spans that do not touch."""
+def _covered(
+    starts: np.ndarray, ends: np.ndarray, rows: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes covered by the windows of runs of window starts, as spans that do not touch in a row."""
     ends = ends + WINDOW - 1
     if not len(starts):
         return starts, ends
-    apart = np.append(True, starts[1:] > ends[:-1])
+    apart = np.append(True, (starts[1:] > ends[:-1]) | (rows[1:] != rows[:-1]))
     last = np.append(np.flatnonzero(apart)[1:] - 1, len(starts) - 1)
     return starts[apart], ends[last]
 
@@ -173,7 +188,6 @@ def _covered(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The regions of the rows (doc_id, text_hash, text, anchors, counts)."""
     for batch in batches:
-        doc, key = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for rows, data, lengths in _texts(batch, 2):
             listed = batch.column(3).slice(rows.start, rows.stop - rows.start).flatten()
             counted = batch.column(4).slice(rows.start, rows.stop - rows.start).flatten()
@@ -181,70 +195,102 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known, at = np.unique(listed.to_numpy().view(np.uint64), return_index=True)
             number = counted.to_numpy()[at]
             anchor, _, _ = window_anchors(data, lengths)
-            at = np.minimum(np.searchsorted(known, anchor), len(known) - 1)
-            inside = known[at] == anchor
-            begin = np.cumsum(lengths) - lengths
-            out: list[list] = [[], [], [], [], [], [], []]
-            for row in range(rows.start, rows.stop):
-                first = int(begin[row - rows.start])
-                stop = first + int(lengths[row - rows.start])
-                for a, b in zip(*_covered(*_runs(inside[first:stop])), strict=True):
-                    windows = slice(first + a, first + b - WINDOW + 1)
-                    own = np.unique(at[windows][inside[windows]])
-                    out[0].append(int(known[own[0]].view(np.int64)))
-                    out[1].append(doc[row])
-                    out[2].append(key[row])
-                    out[3].append(int(a))
-                    out[4].append(data[first + a : first + b].tobytes())
-                    out[5].append(known[own].view(np.int64))
-                    out[6].append(number[own])
-            kinds = [
-                pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(),
-                pa.list_(pa.int64()), pa.list_(pa.int32()),
-            ]
-            names = ["key", "doc_id", "text_hash", "start", "data", "anchors", "counts"]
+            # Windows one after another that have one anchor; texts end where none starts.
+            first = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+            past = np.append(first[1:], len(anchor))
+            at = np.minimum(np.searchsorted(known, anchor[first]), len(known) - 1)
+            inside = known[at] == anchor[first]
+            first, past, at = first[inside], past[inside], at[inside]
+            stops = np.cumsum(lengths)
+            row = np.searchsorted(stops, first, side="right")
+            starts, ends = _covered(first, past, row)
+            # The anchors of each region, once each and the lowest first.
+            region = np.searchsorted(starts, first, side="right") - 1
+            own = np.unique(region * len(known) + at)
+            region, own = own // len(known), own % len(known)
+            ranges = pa.array(np.searchsorted(region, np.arange(len(starts) + 1)), pa.int32())
+            row = np.searchsorted(stops, starts, side="right")
+            taken = pa.array(row + rows.start)
+            texts = [data[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names
+                [
+                    _signed(known[own[ranges.to_numpy()[:-1]]]),
+                    batch.column(0).take(taken),
+                    batch.column(1).take(taken),
+                    pa.array((starts - (stops - lengths)[row]).astype(np.int32)),
+                    pa.array(texts, pa.binary()),
+                    pa.ListArray.from_arrays(ranges, _signed(known[own])),
+                    pa.ListArray.from_arrays(ranges, pa.array(number[own].astype(np.int32))),
+                ],
+                ["key", "doc_id", "text_hash", "start", "data", "anchors", "counts"],
             )
 
 
 # ---- suffix arrays ---------------------------------------------------------
 
 
-def suffix_array(data: np.ndarray, depth: int = WINDOW) -> np.ndarray:
-    """Positions sorted by at least ``depth`` bytes from each, by refinement of groups.
+def _sorted_with_places(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys, of ``bits`` bits, in order, and the place of each before; equal ones in order.
+
+    Numbers that hold key and place are sorted faster than places by their keys.
+    """
+    low = len(keys).bit_length()
+    if bits + low > 64:
+        place = np.argsort(keys, kind="stable")
+        return keys[place], place
+    both = keys << np.uint64(low)
+    both |= np.arange(len(keys), dtype=np.uint64)
+    both.sort()
+    place = (both & np.uint64((1 << low) - 1)).view(np.int64)
+    both >>= np.uint64(low)
+    return both, place
+
+
+def _refined(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions sorted by ``depth`` bytes from each, by refinement of groups.
 
     Groups of suffixes alike in their first h bytes are sorted by the rank of the suffix h
-    bytes on, which makes them alike in 2h; suffixes alone in their group are done. Past
-    the end every byte counts as zero.
+    bytes on, which makes them alike in 2h, or fewer bytes on where ``depth`` ends before;
+    suffixes alone in their group are done. Past the end every byte counts as zero. Also
+    returns the places in that order whose suffix is not alone, and the group of each.
+    Positions of a group ascend.
     """
     n = len(data)
-    first = _words(np.append(data, np.zeros(8, np.uint8)))[:n]
-    order = np.argsort(first, kind="stable")
-    first = first[order]
+    bits = n.bit_length()
+    h = min((64 - bits) // 8, depth)
+    word = _words(np.append(data, np.zeros(8, np.uint8)))[:n]
+    first, order = _sorted_with_places(word >> np.uint64(64 - 8 * h), 8 * h)
     start = np.flatnonzero(np.append(True, first[1:] != first[:-1]))
     size = np.diff(np.append(start, n))
-    rank = np.empty(n + depth, np.int64)
-    rank[order] = np.repeat(start, size)
-    rank[n:] = -1
-    del first
+    rank = np.empty(n + 1, np.int64)
+    rank[order] = np.repeat(start + 1, size)
+    rank[n] = 0
+    del first, word
     open_ = np.flatnonzero(np.repeat(size > 1, size))
-    h = 8
+    group = np.repeat(start, size)[open_]
     while h < depth and len(open_):
+        step = min(h, depth - h)
         at = order[open_]
-        group = rank[at]
-        key = group * (n + 1) + rank[np.minimum(at + h, n)] + 1
-        new = np.argsort(key, kind="stable")
-        key, at = key[new], at[new]
+        number = np.cumsum(np.append(False, group[1:] != group[:-1]))
+        key = number << bits | rank[np.minimum(at + step, n)]
+        wide = int(number[-1]).bit_length() + bits
+        key, new = _sorted_with_places(key.view(np.uint64), wide)
+        at = at[new]
         order[open_] = at
-        begins = np.append(True, key[1:] != key[:-1])
-        first_of = np.flatnonzero(begins)
+        first_of = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         count = np.diff(np.append(first_of, len(at)))
         # A group's rank is the place of its first member in the whole order.
-        rank[at] = np.repeat(open_[first_of], count)
-        open_ = open_[np.repeat(count > 1, count)]
-        h *= 2
-    return order
+        group = np.repeat(open_[first_of], count)
+        rank[at] = group + 1
+        several = np.repeat(count > 1, count)
+        open_, group = open_[several], group[several]
+        h += step
+    return order, open_, group
+
+
+def suffix_array(data: np.ndarray, depth: int = WINDOW) -> np.ndarray:
+    """Positions sorted by ``depth`` bytes from each; past the end every byte counts as zero."""
+    return _refined(data, depth)[0]
 
 
 def common_prefixes(data: np.ndarray, order: np.ndarray, limit: int = WINDOW) -> np.ndarray:
@@ -252,7 +298,8 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, limit: int = WINDOW) ->
 
     By Kasai's rule the length falls by one at most from a position to the next, if the
     neighbour's next suffix still comes before; in an order of limited depth it may not,
-    and the comparison starts anew. Positions are walked in many strides at once.
+    and the comparison starts anew. Positions are walked in many strides at once. For orders
+    of any depth; ``repeated_windows`` has its groups from the refinement itself.
     """
     n = len(data)
     before = np.empty(n, np.int64)
@@ -295,17 +342,12 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, limit: int = WINDOW) ->
 def repeated_windows(data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """For texts one after another, in order: does the window from each position repeat an earlier one?"""
     n = len(data)
-    order = suffix_array(data)
-    group = np.cumsum(common_prefixes(data, order) < WINDOW)
-    size = np.bincount(group)
-    several = size[group] > 1
-    at, group = order[several], group[several]
+    order, open_, group = _refined(data, WINDOW)
+    at = order[open_]
     starts_none = np.zeros(n, bool)
     starts_none[_no_window(lengths)] = True
     whole_window = ~starts_none[at]
     at, group = at[whole_window], group[whole_window]
-    by_place = np.lexsort((at, group))
-    at, group = at[by_place], group[by_place]
     later = np.append(False, group[1:] == group[:-1]) if len(at) else np.empty(0, bool)
     repeats = np.zeros(n, bool)
     repeats[at[later]] = True
@@ -356,7 +398,7 @@ def _solve(rows: list[tuple]) -> Iterator[tuple]:
     repeats = repeated_windows(data, lengths)
     anchor, spots, here = window_anchors(data, lengths)
     known, at = np.unique(
-        np.concatenate([r[5] for r in rows]).astype(np.int64).view(np.uint64), return_index=True
+        np.concatenate([r[5] for r in rows]).view(np.uint64), return_index=True
     )
     number = np.concatenate([r[6] for r in rows])[at]
     # Places of each anchor in this shard against those in the corpus.
@@ -376,15 +418,14 @@ def _solve(rows: list[tuple]) -> Iterator[tuple]:
     at = np.minimum(np.searchsorted(shared, anchor), len(shared) - 1)
     elsewhere = np.flatnonzero((shared[at] == anchor) & ~repeats)
     text = data.tobytes()
-    for part, p, q in _parts(text, anchor, elsewhere, spots, here, row_of(elsewhere)):
-        i = int(row_of(p))
+    for part, i, p, q in _parts(text, anchor, elsewhere, spots, here, row_of(elsewhere)):
         _, doc, text_hash, start, *_ = rows[i]
         at_ = start - int(begin[i])
         yield part, doc, text_hash, p + at_, q + at_, text[p : q + WINDOW - 1]
 
 
-def _parts(text, anchor, windows, spots, hashes, rows) -> Iterator[tuple[int, int, int]]:
-    """(part, first, past last) of runs of ``windows``: equal windows fall into equal parts.
+def _parts(text, anchor, windows, spots, hashes, rows) -> Iterator[tuple[int, int, int, int]]:
+    """(part, row, first, past last) of runs of ``windows``: equal windows fall into equal parts.
 
     A window's part hashes its anchor and the half of it that the anchor is in, so that
     windows with one frequent anchor but different text around it do not meet.
@@ -406,9 +447,15 @@ def _parts(text, anchor, windows, spots, hashes, rows) -> Iterator[tuple[int, in
     # Bytes that every window of a part holds, whichever windows those are.
     a = np.where(late[first], spot[first] - _SPAN // 2, spot[first])
     b = np.where(late[first], spot[first] + GRAM, spot[first] + WINDOW - _SPAN // 2 + 1)
-    columns = (windows[first], windows[last] + 1, a, b, late[first])
-    for p, q, x, y, side in zip(*(c.tolist() for c in columns), strict=True):
-        yield xxhash.xxh3_64_intdigest(text[x:y], int(side)) - (1 << 63), p, q
+    columns = (rows[first], windows[first], windows[last] + 1, a, b, late[first])
+    for row, p, q, x, y, side in zip(*(c.tolist() for c in columns), strict=True):
+        yield xxhash.xxh3_64_intdigest(text[x:y], int(side)) - (1 << 63), row, p, q
+
+
+def _lists(column: pa.ListArray) -> list[np.ndarray]:
+    """The lists of a column, none of them null."""
+    values, edges = column.values.to_numpy(), column.offsets.to_pylist()
+    return [values[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -416,10 +463,10 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows: list[tuple] = []
     done, size, shard = 0, 0, None  # rows of whole shards, bytes held, the shard going on
     for batch in batches:
-        columns = [c.to_pylist() for c in batch.columns]
+        columns = [c.to_pylist() for c in batch.columns[:6]] + [_lists(c) for c in batch.columns[6:]]
         for row in zip(*columns, strict=True):
             if row[0] != shard:
-                if size >= SHARD_BYTES and rows:
+                if size >= min(SHARD_BYTES, _TOGETHER) and rows:
                     yield _found(list(_solve(rows)))
                     rows, size = [], 0
                 shard = row[0]
